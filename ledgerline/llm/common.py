@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.shipping import ship
+
 #: White space of the word contracts: space, tab, LF, VT, FF, CR. Fixed values.
 SPACE = " \t\n\x0b\x0c\r"
 #: Text bytes that one Python sub-batch holds at most, unless one text alone has more.
@@ -19,8 +21,10 @@ SUB_BATCH = 4 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Small Arrow batches: texts may be long, and a batch lies in a worker's memory as a whole."""
+    """Small Arrow batches (texts may be long, and a batch lies in a worker's memory as a whole) and this package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    ship(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,9 +36,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing of it."""
+    """Write `df` to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing of it.
+
+    Spark drops the shuffle files of a finished step when the driver's JVM collects its garbage, so that is asked for.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

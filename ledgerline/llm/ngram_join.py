@@ -4,8 +4,9 @@ Two documents link when 100 * |A n B| >= 80 * |A u B| on their sets of five-word
 
 1. Posting lists. By the prefix principle, sets that link share a shingle among the first
    n - ceil(0.8 n) + 1 of each under any order common to all. The order puts shingles that many
-   documents hold last (counted over all documents, in blocks; the bounded table of the most frequent
-   ones only changes the order, never the result), so postings of wide-spread passages stay out.
+   documents hold last, then those of common words (both counted over all documents, in blocks; the bounded tables of
+   the most frequent ones only change the order, never the result). So postings of wide-spread passages stay out, and so
+   do those of phrases that unrelated documents share by chance, whose number grows with the square of the input.
 2. Postings that occur twice or more are joined with the smallest document of the list: a star for
    each list, not its pairs. The verified stars give first groups.
 3. Lists that still hold several groups are joined with themselves across groups, within size-banded
@@ -32,13 +33,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import settle, sub_batches, tune
 from ledgerline.llm.components import components
-from ledgerline.llm.shingles import sets_of
+from ledgerline.llm.shingles import grouped, sets_of, weighed_rows, word_hashes
 
 #: Percent of the union that the intersection must have.
 PERCENT = 80
-BITS = 1024
+BITS = 512
 #: Frequent shingles are counted in blocks of so many, and the most frequent ones kept for the order.
-BLOCK, FREQUENT, AT_LEAST = 2_000_000, 400_000, 8
+BLOCK, FREQUENT, WORDS, AT_LEAST = 2_000_000, 400_000, 100_000, 8
+#: Ids, and ids with their groups, that are broadcast at most; more are joined.
+MOST_IDS, MOST_ROOTS = 2_000_000, 500_000
 
 
 def prefix_length(n: int) -> int:
@@ -50,33 +53,40 @@ def signature(s: np.ndarray) -> bytes:
     return np.packbits((np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
 
 
-def frequent(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles and their counts, sorted by shingle; a bounded table."""
+def frequent(docs: DataFrame, text_col: str) -> tuple[np.ndarray, ...]:
+    """The most frequent shingles with their counts, and words with their weights (the counts' bit lengths), each sorted by hash; bounded tables."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: dict[str, list[np.ndarray]] = {"shingle": [], "word": []}
         size = 0
 
-        def counted() -> pa.RecordBatch:
-            token, n = np.unique(np.concatenate(held), return_counts=True)
-            token, n = token[n > 1], n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["token", "n"])
+        def counted() -> Iterator[pa.RecordBatch]:
+            for kind, least in (("shingle", 2), ("word", AT_LEAST)):
+                token, n = np.unique(np.concatenate(held[kind]), return_counts=True)
+                token, n = token[n >= least], n[n >= least]
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["kind", "token", "n"])
 
         for batch in sub_batches(it):
-            for s in sets_of(batch.column("text").to_pylist()):
-                held.append(s)
+            texts = batch.column("text").to_pylist()
+            for s in sets_of(texts):
+                held["shingle"].append(s)
                 size += len(s)
+            held["word"] += [word_hashes(g)[0] for g in grouped(texts)]
             if size >= BLOCK:
-                yield counted()
-                held, size = [], 0
-        if held:
-            yield counted()
-
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "token bigint, n bigint")
-    top = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= AT_LEAST).orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    token, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    order = np.argsort(token)
-    return token[order], n[order]
+                yield from counted()
+                held, size = {"shingle": [], "word": []}, 0
+        if size:
+            yield from counted()
+
+    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "kind string, token bigint, n bigint")
+    sums = counts.groupBy("kind", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= AT_LEAST)
+    out: list[np.ndarray] = []
+    for kind, most in (("shingle", FREQUENT), ("word", WORDS)):
+        top = sums.where(F.col("kind") == kind).select("token", "n").orderBy(F.desc("n"), "token").limit(most).toArrow()
+        token, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
+        order = np.argsort(token)
+        out += [token[order], n[order] if kind == "shingle" else np.ceil(np.log2(n[order] + 1)).astype(np.int64)]
+    return tuple(out)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -87,19 +97,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = spark.sparkContext.broadcast(frequent(docs, text_col))
 
     def postings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, count = often.value
+        token, count, words, weights = often.value
         for batch in sub_batches(it):
             ids, out_id, out_token, out_n = batch.column("id").to_numpy(zero_copy_only=False), [], [], []
-            sets = sets_of(batch.column("text").to_pylist())
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-            at = np.minimum(np.searchsorted(token, flat), max(len(token) - 1, 0))
-            known = np.where(token[at] == flat, count[at], 0) if len(token) else np.zeros(len(flat), np.int64)
-            end = 0
-            for i, s in zip(ids, sets, strict=True):
-                end += len(s)
-                if len(s):
-                    k, c = prefix_length(len(s)), known[end - len(s) : end]
-                    out_token.append(s[:k] if not c.any() else s[np.argsort(c, kind="stable")[:k]])
+            for i, (row, weight) in zip(ids, weighed_rows(batch.column("text").to_pylist(), words, weights), strict=True):
+                if len(row):
+                    s, first = np.unique(row, return_index=True)
+                    k, last = prefix_length(len(s)), weight[first]
+                    if len(token):
+                        at = np.minimum(np.searchsorted(token, s), len(token) - 1)
+                        last = last + (np.where(token[at] == s, count[at], 0) << 16)
+                    out_token.append(s[np.argsort(last, kind="stable")[:k]])
                     out_id.append(np.full(k, i))
                     out_n.append(np.full(k, len(s), np.int32))
             if out_id:
@@ -119,8 +127,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = kept.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     first = settle(verified(stars, sets, source), "links")
     groups = components(first)
-    named = kept.select("token", "id", "n").join(groups.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root"))
-    named = named.distinct()
+    few = F.broadcast(groups) if groups.count() <= MOST_ROOTS else groups
+    named = kept.select("token", "id", "n").join(few.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root"))
     mixed = named.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
     band = F.floor(F.log(100.0 / PERCENT, F.col("n"))).cast("int")
     tiled = settle(named.join(mixed, "token").withColumn("band", band), "tiles")
@@ -159,7 +167,18 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
         for batch in sub_batches(it):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in sets_of(batch.column("text").to_pylist())], pa.binary())], ["id", "set"])
 
-    full = settle(source.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(arrays, "id bigint, set binary"), "arrays")
+    wanted = settle(wanted, "wanted")
+    if wanted.count() <= MOST_IDS:
+        ids = source.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["id"].to_numpy()))
+
+        def own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                yield batch.filter(pa.array(np.isin(batch.column("id").to_numpy(zero_copy_only=False), ids.value)))
+
+        found = source.where("id is not null").mapInArrow(lambda it: arrays(own(it)), "id bigint, set binary")
+    else:
+        found = source.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(arrays, "id bigint, set binary")
+    full = settle(found, "arrays")
     both = rest.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
 
     def exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

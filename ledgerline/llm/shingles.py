@@ -9,6 +9,8 @@ one modulo 2^64). Two different shingles share a hash with probability of about
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 
@@ -55,9 +57,7 @@ def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, np.diff(np.searchsorted(starts, borders))
 
 
-def rows_of(texts: list[str | None]) -> list[np.ndarray]:
-    """For each text the hashes of its shingles in text order, repeats included."""
-    out: list[np.ndarray] = []
+def grouped(texts: list[str | None]) -> Iterator[list[bytes]]:
     group: list[bytes] = []
     size = 0
     for text in texts:
@@ -65,13 +65,31 @@ def rows_of(texts: list[str | None]) -> list[np.ndarray]:
         group.append(raw)
         size += len(raw)
         if size >= TOGETHER:
-            out += _rows(group)
+            yield group
             group, size = [], 0
-    return out + _rows(group) if group else out
+    if group:
+        yield group
+
+
+def rows_of(texts: list[str | None]) -> list[np.ndarray]:
+    """For each text the hashes of its shingles in text order, repeats included."""
+    return [s for group in grouped(texts) for s in _rows(*word_hashes(group))]
+
+
+def weighed_rows(texts: list[str | None], words: np.ndarray, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its shingles, and for each of them the sum of its words' weights; `words` are sorted hashes, others weigh 0."""
+    for group in grouped(texts):
+        flat, counts = word_hashes(group)
+        at = np.minimum(np.searchsorted(words, flat), max(len(words) - 1, 0))
+        own = np.where(words[at] == flat, weights[at], 0) if len(words) else np.zeros(len(flat), np.int64)
+        total = np.r_[0, np.cumsum(own)]
+        begin = np.cumsum(counts) - counts
+        for row, a, n in zip(_rows(flat, counts), begin.tolist(), counts.tolist(), strict=True):
+            k = min(K, n)
+            yield row, total[a + k : a + n + 1] - total[a : a + n + 1 - k] if n else own[:0]
 
 
-def _rows(raws: list[bytes]) -> list[np.ndarray]:
-    flat, counts = word_hashes(raws)
+def _rows(flat: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     n_rolled = max(len(flat) - K + 1, 0)
     rolled = flat[:n_rolled].copy()
     for k in range(1, K if n_rolled else 0):
