@@ -8,7 +8,8 @@ Two documents link when 100 * |A n B| >= 80 * |A u B| on their sets of five-word
    the most frequent ones only change the order, never the result). So postings of wide-spread passages stay out, and so
    do those of phrases that unrelated documents share by chance, whose number grows with the square of the input.
 2. Postings that occur twice or more are joined with the smallest document of the list: a star for
-   each list, not its pairs. The verified stars give first groups.
+   each list, not its pairs. The verified stars give first groups; long lists that hold several groups get further turns
+   with other centres, so that a large group of near copies is one group before pairs are looked at.
 3. Lists that still hold several groups are joined with themselves across groups, within size-banded
    tiles (equal or adjacent bands of ratio 1 / 0.8; sets that link lie no further apart). So every
    pair that may link is either in one group already or compared: no link between groups is lost.
@@ -37,9 +38,11 @@ from ledgerline.llm.shingles import grouped, sets_of, weighed_rows, word_hashes
 
 #: Percent of the union that the intersection must have.
 PERCENT = 80
-BITS = 512
+LEAST_BITS = 512
 #: Frequent shingles are counted in blocks of so many, and the most frequent ones kept for the order.
 BLOCK, FREQUENT, WORDS, AT_LEAST = 2_000_000, 400_000, 100_000, 8
+#: Lists that get further star turns, and how many turns at most; what is left is compared in full.
+LONG_LIST, STAR_TURNS = 8, 4
 #: Ids, and ids with their groups, that are broadcast at most; more are joined.
 MOST_IDS, MOST_ROOTS = 2_000_000, 500_000
 
@@ -49,8 +52,20 @@ def prefix_length(n: int) -> int:
 
 
 def signature(s: np.ndarray) -> bytes:
-    """Parity bits of the elements, BITS of them."""
-    return np.packbits((np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    """Parity bits of the elements: as many as the next power of two of the set's size, LEAST_BITS at least."""
+    bits = max(LEAST_BITS, 1 << max(len(s) - 1, 0).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(x: bytes, y: bytes) -> int:
+    """Bits in which two signatures differ, the longer one folded (its halves' exclusive or) to the length of the other."""
+    if len(x) > len(y):
+        x, y = y, x
+    p, q, n = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(y)
+    while n > 8 * len(x):
+        n //= 2
+        q = q & ((1 << n) - 1) ^ q >> n
+    return (p ^ q).bit_count()
 
 
 def frequent(docs: DataFrame, text_col: str) -> tuple[np.ndarray, ...]:
@@ -127,11 +142,20 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = kept.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     first = settle(verified(stars, sets, source), "links")
     groups = components(first)
-    few = F.broadcast(groups) if groups.count() <= MOST_ROOTS else groups
-    named = kept.select("token", "id", "n").join(few.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root"))
-    mixed = named.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-    band = F.floor(F.log(100.0 / PERCENT, F.col("n"))).cast("int")
-    tiled = settle(named.join(mixed, "token").withColumn("band", band), "tiles")
+    tiled = several(kept.select("token", "id", "n"), groups)
+    for turn in range(STAR_TURNS):
+        # long lists first once more by stars, with other centres: one document of each group in the list against the centre
+        long = tiled.join(tiled.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > LONG_LIST).select("token"), "token")
+        mark = lambda c: F.xxhash64(c, F.lit(turn))  # noqa: B023, E731
+        one = long.groupBy("token", "root").agg(F.min_by("id", mark("id")).alias("id"))
+        centre = one.groupBy("token").agg(F.min_by("id", mark("id")).alias("centre"))
+        stars = one.join(centre, "token").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+        more = settle(verified(stars, sets, source), "links")
+        if more.isEmpty():
+            break
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+        tiled = several(tiled.select("token", "id", "n"), groups)
+    tiled = tiled.withColumn("band", F.floor(F.log(100.0 / PERCENT, F.col("n"))).cast("int"))
     x, y = tiled.alias("x"), tiled.alias("y")
     close = "x.root < y.root and abs(x.band - y.band) <= 1 and 100 * x.n >= {0} * y.n and 100 * y.n >= {0} * x.n".format(PERCENT)
     pairs = x.join(y, F.expr(f"x.token = y.token and {close}")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
@@ -139,6 +163,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
 
 
+def several(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, id, n, root) of the lists that hold several groups."""
+    few = F.broadcast(groups) if groups.count() <= MOST_ROOTS else groups
+    named = postings.join(few.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root"))
+    mixed = named.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    return settle(named.join(mixed, "token"), "tiles")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link: by digest, bitmap bound, then exact intersection."""
     s = sets.where("n > 0 and id is not null")
@@ -151,9 +183,8 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            x = np.frombuffer(b"".join(batch.column("bits_a").to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            y = np.frombuffer(b"".join(batch.column("bits_b").to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            most = (na + nb - np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)) // 2
+            differ = np.array([differing_bits(p, q) for p, q in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)])
+            most = (na + nb - differ) // 2
             equal = np.array([p == q for p, q in zip(batch.column("da").to_pylist(), batch.column("db").to_pylist(), strict=True)])
             keep = equal | (100 * most >= PERCENT * (na + nb - most))
             cols = [batch.column("a"), batch.column("b"), pa.array(equal)]
