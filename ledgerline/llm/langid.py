@@ -6,7 +6,7 @@ phrases, normalised to bits a symbol (phrases * log2 of the sample's length / sy
 
 Greedy parsing with an automaton is itself deterministic: from a state, a symbol either prolongs the
 match, or ends the phrase and starts the next at that symbol. So each automaton is flattened to one
-table (state, symbol) -> state and phrases ended, and the texts of a batch are parsed side by side,
+table (state, symbol) -> state and phrases begun, and the texts of a batch are parsed side by side,
 one symbol a step. Long texts are cut into blocks of BLOCK symbols, each parsed on its own, so every text is
 parsed whole and no step waits for one long text.
 
@@ -86,7 +86,7 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Model:
-    """One parsing table a language. Entry: next state * 4 + phrases ended."""
+    """One parsing table a language. Entry: next state * 4 + phrases begun."""
 
     def __init__(self, samples: dict[str, str]) -> None:
         points = {lang: squeezed(letters_of(text))[:SAMPLE_CHARS] for lang, text in sorted(samples.items())}
@@ -103,8 +103,10 @@ class Model:
             for state, to in enumerate(nexts):
                 table[state, list(to)] = list(to.values())
             start = table[0]
-            anew = np.where(start >= 0, start * 4 + 1, 2)
-            self.tables.append(np.where(table >= 0, table * 4, anew).astype(np.int32).ravel())
+            anew = np.where(start >= 0, start * 4 + 1, 1)  # a symbol not in the sample is a phrase of its own
+            flat = np.where(table >= 0, table * 4, anew)
+            flat[0] = anew
+            self.tables.append(flat.astype(np.int32).ravel())
             self.bits.append(log2(max(len(p), 2)))
 
     def rates(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,15 +129,15 @@ class Model:
         owner = np.repeat(np.arange(len(n)), n_blocks)[order]
         out = np.zeros((len(n), len(self.langs)))
         for k, table in enumerate(self.tables):
-            state, ended = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int64)
+            state, begun = np.zeros(len(sizes), np.int32), np.zeros(len(sizes), np.int64)
             for step in range(BLOCK):
                 m = int(active[step])
                 if not m:
                     break
                 got = table[state[:m] * np.int32(self.width) + grid[step, :m]]
                 state[:m] = got >> 2
-                ended[:m] += got & 3
-            out[:, k] = np.bincount(owner, ended, minlength=len(n)) * self.bits[k] / np.maximum(n, 1)
+                begun[:m] += got & 3
+            out[:, k] = np.bincount(owner, begun, minlength=len(n)) * self.bits[k] / np.maximum(n, 1)
         return out, letters
 
 
