@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import sub_batches, tune
+from ledgerline.llm.common import settle, sub_batches, tune
 
 SHARE, PAGES = 0.6, 8
 #: Tags by what they do. Fixed values of HTML.
@@ -197,7 +197,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     tune(pages.sparkSession)
     source = with_host(pages, id_col, url_col, html_col)
     id_type = source.schema["id"].dataType.simpleString()
-    joined = source.join(site_templates(source), "host", "left").select("id", "url", "html", "templates")
+    templates = settle(site_templates(source), "templates")  # so that the join's sides come from scans, and Spark can split a hot host
+    joined = source.join(templates, "host", "left").select("id", "url", "html", "templates")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it, "html"):
