@@ -35,17 +35,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/ledgerline-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "t") -> DataFrame:
+def settle(df: DataFrame, name: str = "t", folder: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing of it.
 
     Spark drops the shuffle files of a finished step when the driver's JVM collects its garbage, so that is asked for.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}"
+    path = f"{folder or shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete what was settled in `folder` and is read no more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about SUB_BATCH bytes of `column`."""
     for batch in it:

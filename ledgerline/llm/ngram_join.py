@@ -7,7 +7,7 @@ Two documents link when 100 * |A n B| >= 80 * |A u B| on their sets of five-word
    documents hold last, then those of common words (both counted over all documents, in blocks; the bounded tables of
    the most frequent ones only change the order, never the result). So postings of wide-spread passages stay out, and so
    do those of phrases that unrelated documents share by chance, whose number grows with the square of the input.
-2. Postings that occur twice or more are joined with the smallest document of the list: a star for
+2. Documents in lists of two or more are compared with one document that has the shingle: a star for
    each list, not its pairs. The verified stars give first groups; long lists that hold several groups get further turns
    with other centres, so that a large group of near copies is one group before pairs are looked at.
 3. Lists that still hold several groups are joined with themselves across groups, within size-banded
@@ -25,19 +25,22 @@ link with nothing and have a null component_id; an empty table gives an empty re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settle, sub_batches, tune
+from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune
 from ledgerline.llm.components import components
 from ledgerline.llm.shingles import grouped, sets_of, weighed_rows, word_hashes
 
 #: Percent of the union that the intersection must have.
 PERCENT = 80
+#: The same as a distance, and what rounding may change of one.
+FAR, SLACK = 1 - PERCENT / 100, 1e-9
 LEAST_BITS = 512
 #: Frequent shingles are counted in blocks of so many, and the most frequent ones kept for the order.
 BLOCK, FREQUENT, WORDS, AT_LEAST = 2_000_000, 400_000, 100_000, 8
@@ -68,39 +71,47 @@ def differing_bits(x: bytes, y: bytes) -> int:
     return (p ^ q).bit_count()
 
 
-def frequent(docs: DataFrame, text_col: str) -> tuple[np.ndarray, ...]:
-    """The most frequent shingles with their counts, and words with their weights (the counts' bit lengths), each sorted by hash; bounded tables."""
+def frequent(source: DataFrame) -> tuple[np.ndarray, ...]:
+    """The most frequent shingles with their counts and a document that has each, and words with their weights (the counts' bit lengths), each sorted by hash; bounded tables."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {"shingle": [], "word": []}
+        held: dict[str, list[np.ndarray]] = {"shingle": [], "owner": [], "word": []}
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for kind, least in (("shingle", 2), ("word", AT_LEAST)):
-                token, n = np.unique(np.concatenate(held[kind]), return_counts=True)
-                token, n = token[n >= least], n[n >= least]
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))], ["kind", "token", "n"])
+            token, owner = np.concatenate(held["shingle"]), np.concatenate(held["owner"])
+            order = np.argsort(token)
+            begin = np.flatnonzero(np.r_[True, np.diff(token[order]) != 0])
+            n, first = np.diff(np.r_[begin, len(token)]), np.minimum.reduceat(owner[order], begin)
+            yield table("shingle", token[order][begin], n, first, 2)
+            token, n = np.unique(np.concatenate(held["word"]), return_counts=True)
+            yield table("word", token, n, np.zeros(len(n), np.int64), AT_LEAST)
+
+        def table(kind: str, token: np.ndarray, n: np.ndarray, first: np.ndarray, least: int) -> pa.RecordBatch:
+            token, n, first = token[n >= least], n[n >= least], first[n >= least]
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array(token.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(first)], ["kind", "token", "n", "first"])
 
         for batch in sub_batches(it):
             texts = batch.column("text").to_pylist()
-            for s in sets_of(texts):
+            for i, s in zip(batch.column("id").to_pylist(), sets_of(texts), strict=True):
                 held["shingle"].append(s)
+                held["owner"].append(np.full(len(s), i, np.int64))
                 size += len(s)
             held["word"] += [word_hashes(g)[0] for g in grouped(texts)]
             if size >= BLOCK:
                 yield from counted()
-                held, size = {"shingle": [], "word": []}, 0
+                held, size = {"shingle": [], "owner": [], "word": []}, 0
         if size:
             yield from counted()
 
-    counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "kind string, token bigint, n bigint")
-    sums = counts.groupBy("kind", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= AT_LEAST)
+    counts = source.where("id is not null").mapInArrow(run, "kind string, token bigint, n bigint, first bigint")
+    sums = counts.groupBy("kind", "token").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where(F.col("n") >= AT_LEAST)
     out: list[np.ndarray] = []
     for kind, most in (("shingle", FREQUENT), ("word", WORDS)):
-        top = sums.where(F.col("kind") == kind).select("token", "n").orderBy(F.desc("n"), "token").limit(most).toArrow()
-        token, n = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy()
+        top = sums.where(F.col("kind") == kind).select("token", "n", "first").orderBy(F.desc("n"), "token").limit(most).toArrow()
+        token, n, first = top["token"].to_numpy().view(np.uint64), top["n"].to_numpy(), top["first"].to_numpy()
         order = np.argsort(token)
-        out += [token[order], n[order] if kind == "shingle" else np.ceil(np.log2(n[order] + 1)).astype(np.int64)]
+        out += [token[order], n[order], first[order]] if kind == "shingle" else [token[order], np.ceil(np.log2(n[order] + 1)).astype(np.int64)]
     return tuple(out)
 
 
@@ -109,24 +120,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     tune(spark)
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    often = spark.sparkContext.broadcast(frequent(docs, text_col))
+    often = spark.sparkContext.broadcast(frequent(source))
 
     def postings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, count, words, weights = often.value
+        token, count, owner, words, weights = often.value
         for batch in sub_batches(it):
-            ids, out_id, out_token, out_n = batch.column("id").to_numpy(zero_copy_only=False), [], [], []
+            ids, out_id, out_token, out_n, out_owner, out_hot = batch.column("id").to_numpy(zero_copy_only=False), [], [], [], [], []
             for i, (row, weight) in zip(ids, weighed_rows(batch.column("text").to_pylist(), words, weights), strict=True):
                 if len(row):
                     s, first = np.unique(row, return_index=True)
                     k, last = prefix_length(len(s)), weight[first]
+                    hot, own = np.zeros(len(s), bool), np.zeros(len(s), np.int64)
                     if len(token):
                         at = np.minimum(np.searchsorted(token, s), len(token) - 1)
-                        last = last + (np.where(token[at] == s, count[at], 0) << 16)
-                    out_token.append(s[np.argsort(last, kind="stable")[:k]])
+                        hot = token[at] == s
+                        own, last = owner[at], last + (np.where(hot, count[at], 0) << 16)
+                    chosen = np.argsort(last, kind="stable")[:k]
+                    out_token.append(s[chosen])
+                    out_hot.append(hot[chosen])
+                    out_owner.append(own[chosen])
                     out_id.append(np.full(k, i))
                     out_n.append(np.full(k, len(s), np.int32))
             if out_id:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_token).view(np.int64)), pa.array(np.concatenate(out_id).astype(np.int64)), pa.array(np.concatenate(out_n))], ["token", "id", "n"])
+                cold = ~np.concatenate(out_hot)
+                cols = [pa.array(np.concatenate(out_token).view(np.int64)), pa.array(np.concatenate(out_id).astype(np.int64)), pa.array(np.concatenate(out_n)), pa.array(np.concatenate(out_owner), mask=cold)]
+                yield pa.RecordBatch.from_arrays(cols, ["token", "id", "n", "owner"])
 
     def signatures(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
@@ -134,15 +152,19 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             cols = [pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.binary()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *cols], ["id", "n", "bits", "digest"])
 
+    work = shared_folder(spark)
     sets = settle(source.mapInArrow(signatures, "id bigint, n bigint, bits binary, digest binary"), "sets")
-    posted = source.where("id is not null").mapInArrow(postings, "token bigint, id bigint, n int")
-    lists = posted.groupBy("token").agg(F.count("*").alias("in_list"), F.min("id").alias("centre")).where("in_list > 1").select("token", "centre")
-    kept = settle(posted.join(lists, "token"), "postings")
-
-    stars = kept.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    first = settle(verified(stars, sets, source), "links")
-    groups = components(first)
+    posted = source.where("id is not null").mapInArrow(postings, "token bigint, id bigint, n int, owner bigint")
+    # one exchange deals out all postings: lists of frequent shingles by document, as their centre is known, the others by shingle
+    dealt = Window.partitionBy("token", F.when(F.col("owner").isNotNull(), F.col("id")))
+    lists = posted.withColumns({"in_list": F.count("*").over(dealt), "least": F.min("id").over(dealt)}).where("owner is not null or in_list > 1")
+    kept = settle(lists.select("token", "id", "n", F.coalesce("owner", "least").alias("centre")), "postings", work)
+
+    stars = kept.where("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+    links = [verified(stars, sets, source)]
+    groups = components(links[0])
     tiled = several(kept.select("token", "id", "n"), groups)
+    discard(spark, work)
     for turn in range(STAR_TURNS):
         # long lists first once more by stars, with other centres: one document of each group in the list against the centre
         long = tiled.join(tiled.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > LONG_LIST).select("token"), "token")
@@ -150,17 +172,44 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         one = long.groupBy("token", "root").agg(F.min_by("id", mark("id")).alias("id"))
         centre = one.groupBy("token").agg(F.min_by("id", mark("id")).alias("centre"))
         stars = one.join(centre, "token").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        more = settle(verified(stars, sets, source), "links")
+        more = verified(stars, sets, source)
         if more.isEmpty():
             break
-        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+        links.append(more)
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
         tiled = several(tiled.select("token", "id", "n"), groups)
-    tiled = tiled.withColumn("band", F.floor(F.log(100.0 / PERCENT, F.col("n"))).cast("int"))
-    x, y = tiled.alias("x"), tiled.alias("y")
-    close = "x.root < y.root and abs(x.band - y.band) <= 1 and 100 * x.n >= {0} * y.n and 100 * y.n >= {0} * x.n".format(PERCENT)
-    pairs = x.join(y, F.expr(f"x.token = y.token and {close}")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    second = verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, source)
-    return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
+    links.append(across(tiled, reduce(DataFrame.union, links), sets, source))
+    return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links[-1].select("a", "b")))
+
+
+def across(tiled: DataFrame, links: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
+    """All links between groups of one list that may join them.
+
+    Jaccard distance is a metric. Each document has a centre, the best-linked one of the documents linked with it and
+    itself, at a known distance. Where the centres of two documents lie further apart than FAR and both documents'
+    distances from them, the documents can't link; so the centres are compared first, and only the members that are
+    far enough out of theirs are compared with each other.
+    """
+    ends = links.select(F.col("a").alias("id"), F.col("b").alias("centre"), "d").union(links.select("b", "a", "d"))
+    degree = ends.groupBy("id").agg(F.count("*").alias("degree"))
+    choice = ends.join(degree.withColumnRenamed("id", "centre"), "centre").select("id", "centre", "d", "degree")
+    choice = choice.union(degree.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("d"), "degree"))
+    best = choice.groupBy("id").agg(F.max_by(F.struct("centre", "d"), F.struct("degree", -F.col("centre"))).alias("best")).select("id", "best.*")
+    members = settle(tiled.join(best, "id", "left").select("token", "id", "n", "root", F.coalesce("centre", "id").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d")), "members")
+
+    spots = members.groupBy("token", "centre").agg(F.min("root").alias("root"), F.max("d").alias("d"), F.min("n").alias("low"), F.max("n").alias("high"))
+    band = lambda c: F.floor(F.log(100.0 / PERCENT, F.col(c))).cast("int")
+    spots = spots.withColumns({"from_band": band("low"), "to_band": band("high")})
+    close = "x.root < y.root and x.from_band - y.to_band <= 1 and y.from_band - x.to_band <= 1 and 100 * x.high >= {0} * y.low and 100 * y.high >= {0} * x.low".format(PERCENT)
+    met = spots.alias("x").join(spots.alias("y"), F.expr(f"x.token = y.token and {close}")).select(F.least("x.centre", "y.centre").alias("a"), F.greatest("x.centre", "y.centre").alias("b"), F.expr("x.d + y.d").alias("reach"))
+    between = verified(met.groupBy("a", "b").agg(F.max("reach").alias("reach")), sets, source, "reach")
+
+    # centres that link join their groups; the others' members are compared where they may
+    open_ = between.where(f"not linked and reach > 0 and d <= {FAR} + reach + {SLACK}").select("a", "b", F.col("d").alias("apart"))
+    x, y = members.alias("x"), members.alias("y")
+    out = open_.alias("o").join(x, F.expr("o.a = x.centre")).join(y, F.expr(f"o.b = y.centre and x.token = y.token and x.d + y.d + {FAR + SLACK} >= o.apart and 100 * x.n >= {PERCENT} * y.n and 100 * y.n >= {PERCENT} * x.n"))
+    inner = verified(out.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), sets, source)
+    return between.where("linked").select("a", "b", "d").union(inner)
 
 
 def several(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -171,57 +220,70 @@ def several(postings: DataFrame, groups: DataFrame) -> DataFrame:
     return settle(named.join(mixed, "token"), "tiles")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link: by digest, bitmap bound, then exact intersection."""
+def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, reach: str | None = None) -> DataFrame:
+    """The pairs (a, b) whose sets link, with their distance d: by digest, bitmap bound, then exact intersection.
+
+    With `reach`, pairs have that column; those whose distance is at most FAR and `reach` come back with it and `linked`.
+    """
+    spark, work = pairs.sparkSession, shared_folder(pairs.sparkSession)
     s = sets.where("n > 0 and id is not null")
     left = s.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"), F.col("digest").alias("da"))
     right = s.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("digest").alias("db"))
-    sized = pairs.join(left, "a").join(right, "b").where(f"100 * na >= {PERCENT} * nb and 100 * nb >= {PERCENT} * na")
+    pairs = pairs.select("a", "b", (F.col(reach) if reach else F.lit(0.0)).alias("reach"))
+    sized = pairs.join(left, "a").join(right, "b").where(f"least(na, nb) >= ({1 - FAR - SLACK} - reach) * greatest(na, nb)")
 
     def bounded(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             if not batch.num_rows:
                 continue
-            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            na, nb, more = (batch.column(c).to_numpy() for c in ("na", "nb", "reach"))
             differ = np.array([differing_bits(p, q) for p, q in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), strict=True)])
             most = (na + nb - differ) // 2
             equal = np.array([p == q for p, q in zip(batch.column("da").to_pylist(), batch.column("db").to_pylist(), strict=True)])
-            keep = equal | (100 * most >= PERCENT * (na + nb - most))
-            cols = [batch.column("a"), batch.column("b"), pa.array(equal)]
-            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "equal"]).filter(pa.array(keep))
+            keep = equal | (most >= (1 - FAR - SLACK - more) * (na + nb - most))
+            cols = [batch.column("a"), batch.column("b"), batch.column("reach"), pa.array(equal)]
+            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "reach", "equal"]).filter(pa.array(keep))
 
-    candidates = settle(sized.select("a", "b", "na", "nb", "bits_a", "bits_b", "da", "db").mapInArrow(bounded, "a bigint, b bigint, equal boolean"), "candidates")
-    rest = candidates.where("not equal").select("a", "b")
-    wanted = rest.select(F.col("a").alias("id")).union(rest.select(F.col("b").alias("id"))).distinct()
+    candidates = settle(sized.select("a", "b", "reach", "na", "nb", "bits_a", "bits_b", "da", "db").mapInArrow(bounded, "a bigint, b bigint, reach double, equal boolean"), "candidates", work)
+    rest = candidates.where("not equal").select("a", "b", "reach")
+    wanted = settle(rest.select(F.col("a").alias("id")).union(rest.select(F.col("b").alias("id"))).distinct(), "wanted", work)
 
     def arrays(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in sets_of(batch.column("text").to_pylist())], pa.binary())], ["id", "set"])
 
-    wanted = settle(wanted, "wanted")
-    if wanted.count() <= MOST_IDS:
-        ids = source.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["id"].to_numpy()))
-
-        def own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in it:
-                yield batch.filter(pa.array(np.isin(batch.column("id").to_numpy(zero_copy_only=False), ids.value)))
-
-        found = source.where("id is not null").mapInArrow(lambda it: arrays(own(it)), "id bigint, set binary")
-    else:
-        found = source.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(arrays, "id bigint, set binary")
-    full = settle(found, "arrays")
-    both = rest.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "x", "y")
-
-    def exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(it, "y"):
-            keep = []
-            for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                common = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(u) + len(v) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return candidates.where("equal").select("a", "b").union(both.mapInArrow(exact, "a bigint, b bigint"))
+    result = candidates.where("equal").select("a", "b", "reach", F.lit(0.0).alias("d"), F.lit(True).alias("linked"))
+    if n_wanted := wanted.count():
+        if n_wanted <= MOST_IDS:
+            ids = spark.sparkContext.broadcast(np.sort(wanted.toArrow()["id"].to_numpy()))
+
+            def own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in it:
+                    yield batch.filter(pa.array(np.isin(batch.column("id").to_numpy(zero_copy_only=False), ids.value)))
+
+            found = source.where("id is not null").mapInArrow(lambda it: arrays(own(it)), "id bigint, set binary")
+        else:
+            found = source.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(arrays, "id bigint, set binary")
+        full = settle(found, "arrays", work)
+        both = rest.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "reach", "x", "y")
+
+        def exact(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in sub_batches(it, "y"):
+                d, linked = [], []
+                for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                    u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                    common = len(np.intersect1d(u, v, assume_unique=True))
+                    union = len(u) + len(v) - common
+                    d.append(1 - common / union)
+                    linked.append(100 * common >= PERCENT * union)
+                cols = [batch.column("a"), batch.column("b"), batch.column("reach"), pa.array(d, pa.float64()), pa.array(linked, pa.bool_())]
+                out = pa.RecordBatch.from_arrays(cols, ["a", "b", "reach", "d", "linked"])
+                yield out if reach else out.filter(cols[-1])
+
+        result = result.union(both.mapInArrow(exact, "a bigint, b bigint, reach double, d double, linked boolean"))
+    result = settle(result if reach else result.select("a", "b", "d"), "links")
+    discard(spark, work)
+    return result
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
