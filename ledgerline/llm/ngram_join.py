@@ -11,8 +11,10 @@ Two documents link when 100 * |A n B| >= 80 * |A u B| on their sets of five-word
    each list, not its pairs. The verified stars give first groups; long lists that hold several groups get further turns
    with other centres, so that a large group of near copies is one group before pairs are looked at.
 3. Lists that still hold several groups are joined with themselves across groups, within size-banded
-   tiles (equal or adjacent bands of ratio 1 / 0.8; sets that link lie no further apart). So every
-   pair that may link is either in one group already or compared: no link between groups is lost.
+   tiles (equal or adjacent bands of ratio 1 / 0.8; sets that link lie no further apart) and as far as the place
+   of the shingle in both prefixes leaves room for the overlap, were it the first they have in common. Stars stand
+   for their members there, as far as the triangle inequality of Jaccard distance proves that those can't link. So
+   every pair that may link is in one group already, ruled out or compared: no link between groups is lost.
 4. Pairs are verified first by hashed bitmap signatures: with parity bits, the bit count of the
    exclusive or is at most |A x B|, so it bounds the overlap from above. Survivors are verified by
    exact intersection of the sorted arrays; equal set digests need none.
@@ -54,6 +56,14 @@ def prefix_length(n: int) -> int:
     return n - (n * PERCENT + 99) // 100 + 1
 
 
+def largest_partner(n: int) -> np.ndarray:
+    """For each place in the prefix of a set of n: the largest set that may link with it if their first common shingle is there.
+
+    The overlap is at most what is left from there on, and has to be at least PERCENT / (100 + PERCENT) of both sizes.
+    """
+    return (100 + PERCENT) * (n - np.arange(prefix_length(n))) // PERCENT - n
+
+
 def signature(s: np.ndarray) -> bytes:
     """Parity bits of the elements: as many as the next power of two of the set's size, LEAST_BITS at least."""
     bits = max(LEAST_BITS, 1 << max(len(s) - 1, 0).bit_length())
@@ -125,7 +135,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def postings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, count, owner, words, weights = often.value
         for batch in sub_batches(it):
-            ids, out_id, out_token, out_n, out_owner, out_hot = batch.column("id").to_numpy(zero_copy_only=False), [], [], [], [], []
+            ids, out_id, out_token, out_n, out_top, out_owner, out_hot = batch.column("id").to_numpy(zero_copy_only=False), [], [], [], [], [], []
             for i, (row, weight) in zip(ids, weighed_rows(batch.column("text").to_pylist(), words, weights), strict=True):
                 if len(row):
                     s, first = np.unique(row, return_index=True)
@@ -141,10 +151,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     out_owner.append(own[chosen])
                     out_id.append(np.full(k, i))
                     out_n.append(np.full(k, len(s), np.int32))
+                    out_top.append(largest_partner(len(s)).astype(np.int32))
             if out_id:
                 cold = ~np.concatenate(out_hot)
-                cols = [pa.array(np.concatenate(out_token).view(np.int64)), pa.array(np.concatenate(out_id).astype(np.int64)), pa.array(np.concatenate(out_n)), pa.array(np.concatenate(out_owner), mask=cold)]
-                yield pa.RecordBatch.from_arrays(cols, ["token", "id", "n", "owner"])
+                cols = [pa.array(np.concatenate(out_token).view(np.int64)), pa.array(np.concatenate(out_id).astype(np.int64)), pa.array(np.concatenate(out_n)), pa.array(np.concatenate(out_top)), pa.array(np.concatenate(out_owner), mask=cold)]
+                yield pa.RecordBatch.from_arrays(cols, ["token", "id", "n", "top", "owner"])
 
     def signatures(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
@@ -154,16 +165,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     work = shared_folder(spark)
     sets = settle(source.mapInArrow(signatures, "id bigint, n bigint, bits binary, digest binary"), "sets")
-    posted = source.where("id is not null").mapInArrow(postings, "token bigint, id bigint, n int, owner bigint")
+    posted = source.where("id is not null").mapInArrow(postings, "token bigint, id bigint, n int, top int, owner bigint")
     # one exchange deals out all postings: lists of frequent shingles by document, as their centre is known, the others by shingle
     dealt = Window.partitionBy("token", F.when(F.col("owner").isNotNull(), F.col("id")))
     lists = posted.withColumns({"in_list": F.count("*").over(dealt), "least": F.min("id").over(dealt)}).where("owner is not null or in_list > 1")
-    kept = settle(lists.select("token", "id", "n", F.coalesce("owner", "least").alias("centre")), "postings", work)
+    kept = settle(lists.select("token", "id", "n", "top", F.coalesce("owner", "least").alias("centre")), "postings", work)
 
     stars = kept.where("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
     links = [verified(stars, sets, source)]
     groups = components(links[0])
-    tiled = several(kept.select("token", "id", "n"), groups)
+    tiled = several(kept.select("token", "id", "n", "top"), groups)
     discard(spark, work)
     for turn in range(STAR_TURNS):
         # long lists first once more by stars, with other centres: one document of each group in the list against the centre
@@ -177,7 +188,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             break
         links.append(more)
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
-        tiled = several(tiled.select("token", "id", "n"), groups)
+        tiled = several(tiled.select("token", "id", "n", "top"), groups)
     links.append(across(tiled, reduce(DataFrame.union, links), sets, source))
     return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links[-1].select("a", "b")))
 
@@ -195,27 +206,27 @@ def across(tiled: DataFrame, links: DataFrame, sets: DataFrame, source: DataFram
     choice = ends.join(degree.withColumnRenamed("id", "centre"), "centre").select("id", "centre", "d", "degree")
     choice = choice.union(degree.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("d"), "degree"))
     best = choice.groupBy("id").agg(F.max_by(F.struct("centre", "d"), F.struct("degree", -F.col("centre"))).alias("best")).select("id", "best.*")
-    members = settle(tiled.join(best, "id", "left").select("token", "id", "n", "root", F.coalesce("centre", "id").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d")), "members")
+    members = settle(tiled.join(best, "id", "left").select("token", "id", "n", "top", "root", F.coalesce("centre", "id").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d")), "members")
 
-    spots = members.groupBy("token", "centre").agg(F.min("root").alias("root"), F.max("d").alias("d"), F.min("n").alias("low"), F.max("n").alias("high"))
+    spots = members.groupBy("token", "centre").agg(F.min("root").alias("root"), F.max("d").alias("d"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("top").alias("top"))
     band = lambda c: F.floor(F.log(100.0 / PERCENT, F.col(c))).cast("int")
     spots = spots.withColumns({"from_band": band("low"), "to_band": band("high")})
-    close = "x.root < y.root and x.from_band - y.to_band <= 1 and y.from_band - x.to_band <= 1 and 100 * x.high >= {0} * y.low and 100 * y.high >= {0} * x.low".format(PERCENT)
+    close = "x.root < y.root and x.from_band - y.to_band <= 1 and y.from_band - x.to_band <= 1 and 100 * x.high >= {0} * y.low and 100 * y.high >= {0} * x.low and x.low <= y.top and y.low <= x.top".format(PERCENT)
     met = spots.alias("x").join(spots.alias("y"), F.expr(f"x.token = y.token and {close}")).select(F.least("x.centre", "y.centre").alias("a"), F.greatest("x.centre", "y.centre").alias("b"), F.expr("x.d + y.d").alias("reach"))
     between = verified(met.groupBy("a", "b").agg(F.max("reach").alias("reach")), sets, source, "reach")
 
     # centres that link join their groups; the others' members are compared where they may
     open_ = between.where(f"not linked and reach > 0 and d <= {FAR} + reach + {SLACK}").select("a", "b", F.col("d").alias("apart"))
     x, y = members.alias("x"), members.alias("y")
-    out = open_.alias("o").join(x, F.expr("o.a = x.centre")).join(y, F.expr(f"o.b = y.centre and x.token = y.token and x.d + y.d + {FAR + SLACK} >= o.apart and 100 * x.n >= {PERCENT} * y.n and 100 * y.n >= {PERCENT} * x.n"))
+    out = open_.alias("o").join(x, F.expr("o.a = x.centre")).join(y, F.expr(f"o.b = y.centre and x.token = y.token and x.d + y.d + {FAR + SLACK} >= o.apart and 100 * x.n >= {PERCENT} * y.n and 100 * y.n >= {PERCENT} * x.n and x.n <= y.top and y.n <= x.top"))
     inner = verified(out.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), sets, source)
     return between.where("linked").select("a", "b", "d").union(inner)
 
 
 def several(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """(token, id, n, root) of the lists that hold several groups."""
+    """(token, id, n, top, root) of the lists that hold several groups."""
     few = F.broadcast(groups) if groups.count() <= MOST_ROOTS else groups
-    named = postings.join(few.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", F.coalesce("root", "id").alias("root"))
+    named = postings.join(few.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "top", F.coalesce("root", "id").alias("root"))
     mixed = named.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
     return settle(named.join(mixed, "token"), "tiles")
 
