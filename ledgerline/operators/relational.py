@@ -98,3 +98,33 @@ def budget_rung(df: DataFrame, key: str, length: Column, rungs: list[int], budge
 def components_by_block(edges: DataFrame, block: str, ident: str) -> DataFrame:
     """Where edges join all equal values of a block key, the component of each row is its block's smallest id."""
     return edges.groupBy(block).agg(F.min(ident).alias("component"), F.count("*").alias("members"))
+
+
+def _range_of(key: Column, bounds: list[Column], low: int, high: int) -> Column:
+    """How many of the sorted bounds are not above the key, by a tree of comparisons."""
+    if low == high:
+        return F.lit(low)
+    mid = (low + high) // 2
+    return F.when(key < bounds[mid], _range_of(key, bounds, low, mid)).otherwise(_range_of(key, bounds, mid + 1, high))
+
+
+def positions(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """The row number of each row in its group by `order` (nulls first), for groups of any size.
+
+    Rows are dealt to ranges of (group, order) whose bounds come from a sample, taken by hash and collected once, so
+    every evaluation deals alike; a row's number is that in its range, plus the rows of its group in the ranges before.
+    The sample only evens out the ranges. Rows that agree in group and order share a range.
+    """
+    keys = [group, *order]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*keys).alias("key")
+    sample = df.select(key).orderBy(F.xxhash64("key"), "key").limit(20 * n).orderBy("key").collect()
+    kinds = [df.schema[k].dataType for k in keys]
+    bounds = [F.struct(*(F.lit(v).cast(t).alias(k) for v, t, k in zip(r.key, kinds, keys, strict=True))) for r in sample[20::20]]
+    dealt = df.withColumn("_key", F.struct(*keys)).withColumn("_range", _range_of(F.col("_key"), bounds, 0, len(bounds))).drop("_key")
+    sizes = dealt.groupBy(group, "_range").agg(F.count("*").alias("_rows"))  # about one row for each range
+    before = F.sum("_rows").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order)))
+    joined = placed.join(F.broadcast(offsets), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return joined.withColumn(name, F.col("_before") + F.col("_place")).drop("_group", "_of", "_before", "_place", "_range")

@@ -409,19 +409,31 @@ def reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("reconciles", F.col("done") + F.col("open") + F.col("other") == F.col("total"))
 
 
-@query("""
-WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN strftime(o_orderdate, '%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders WHERE o_custkey <= 200)
-SELECT o_orderkey, d AS partial_date, CASE length(d) WHEN 4 THEN 'year' WHEN 7 THEN 'month' WHEN 10 THEN 'day' ELSE 'undated' END AS date_precision, row_number() OVER (PARTITION BY d IS NULL ORDER BY d, o_orderkey) AS position FROM t""")
-def timeline_order(spark: SparkSession, d: str) -> DataFrame:
-    """Dated rows in text order of their partial dates, undated rows on their own, for one subject (customers up to 200)."""
-    o = orders(spark, d).where("o_custkey <= 200")
+def _timeline(o: DataFrame) -> DataFrame:
+    """Dated rows in text order of their partial dates, undated rows on their own."""
     k = F.col("o_orderkey") % 4
     partial = F.when(k == 1, F.date_format("od", "yyyy")).when(k == 2, F.date_format("od", "yyyy-MM")).when(k == 3, F.date_format("od", "yyyy-MM-dd"))
     t = o.select("o_orderkey", partial.alias("partial_date")).withColumn("undated", F.col("partial_date").isNull())
     n = F.length("partial_date")
     kind = F.when(n == 4, "year").when(n == 7, "month").when(n == 10, "day").otherwise("undated")
-    place = F.row_number().over(Window.partitionBy("undated").orderBy("partial_date", "o_orderkey"))
-    return t.select("o_orderkey", "partial_date", kind.alias("date_precision"), long(place).alias("position"))
+    t = rel.positions(t, "undated", ["partial_date", "o_orderkey"], "position")
+    return t.select("o_orderkey", "partial_date", kind.alias("date_precision"), long("position").alias("position"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN strftime(o_orderdate, '%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders WHERE o_custkey <= 200)
+SELECT o_orderkey, d AS partial_date, CASE length(d) WHEN 4 THEN 'year' WHEN 7 THEN 'month' WHEN 10 THEN 'day' ELSE 'undated' END AS date_precision, row_number() OVER (PARTITION BY d IS NULL ORDER BY d, o_orderkey) AS position FROM t""")
+def timeline_order(spark: SparkSession, d: str) -> DataFrame:
+    """The timeline of one subject (customers up to 200); `timeline_order_all` has all of them."""
+    return _timeline(orders(spark, d).where("o_custkey <= 200"))
+
+
+@query("""
+WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN strftime(o_orderdate, '%Y') WHEN 2 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders)
+SELECT o_orderkey, d AS partial_date, CASE length(d) WHEN 4 THEN 'year' WHEN 7 THEN 'month' WHEN 10 THEN 'day' ELSE 'undated' END AS date_precision, row_number() OVER (PARTITION BY d IS NULL ORDER BY d, o_orderkey) AS position FROM t""")
+def timeline_order_all(spark: SparkSession, d: str) -> DataFrame:
+    """The timeline of all orders."""
+    return _timeline(orders(spark, d))
 
 
 @query("""

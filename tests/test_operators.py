@@ -91,3 +91,21 @@ def test_html_nodes(spark):
     page = "<h2>Item <b>1</b></h2><p>See <a href='#'>link</a> <i>now</i><script>x</script>"
     got = matching.html_nodes(spark.createDataFrame([(1, page), (2, None)], "id int, html string"), "id", "html").orderBy("ord").collect()
     assert [(r.text, r.in_link, r.bold, r.italic, r.heading) for r in got] == [("Item", False, False, False, "h2"), ("1", False, True, False, "h2"), ("See", False, False, False, None), ("link", True, False, False, None), ("now", False, False, True, None)]
+
+
+def test_positions_over_all_rows(spark):
+    rows = [(None if k % 5 == 0 else k % 3 == 0, None if k % 7 == 0 else f"d{k * 37 % 50}", k * 7919 % 1000) for k in range(1000)]
+    df = spark.createDataFrame(rows, "g boolean, d string, k bigint")
+    got = {r.k: r.n for r in rel.positions(df, "g", ["d", "k"], "n").collect()}
+    want = {}
+    for g in (None, False, True):
+        own = sorted((r for r in rows if r[0] is g), key=lambda r: (r[1] is not None, r[1] or "", r[2]))
+        want |= {r[2]: n for n, r in enumerate(own, 1)}
+    assert got == want
+
+
+def test_timeline_has_all_orders(spark):
+    from ledgerline.plans import catalogue
+
+    folder = "/root/testdata/sf0.001"
+    assert catalogue.QUERIES["timeline_order_all"](spark, folder).count() == spark.read.parquet(f"{folder}/orders.parquet").count()
