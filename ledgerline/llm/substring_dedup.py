@@ -1,10 +1,12 @@
 """Substring deduplication by content-defined chunking.
 
 A gear rolling hash over the last 16 bytes decides after which white space a chunk ends, so an
-insertion moves no border but those next to it; chunks have at least MIN_BYTES, and stretches
-without white space are cut at the hash alone. Chunks are compared by digest over all documents;
+insertion moves no border but those next to it; chunks have at least MIN_BYTES. Farther than FAR_BYTES
+from the last white space the hash alone cuts, so texts without white space (Chinese, Japanese, Thai, base64) have
+chunks of the same size; this too depends only on the bytes just before, whatever the stretch's length. Chunks are compared by digest over all documents;
 each digest's first place (smallest doc_id, then position) stays. A stretch of neighbouring chunks
-that are first found in documents with smaller ids is removed if it has at least RUN_WORDS words:
+that are first found in documents with smaller ids is removed if it has at least RUN_WORDS words, where a
+long word counts once for each WORD_BYTES:
 a repeated passage of over 50 words holds such a stretch, while single chunks that are equal by chance do not.
 
 Digests are grouped with map-side combination and joined back (a join that Spark can split), so a
@@ -31,9 +33,10 @@ from ledgerline.llm.common import settle, sub_batches, tune
 MIN_BYTES = 24
 #: One white space in so many ends a chunk, once it has MIN_BYTES.
 ONE_IN = 4
-#: Stretches longer than this without a border are cut at the hash alone, about every 512 bytes.
-LONG_BYTES = 4096
-RUN_WORDS = 15
+#: Farther than this from white space, one place between characters in so many ends a chunk.
+FAR_BYTES, FAR_ONE_IN = 48, 8
+#: A longer word counts as one for each WORD_BYTES.
+RUN_WORDS, WORD_BYTES = 15, 12
 #: White space of the word contracts. Fixed values.
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -64,24 +67,26 @@ def borders(raw: bytes) -> list[int]:
     data = np.frombuffer(raw, np.uint8)
     h = gear(data)
     space = IS_SPACE[data]
-    after = space[:-1] & ~space[1:]
-    found = (np.flatnonzero(after & (h[:-1] < np.uint32((1 << 32) // ONE_IN))) + 1).tolist()
+    found = space[:-1] & ~space[1:] & (h[:-1] < np.uint32((1 << 32) // ONE_IN))
+    places = np.r_[-1, np.flatnonzero(space), len(data)]
+    if np.diff(places).max() > FAR_BYTES:
+        since = np.arange(len(data)) - np.repeat(places[:-1], np.diff(places))[1:]
+        starts = (data[1:] & 0xC0) != 0x80
+        found |= (since[:-1] > FAR_BYTES) & starts & (h[:-1] < np.uint32((1 << 32) // FAR_ONE_IN))
     n, out, last = len(raw), [0], 0
-    for at in [*found, n]:
-        if at - last > LONG_BYTES:
-            inner = (h[last : at - 1] & np.uint32(511 << 20)) == 0
-            starts = (data[last + 1 : at] & 0xC0) != 0x80
-            for x in (np.flatnonzero(inner & starts) + last + 1).tolist():
-                if x - last >= MIN_BYTES and at - x >= MIN_BYTES:
-                    out.append(x)
-                    last = x
-        if at - last >= MIN_BYTES and at < n:
+    for at in (np.flatnonzero(found) + 1).tolist():
+        if at - last >= MIN_BYTES:
             out.append(at)
             last = at
     out.append(n)
     return out
 
 
+def weight(passage: bytes) -> int:
+    """The words of a passage, where a long one counts once for each WORD_BYTES."""
+    return sum(max(1, len(w) // WORD_BYTES) for w in passage.split())
+
+
 def removed(raw: bytes, flagged: list[int]) -> list[tuple[int, int]]:
     """Byte spans to remove: runs of flagged chunks with RUN_WORDS words or more."""
     marks, edges, spans = set(flagged), borders(raw), []
@@ -90,7 +95,7 @@ def removed(raw: bytes, flagged: list[int]) -> list[tuple[int, int]]:
         if b is not None and a in marks:
             start = a if start is None else start
         elif start is not None:
-            if len(raw[start:a].split()) >= RUN_WORDS:
+            if weight(raw[start:a]) >= RUN_WORDS:
                 spans.append((start, a))
             start = None
     return spans

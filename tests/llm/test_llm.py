@@ -213,6 +213,24 @@ def test_substrings(spark):
     assert len(out) == len(rows)
 
 
+@pytest.mark.parametrize("letters,length", [([chr(0x4E00 + k) for k in range(3000)], 200), ([chr(0xE01 + k) for k in range(46)], 200), (list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 400)])
+def test_substrings_without_spaces(spark, letters, length):
+    rng = random.Random(9)
+    run = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    passage, whole = run(length), run(900)
+    rows = [(1, run(700) + passage + run(700)), (2, whole)]
+    rows += [(10 + k, run(rng.randint(0, 900)) + passage + run(rng.randint(0, 900))) for k in range(30)]
+    rows += [(60, "short line\n" + passage + "\nshort line"), (61, whole), (62, run(2000))]
+    out = {r.doc_id: r for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for k, old in rows:
+        if k in (1, 2, 62):
+            assert out[k].text == old
+        elif k == 61:
+            assert out[k].text == ""
+        else:
+            assert 0.4 * length <= out[k].n_removed <= length
+
+
 def test_leaks(spark):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
