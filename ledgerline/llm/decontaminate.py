@@ -1,4 +1,4 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by size-partitioned MinHash containment search, and exact look-up of short items.
 
 Items are partitioned by the size of their shingle set, in classes of ratio 4 (largest size m). For
 each class a document's shingles are cut, in text order, into windows of 2 m with a step of m, so a
@@ -7,13 +7,15 @@ the similarity of item and window then has a lower bound, which that of item and
 Windows and items are sketched by one-permutation MinHash with 2 m bins; an equal minimum in any bin makes
 a candidate, which exact shingle containment in the whole document then verifies: an item is contained if
 100 * shared >= 80 * its shingles. An item of n shingles is missed only if none of its n * 0.8 shared
-shingles is the minimum of its bin in the window (each is with probability over 1/3, mostly 3/4).
+shingles is the minimum of its bin in the window (each is with probability over 1/3, mostly 3/4). That is too often for few
+shingles, so items of up to EXACT shingles are looked up by each of their shingles instead, and items under five words by
+their own number of words; none of these is missed.
 
 Items come to the driver in blocks of ITEMS rows at most, are broadcast, and all documents are searched
 for each block; nothing is shuffled.
 
 Defined cases: null or empty texts and items contain and match nothing; an item with fewer than five
-words matches only documents that are this word sequence; repeated items or rows each give rows; null
+words is one shingle, contained where this word sequence is; repeated items or rows each give rows; null
 ids are carried as null; empty tables give an empty result.
 """
 
@@ -28,15 +30,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import settle, sub_batches, tune
-from ledgerline.llm.shingles import rows_of, sets_of
+from ledgerline.llm.shingles import K, rows_of, runs_of, sets_of, word_counts
 
 PERCENT = 80
 ITEMS = 20_000
-SMALLEST = 16
+EXACT = 16
+SMALLEST = 64
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 FILTER_BITS = 20
 
 
+class Table:
+    """Items by hashes: sorted, with the item of each."""
+
+    def __init__(self, hashes: list[np.ndarray], owners: list[int]) -> None:
+        value = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        owner = np.repeat(np.array(owners, np.int64), [len(h) for h in hashes])
+        order = np.argsort(value, kind="stable")
+        self.value, self.owner = value[order], owner[order]
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self.value >> np.uint64(64 - FILTER_BITS)] = True
+
+    def candidates(self, flat: np.ndarray, doc: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) with an equal hash."""
+        at = np.flatnonzero(self.filter[flat >> np.uint64(64 - FILTER_BITS)])
+        value = flat[at]
+        left, right = np.searchsorted(self.value, value, "left"), np.searchsorted(self.value, value, "right")
+        hit = left < right
+        out = set()
+        for r, a, b in sorted(set(zip(doc[at[hit]].tolist(), left[hit].tolist(), right[hit].tolist(), strict=True))):
+            out.update((r, o) for o in self.owner[a:b].tolist())
+        return out
+
+
 class SizeClass:
     """The items of one size class: their MinHash minima, sorted, with the item of each."""
 
@@ -81,38 +107,54 @@ class SizeClass:
         return out
 
 
-def compiled(items: list[tuple[int | None, str | None]]) -> tuple[list[SizeClass], list[np.ndarray], list[int | None]]:
-    sets = sets_of([t for _, t in items])
-    classes: dict[int, SizeClass] = {}
-    for k, s in enumerate(sets):
-        if len(s):
-            m = SMALLEST
-            while m < len(s):
-                m *= 4
-            classes.setdefault(m, SizeClass(m)).add(k, s)
-    for c in classes.values():
-        c.close()
-    return [classes[m] for m in sorted(classes)], sets, [i for i, _ in items]
+class Items:
+    """One block of items: size classes, the table of short items, and for each number of words under K that of items of so many."""
+
+    def __init__(self, items: list[tuple[int | None, str | None]]) -> None:
+        self.sets, self.names = sets_of([t for _, t in items]), [i for i, _ in items]
+        self.words = word_counts([t for _, t in items]).tolist()
+        classes: dict[int, SizeClass] = {}
+        by_words: dict[int, list[int]] = {}
+        for k, (s, n) in enumerate(zip(self.sets, self.words, strict=True)):
+            if len(s) > EXACT:
+                m = SMALLEST
+                while m < len(s):
+                    m *= 4
+                classes.setdefault(m, SizeClass(m)).add(k, s)
+            elif len(s):
+                by_words.setdefault(min(n, K), []).append(k)
+        for c in classes.values():
+            c.close()
+        self.classes = [classes[m] for m in sorted(classes)]
+        tables = {n: Table([self.sets[k] for k in own], own) for n, own in by_words.items()}
+        self.short = tables.pop(K, None)
+        self.tiny = tables
 
 
 def search(docs: DataFrame, items: list[tuple[int | None, str | None]]) -> DataFrame:
     """Contained items of one block in all documents (id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(compiled(items))
+    shared = docs.sparkSession.sparkContext.broadcast(Items(items))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, sets, names = shared.value
+        known = shared.value
+        sets, names = known.sets, known.names
         for batch in sub_batches(it):
-            rows = rows_of(batch.column("text").to_pylist())
+            texts = batch.column("text").to_pylist()
+            rows = rows_of(texts)
             sizes = np.array([len(r) for r in rows], np.int64)
             flat = np.concatenate([*rows, np.zeros(0, np.uint64)])
             if not len(flat):
                 continue
             doc, starts = np.repeat(np.arange(len(rows)), sizes), np.cumsum(sizes) - sizes
-            found = sorted(set().union(*(c.candidates(flat, doc, starts) for c in classes)))
+            found = set().union(*(c.candidates(flat, doc, starts) for c in known.classes))
+            if known.short:
+                found |= known.short.candidates(flat, doc)
+            for n_words, text, runs in runs_of(texts, sorted(known.tiny)):
+                found |= known.tiny[n_words].candidates(runs, text)
             out = []
-            for d, k in found:
+            for d, k in sorted(found):
                 n = len(sets[k])
-                common = int(np.isin(sets[k], rows[d]).sum())
+                common = n if known.words[k] < K else int(np.isin(sets[k], rows[d]).sum())
                 if 100 * common >= PERCENT * n:
                     out.append((batch.column("id")[d].as_py(), names[k], n, common))
             if out:

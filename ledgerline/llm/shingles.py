@@ -76,6 +76,26 @@ def rows_of(texts: list[str | None]) -> list[np.ndarray]:
     return [s for group in grouped(texts) for s in _rows(*word_hashes(group))]
 
 
+def word_counts(texts: list[str | None]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(word_hashes(group)[1] for group in grouped(texts))])
+
+
+def runs_of(texts: list[str | None], lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each of the lengths (under K): which text, and the hash, of every run of so many words; a text of so many words has that shingle."""
+    first = 0
+    for group in grouped(texts):
+        flat, counts = word_hashes(group)
+        text = np.repeat(np.arange(len(counts)), counts)
+        for k in lengths:
+            n = max(len(flat) - k + 1, 0)
+            h = np.zeros(n, np.uint64)
+            for j in range(k if n else 0):
+                h = h * _MULTIPLIER + flat[j : n + j]
+            whole = text[:n] == text[k - 1 :][:n]
+            yield k, text[:n][whole] + first, mixed(h[whole] + np.uint64(k))
+        first += len(group)
+
+
 def weighed_rows(texts: list[str | None], words: np.ndarray, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each text its shingles, and for each of them the sum of its words' weights; `words` are sorted hashes, others weigh 0."""
     for group in grouped(texts):

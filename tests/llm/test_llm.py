@@ -251,6 +251,33 @@ def test_leaks(spark):
     assert decontaminate.contained_items(frame, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    items = [[word() for _ in range(1 + k % 24)] for k in range(240)]
+    docs = []
+    for k in range(480):
+        own = [word() for _ in range(rng.randint(0, 600))]
+        at = rng.randint(0, len(own))
+        own[at:at] = items[k // 2] if k % 2 else items[k // 2][:-1]
+        docs.append(" ".join(own))
+    docs += [" ".join(items[2]).upper(), "\n".join(items[3])]
+    runs = lambda words, n: {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+    want = set()
+    for d, text in enumerate(docs):
+        own = text.lower().split()
+        for i, item in enumerate(items):
+            n = min(5, len(item))
+            have, need = runs(own, n), runs(item, n)
+            if 100 * len(have & need) >= 80 * len(need):
+                want.add((d, i))
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(" ".join(i) for i in items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in decontaminate.contained_items(frame, bench).collect()}
+    assert set(got) == want and {(2 * i + 1, i) for i in range(240)} <= want
+    assert got[(3, 1)] == (1, 1)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
