@@ -39,3 +39,15 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_short_quotations(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(catalogue, "MOST_BROADCAST", most)
+    docs = [(1, "nothing here"), (2, "alpha beta gamma delta epsilon zeta"), (3, "so alphabet and gammas end"), (4, None)]
+    quotes = [(1, "gamma"), (2, "beta gamma"), (3, "beta gamma delta"), (4, "alpha beta gamma delt"), (5, "pha beta gamma delta eps"), (6, ""), (7, "absent"), (8, None), (9, "gamma"), (10, "bet and gam"), (11, "gamma  delta")]
+    duck = duckdb.connect()
+    for name, rows_, key in (("documents", docs, "doc_id"), ("benchmark", quotes, "item_id")):
+        spark.createDataFrame(rows_, f"{key} bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        duck.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    assert rows(catalogue.QUERIES["quote_containment"](spark, str(tmp_path)).toPandas()) == rows(duck.execute(catalogue.ORACLE_SQL["quote_containment"]).df())
