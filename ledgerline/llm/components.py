@@ -2,7 +2,7 @@
 
 Every step is a grouped minimum and a join on a node, so no component is ever gathered in one task;
 after O(log^2 n) rounds each edge leads from a node to the smallest node of its component. The edges
-of each round are written to the shared folder, which cuts the lineage. An empty table gives an empty one.
+of each round are written to the shared folder, which cuts the lineage; those of the round before are deleted. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settle
+from ledgerline.llm.common import discard, settle, shared_folder
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (columns a, b) that is not its own root. Self edges and nulls are ignored."""
     a, b = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    now = settle(edges.where("a <> b").select(a, b).distinct(), "edges")
-    before = None
+    spark, folder = edges.sparkSession, shared_folder(edges.sparkSession)
+    now, turn, before = settle(edges.where("a <> b").select(a, b).distinct(), "edges0", folder), 0, None
     while (mark := now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()) != before:
         before = mark
         both = now.union(now.select("b", "a"))
@@ -25,5 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = settle(small.select("e.a", "e.b").where("a <> b").distinct(), "edges")
+        turn += 1
+        now = settle(small.select("e.a", "e.b").where("a <> b").distinct(), f"edges{turn}", folder)
+        discard(spark, f"{folder}/edges{turn - 1}")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -45,7 +45,7 @@ PERCENT = 80
 FAR, SLACK = 1 - PERCENT / 100, 1e-9
 LEAST_BITS = 512
 #: Frequent shingles are counted in blocks of so many, and the most frequent ones kept for the order.
-BLOCK, FREQUENT, WORDS, AT_LEAST = 2_000_000, 400_000, 100_000, 8
+BLOCK, FREQUENT, WORDS, AT_LEAST = 1_000_000, 400_000, 100_000, 8
 #: Lists that get further star turns, and how many turns at most; what is left is compared in full.
 LONG_LIST, STAR_TURNS = 8, 4
 #: Ids, and ids with their groups, that are broadcast at most; more are joined.
@@ -165,6 +165,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     work = shared_folder(spark)
     sets = settle(source.mapInArrow(signatures, "id bigint, n bigint, bits binary, digest binary"), "sets")
+    apart = sets if sets.groupBy("id").count().where("count > 1 and id is not null").isEmpty() else sets.dropDuplicates(["id", "digest"])  # equal rows are compared once
     posted = source.where("id is not null").mapInArrow(postings, "token bigint, id bigint, n int, top int, owner bigint")
     # one exchange deals out all postings: lists of frequent shingles by document, as their centre is known, the others by shingle
     dealt = Window.partitionBy("token", F.when(F.col("owner").isNotNull(), F.col("id")))
@@ -172,7 +173,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = settle(lists.select("token", "id", "n", "top", F.coalesce("owner", "least").alias("centre")), "postings", work)
 
     stars = kept.where("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    links = [verified(stars, sets, source)]
+    links = [verified(stars, apart, source)]
     groups = components(links[0])
     tiled = several(kept.select("token", "id", "n", "top"), groups)
     discard(spark, work)
@@ -183,13 +184,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         one = long.groupBy("token", "root").agg(F.min_by("id", mark("id")).alias("id"))
         centre = one.groupBy("token").agg(F.min_by("id", mark("id")).alias("centre"))
         stars = one.join(centre, "token").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        more = verified(stars, sets, source)
+        more = verified(stars, apart, source)
         if more.isEmpty():
             break
         links.append(more)
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
         tiled = several(tiled.select("token", "id", "n", "top"), groups)
-    links.append(across(tiled, reduce(DataFrame.union, links), sets, source))
+    links.append(across(tiled, reduce(DataFrame.union, links), apart, source))
     return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links[-1].select("a", "b")))
 
 
@@ -206,20 +207,29 @@ def across(tiled: DataFrame, links: DataFrame, sets: DataFrame, source: DataFram
     choice = ends.join(degree.withColumnRenamed("id", "centre"), "centre").select("id", "centre", "d", "degree")
     choice = choice.union(degree.select("id", F.col("id").alias("centre"), F.lit(0.0).alias("d"), "degree"))
     best = choice.groupBy("id").agg(F.max_by(F.struct("centre", "d"), F.struct("degree", -F.col("centre"))).alias("best")).select("id", "best.*")
-    members = settle(tiled.join(best, "id", "left").select("token", "id", "n", "top", "root", F.coalesce("centre", "id").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d")), "members")
+    work = shared_folder(tiled.sparkSession)
+    members = settle(tiled.join(best, "id", "left").select("token", "id", "n", "top", "root", F.coalesce("centre", "id").alias("centre"), F.coalesce("d", F.lit(0.0)).alias("d")), "members", work)
 
     spots = members.groupBy("token", "centre").agg(F.min("root").alias("root"), F.max("d").alias("d"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("top").alias("top"))
+    # tiles are pairs of equal or adjacent bands: a spot lies in the bands of its sets, and is looked for from those and the next
     band = lambda c: F.floor(F.log(100.0 / PERCENT, F.col(c))).cast("int")
-    spots = spots.withColumns({"from_band": band("low"), "to_band": band("high")})
-    close = "x.root < y.root and x.from_band - y.to_band <= 1 and y.from_band - x.to_band <= 1 and 100 * x.high >= {0} * y.low and 100 * y.high >= {0} * x.low and x.low <= y.top and y.low <= x.top".format(PERCENT)
-    met = spots.alias("x").join(spots.alias("y"), F.expr(f"x.token = y.token and {close}")).select(F.least("x.centre", "y.centre").alias("a"), F.greatest("x.centre", "y.centre").alias("b"), F.expr("x.d + y.d").alias("reach"))
-    between = verified(met.groupBy("a", "b").agg(F.max("reach").alias("reach")), sets, source, "reach")
-
-    # centres that link join their groups; the others' members are compared where they may
-    open_ = between.where(f"not linked and reach > 0 and d <= {FAR} + reach + {SLACK}").select("a", "b", F.col("d").alias("apart"))
+    here = spots.withColumn("band", F.explode(F.sequence(band("low"), band("high"))))
+    there = spots.withColumn("band", F.explode(F.sequence(band("low") - 1, band("high") + 1)))
+    close = "x.root < y.root and 100 * x.high >= {0} * y.low and 100 * y.high >= {0} * x.low and x.low <= y.top and y.low <= x.top".format(PERCENT)
+    side = lambda c: F.when(F.col("x.centre") < F.col("y.centre"), F.col(f"{c}.d")).otherwise(F.col(f"{'y' if c == 'x' else 'x'}.d"))
+    tiles = here.alias("x").join(there.alias("y"), F.expr(f"x.token = y.token and x.band = y.band and {close}"))
+    met = settle(tiles.select("x.token", F.least("x.centre", "y.centre").alias("a"), F.greatest("x.centre", "y.centre").alias("b"), side("x").alias("da"), side("y").alias("db")), "met", work)
+    between = verified(met.groupBy("a", "b").agg(F.max(F.col("da") + F.col("db")).alias("reach")), sets, source, "reach")
+
+    # centres that link join their groups; of the others, the members that are far enough out are compared, in the lists where both are
+    far = FAR + SLACK
+    open_ = between.where(f"not linked and reach > 0 and d <= {far} + reach").select("a", "b", F.col("d").alias("apart"))
+    lists = met.join(open_, ["a", "b"]).where(f"da + db + {far} >= apart").distinct().alias("o")
     x, y = members.alias("x"), members.alias("y")
-    out = open_.alias("o").join(x, F.expr("o.a = x.centre")).join(y, F.expr(f"o.b = y.centre and x.token = y.token and x.d + y.d + {FAR + SLACK} >= o.apart and 100 * x.n >= {PERCENT} * y.n and 100 * y.n >= {PERCENT} * x.n and x.n <= y.top and y.n <= x.top"))
+    half = lists.join(x, F.expr(f"o.token = x.token and o.a = x.centre and x.d + o.db + {far} >= o.apart"))
+    out = half.join(y, F.expr(f"o.token = y.token and o.b = y.centre and x.d + y.d + {far} >= o.apart and 100 * x.n >= {PERCENT} * y.n and 100 * y.n >= {PERCENT} * x.n and x.n <= y.top and y.n <= x.top"))
     inner = verified(out.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), sets, source)
+    discard(tiled.sparkSession, work)
     return between.where("linked").select("a", "b", "d").union(inner)
 
 
