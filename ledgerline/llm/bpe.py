@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import sub_batches, tune
+from ledgerline.llm.common import held, sub_batches, tune
 from ledgerline.llm.shingles import mixed, powers
 
 LONG = 512
@@ -213,7 +213,7 @@ class Encoder:
 
     def points(self, text: str) -> list[np.ndarray]:
         """Code points of the normalised text; a special string is one code point beyond the others."""
-        parts = self.v.split.split(text) if self.v.split and "<|" in text else [text]
+        parts = self.v.split.split(text) if any(s in text for s in self.specials) else [text]
         out = []
         for i, part in enumerate(parts):
             if i % 2:
@@ -323,14 +323,9 @@ class Encoder:
         return ids, np.diff(total[np.searchsorted(starts, np.r_[0, np.cumsum(sizes)])])
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(Vocabulary(path))
-    return _ENCODERS[path]
+    return held(("bpe", path), lambda: Encoder(Vocabulary(path)))
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:

@@ -7,7 +7,8 @@ Operators take a DataFrame and the names of its id and text columns, ignore ever
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,27 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each holds about SUB_BATCH bytes of `column`."""
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The one large object that a worker keeps between batches and tasks. Another key evicts it, so what an earlier stage
+    held in a worker that is used again goes as soon as a later stage needs something of its own."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text", most: int = SUB_BATCH) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each holds about `most` bytes of `column`. For workers: Arrow's memory comes from
+    the system's allocator from then on, which gives large buffers back at once instead of keeping them for later."""
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in it:
         n, at, size = batch.num_rows, 0, 0
         for i, x in enumerate(batch.column(column)):
             size += 0 if (b := x.as_buffer()) is None else b.size
-            if size >= SUB_BATCH:
+            if size >= most:
                 yield batch.slice(at, i + 1 - at)
                 at, size = i + 1, 0
         if at < n:

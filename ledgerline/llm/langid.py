@@ -11,7 +11,8 @@ one symbol a step. Long texts are cut into blocks of BLOCK symbols, each parsed
 parsed whole and no step waits for one long text.
 
 Symbols are lower-case letters; everything else is one space, runs of which are one. The sample holds
-SAMPLE_DOCS documents a language at most, those with the smallest hash of their id, and SAMPLE_CHARS symbols.
+SAMPLE_DOCS documents a language at most, those with the smallest hash of their id, SAMPLE_TEXT code points of each, and SAMPLE_CHARS
+symbols. The driver builds the tables once and hands them out; workers only read them.
 
 Defined cases: null texts and texts without a letter give `und` with score 0; without labelled text
 every prediction is `und`; ties go to the language that comes first by name; rows with a null id are
@@ -25,13 +26,17 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import sub_batches, tune
 
 SAMPLE_DOCS, SAMPLE_CHARS = 100, 32_768
+#: Code points of one document's text in the sample at most, and the parts in which a language's documents are chosen.
+SAMPLE_TEXT, SPREAD = 8_192, 64
 BLOCK = 512
+#: Bytes of text that are parsed side by side, unless one text alone has more.
+TOGETHER = 2 << 20
 UNKNOWN = "und"
 
 
@@ -111,25 +116,24 @@ class Model:
 
     def rates(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Bits a symbol of every text in every language, and which texts have a letter."""
-        symbols = [squeezed(self.symbol[np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]) if t else np.zeros(0, np.uint16) for t in texts]
-        n = np.array([len(s) for s in symbols], np.int64)
-        letters = np.array([bool((s != 0).any()) for s in symbols], bool)
-        flat = np.concatenate([*symbols, np.zeros(0, np.uint16)])
-        text = np.repeat(np.arange(len(n)), n)
-        within = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-        n_blocks = (n + BLOCK - 1) // BLOCK
-        block = (np.cumsum(n_blocks) - n_blocks)[text] + within // BLOCK
-        sizes = np.bincount(block, minlength=int(n_blocks.sum()))
-        order = np.argsort(-sizes, kind="stable")
-        lane = np.empty(len(sizes), np.int64)
-        lane[order] = np.arange(len(sizes))
-        grid = np.zeros((BLOCK, len(sizes)), np.uint16)
-        grid[within % BLOCK, lane[block]] = flat
-        active = np.searchsorted(-sizes[order], -np.arange(BLOCK), "left")  # lanes longer than each step
-        owner = np.repeat(np.arange(len(n)), n_blocks)[order]
+        n, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+        blocks, sizes, owner = [np.zeros((0, BLOCK), np.uint16)], [], []
+        for i, t in enumerate(texts):
+            s = squeezed(self.symbol[np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]) if t else ()
+            if len(s):
+                n[i], letters[i], k = len(s), bool((s != 0).any()), -(-len(s) // BLOCK)
+                padded = np.zeros(k * BLOCK, np.uint16)
+                padded[: len(s)] = s
+                blocks.append(padded.reshape(k, BLOCK))
+                sizes += [BLOCK] * (k - 1) + [len(s) - (k - 1) * BLOCK]
+                owner += [i] * k
+        order = np.argsort(-np.array(sizes, np.int64), kind="stable")
+        grid = np.ascontiguousarray(np.concatenate(blocks)[order].T)
+        longest_first, lanes = -np.array(sizes, np.int64)[order], np.array(owner, np.int64)[order]
+        active = np.searchsorted(longest_first, -np.arange(BLOCK), "left")  # lanes longer than each step
         out = np.zeros((len(n), len(self.langs)))
         for k, table in enumerate(self.tables):
-            state, begun = np.zeros(len(sizes), np.int32), np.zeros(len(sizes), np.int64)
+            state, begun = np.zeros(len(lanes), np.int32), np.zeros(len(lanes), np.int64)
             for step in range(BLOCK):
                 m = int(active[step])
                 if not m:
@@ -137,36 +141,31 @@ class Model:
                 got = table[state[:m] * np.int32(self.width) + grid[step, :m]]
                 state[:m] = got >> 2
                 begun[:m] += got & 3
-            out[:, k] = np.bincount(owner, begun, minlength=len(n)) * self.bits[k] / np.maximum(n, 1)
+            out[:, k] = np.bincount(lanes, begun, minlength=len(n)) * self.bits[k] / np.maximum(n, 1)
         return out, letters
 
 
-_MODELS: dict[int, Model] = {}
-
-
-def model_of(samples: dict[str, str]) -> Model:
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(samples)
-    return _MODELS[key]
-
-
 def held_out(id_col: str) -> Column:
     """Whether a document belongs to the fold that is never learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
-    """A bounded sample of labelled text for each language, from documents that are not held out."""
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("id is not null and lang is not null and crc32(cast(id as string)) % 5 <> 0")
-    langs = [r[0] for r in labelled.select("lang").distinct().collect()]
-    wanted = []
-    for lang in langs:
-        wanted += labelled.where(F.col("lang") == lang).where("text is not null").select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).collect()
-    rows = labelled.where(F.col("id").isin([r[0] for r in wanted])).where("text is not null").select("lang", "id", "text").collect() if wanted else []
+    """A bounded sample of labelled text for each language, from documents that are not held out.
+
+    The documents with the smallest hashes are chosen over narrow rows, first in SPREAD parts of a language (so that a language
+    which most documents have is no single task's work), then among those; Spark drops the others before each exchange.
+    Their texts, cut to SAMPLE_TEXT code points, come in one more scan.
+    """
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("id is not null and lang is not null and text is not null and crc32(cast(id as string)) % 5 <> 0")
+    order = [F.xxhash64("id"), F.col("id")]
+    narrow = labelled.select("lang", "id").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SPREAD)))
+    for keys in (["lang", "part"], ["lang"]):
+        narrow = narrow.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= SAMPLE_DOCS).drop("place")
+    wanted = [r[0] for r in narrow.select("id").distinct().collect()]  # SAMPLE_DOCS a language at most
+    texts = labelled.where(F.col("id").isin(wanted)).select("lang", "id", F.substring("text", 1, SAMPLE_TEXT).alias("text"))
     samples: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["id"], r["text"])):
+    for r in sorted(texts.distinct().collect() if wanted else [], key=lambda r: (r["lang"], r["id"], r["text"])):
         if len(samples.get(r["lang"], "")) < 2 * SAMPLE_CHARS:
             samples[r["lang"]] = samples.get(r["lang"], "") + " " + r["text"]
     return samples
@@ -181,12 +180,12 @@ def predict(docs: DataFrame, samples: dict[str, str], id_col: str = "doc_id", te
 def label(docs: DataFrame, samples: dict[str, str], columns: list[str], text_col: str = "text") -> DataFrame:
     """The given columns of every row, and lang_pred and score; no shuffle."""
     tune(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(samples)
+    shared = docs.sparkSession.sparkContext.broadcast(Model(samples))  # 8 * SAMPLE_CHARS * distinct letters bytes a language at most
     source = docs.select(*columns)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(it, text_col):
-            langs, scores = best(model_of(shared.value), batch.column(text_col).to_pylist())
+        for batch in sub_batches(it, text_col, TOGETHER):
+            langs, scores = best(shared.value, batch.column(text_col).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb
 
-from ledgerline.llm.common import sub_batches, tune
+from ledgerline.llm.common import held, sub_batches, tune
 
 #: The stand-in for a space in pieces. Fixed value.
 MARK = "▁"
@@ -243,14 +243,9 @@ class Counter:
         return np.diff(scan[np.r_[0, np.cumsum(n_keys)]])
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
     """The worker's counter for a model file."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    return held(("token counts", path), lambda: Counter(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
