@@ -1,8 +1,10 @@
 """The training-data operators against libraries, brute force and hand-made cases; nulls, empties, repeats, clashing names."""
 
 import hashlib
+import html
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
@@ -99,6 +101,72 @@ def test_html(spark):
     assert got[15].text == "Body text number 5"  # the line on every page of the host is its template
 
 
+def test_html_keeps_article_words():
+    text = lambda h: html_extract.Page(h).extract()
+    assert text('<article><p>Text <span class="share">42%</span> of <a class="related" href="#">the market</a></p><p>x <math><mi>a</mi></math> <label>l</label></p></article>') == "Text 42% of the market\nx a l"
+    assert text('<article><div class="share">tweet</div><p>kept</p><form>no</form></article>') == "kept"
+    assert text("<p>a<p title='x>y'>b<div>c</div>") == "a\nb\nc"
+    assert text("<p>1 < 2 <3 &lt;b&gt;</p><!doctype x><?php y ?><") == "1 < 2 <3 <b>\n<"
+    assert text("a<b title=\"never closed>c") == "a" and text("<p>cut <b") == "cut"
+    assert text("<table><tr><td>a<td>b<tr><td>c</table><ul><li>d<li>e</ul>") == "a\nb\nc\nd\ne"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "deep", "<b>" * 100_000 + "deep", "<p><table><tr><td>" + "<span>" * 30_000 + "<h1></h1>" * 30_000 + "deep", '<a "' * 50_000 + ">deep", "<a href='" * 100_001])
+def test_html_is_linear(page):
+    began = time.time()
+    assert html_extract.Page(page).extract() in ("deep", "")
+    assert time.time() - began < 10
+
+
+def brute_templates(pages):
+    """Keys that recur on enough distinct contents of a host, by plain counting."""
+    seen, contents = {}, {}
+    for host, source in pages:
+        content, keys = html_extract.Page(source).subtrees()
+        contents.setdefault(host, set()).add(content)
+        for k in keys:
+            seen.setdefault((host, k), set()).add(content)
+    bounds = {1: (html_extract.PAGES_INSIDE, html_extract.SHARE_INSIDE), 0: (html_extract.PAGES_OUTSIDE, html_extract.SHARE_OUTSIDE)}
+    least = lambda host, k: max(bounds[k & 1][0], bounds[k & 1][1] * len(contents[host]))
+    out = {}
+    for (host, k), on in seen.items():
+        if len(on) >= least(host, k):
+            out.setdefault(host, set()).add(k)
+    return out
+
+
+def test_templates_equal_brute_force_and_do_the_work(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = pages.collect()
+    host = lambda url: (re.search("://([^/?#]*)", url or "") or [None, ""])[1].lower()
+    found = brute_templates([(host(r.url), r.html) for r in rows if r.html])
+    assert len(found) >= 50 and len({host(r.url) for r in rows}) == 60
+    plain = {r.page_id: r.text for r in html_extract.extract_text(pages, lists=False).collect()}
+    full = {r.page_id: r.text for r in html_extract.extract_text(pages).collect()}
+    for r in rows:
+        assert plain[r.page_id] == (html_extract.Page(r.html).extract(found.get(host(r.url), set()), False) if r.html else "")
+        assert full[r.page_id] == (html_extract.Page(r.html).extract(found.get(host(r.url), set())) if r.html else "")
+    # by templates alone, the menus and footers that recur on three pages of their host or more have gone
+    on, gone = {}, 0
+    for r in rows:
+        for part in re.findall(r"<nav>.*?</nav>|<footer>.*?</footer>", r.html or "", re.S):
+            on.setdefault((host(r.url), part), []).append(r.page_id)
+    for (_, part), ids in on.items():
+        words = " ".join(html.unescape(re.sub("<[^>]*>", " ", part)).split())
+        if len({full[i] for i in ids}) >= 4 and len(words) > 40:  # a menu of one short word may be in any text
+            assert not any(words in " ".join(plain[i].split()) for i in ids)
+            gone += len(ids)
+    assert gone > 300
+
+
+def test_html_edge_cases(spark):
+    schema = "page_id int, url string, html string, host string, templates int, tree int"
+    assert html_extract.extract_text(spark.createDataFrame([], schema)).columns == ["page_id", "url", "text", "n_chars"]
+    rows = [(None, "http://a.b/", "<p>x</p>", "h", 1, 2), (1, None, None, None, None, None), (1, None, None, None, None, None), (2, "u", "w " * 300_000, None, None, None)]
+    got = html_extract.extract_text(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 1), (1, 0), (1, 0), (2, 599_999)]
+
+
 def test_langid(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     found = langid.predict(docs.unionByName(spark.createDataFrame([(-1, None), (-2, "12 !!"), (None, "the and of")], "doc_id bigint, text string"), allowMissingColumns=True), langid.learn(docs))
@@ -231,6 +299,60 @@ def test_substrings_without_spaces(spark, letters, length):
             assert 0.4 * length <= out[k].n_removed <= length
 
 
+def brute_removed(rows):
+    """The union of each document's passages that occur as passages of a document with a smaller id."""
+    spans = [(i, raw, substring_dedup.passages(raw)) for i, raw in rows]
+    first = {}
+    for i, raw, own in spans:
+        for a, b in own:
+            first[raw[a:b]] = min(first.get(raw[a:b], i), i)
+    out = {}
+    for i, raw, own in spans:
+        gone = {k for a, b in own if first[raw[a:b]] < i for k in range(a, b)}
+        out[i] = bytes(c for k, c in enumerate(raw) if k not in gone).decode()
+    return out
+
+
+@pytest.mark.parametrize("share", [10_000, 5])
+def test_substrings_equal_brute_force(spark, monkeypatch, share):
+    monkeypatch.setattr(substring_dedup, "HOT_SHARE", share)
+    texts, _ = near_docs()
+    rng = random.Random(12)
+    line = " ".join(f"common{k}" for k in range(40))
+    chunks = [" ".join(f"v{rng.randrange(5000)}" for _ in range(200)) for _ in range(60)]
+    parts = [c[a : a + 60] for c in chunks for a in [c.index(" ", 100)]]
+    texts = [*texts, *chunks, "".join(parts), *(f"{rng.random()} {line} {rng.random()}" for _ in range(40)), "", "é " * 900, "é " * 901, "a" * 5000, "b" + "a" * 5000]
+    rows = list(enumerate(texts))
+    want = brute_removed([(i, t.encode()) for i, t in rows])
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
+    stitched = len(near_docs()[0]) + len(chunks)
+    assert got[stitched] == texts[stitched]  # put together from pieces of 60 documents that never stood together
+    assert len(got[len(texts) - 1]) < 2100 and len(got[len(texts) - 3]) < 1200  # periodic texts after one insertion
+
+
+def test_passages_resist_insertions_and_are_bounded():
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400)).encode()
+    shifted = b"inserted words here " + text
+    own = {text[a:b] for a, b in substring_dedup.passages(text)}
+    assert len(own & {shifted[a:b] for a, b in substring_dedup.passages(shifted)}) > 0.9 * len(own)
+    for raw in (b"a" * 100_000, "é".encode() * 50_000, b"", b" " * 5000):
+        edges = substring_dedup.borders(raw)
+        assert max([b - a for a, b in zip(edges, edges[1:], strict=False)], default=0) <= substring_dedup.MAX_BYTES and edges[-1] == len(raw)
+        assert all(raw[e] & 0xC0 != 0x80 for e in edges[:-1])
+
+
+def test_substring_edge_cases(spark):
+    schema = "doc_id bigint, text string, d1 string, at string, id string, spans int"
+    empty = substring_dedup.remove_repeats(spark.createDataFrame([], schema))
+    assert empty.columns == ["doc_id", "text", "n_removed", "spans"] and empty.count() == 0
+    whole = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, whole, "x", "y", "z", 1), (2, whole, None, None, None, None), (2, whole, None, None, None, None), (None, whole, None, None, None, None), (3, None, None, None, None, None)]
+    got = sorted(((r.doc_id or 0, r.text) for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, schema)).collect()), key=str)
+    assert got == sorted([(0, whole), (1, whole), (2, ""), (2, ""), (3, None)], key=str)
+
+
 def test_leaks(spark):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
