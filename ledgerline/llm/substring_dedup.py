@@ -3,19 +3,22 @@
 A gear rolling hash over the last 16 bytes decides after which white space a chunk ends, so an
 insertion moves no border but those next to it; chunks have at least MIN_BYTES. Farther than FAR_BYTES
 from the last white space the hash alone cuts, so texts without white space (Chinese, Japanese, Thai, base64) have
-chunks of the same size; this too depends only on the bytes just before, whatever the stretch's length. Chunks are compared by digest over all documents;
-each digest's first place (smallest doc_id, then position) stays. A stretch of neighbouring chunks
-that are first found in documents with smaller ids is removed if it has at least RUN_WORDS words, where a
-long word counts once for each WORD_BYTES:
-a repeated passage of over 50 words holds such a stretch, while single chunks that are equal by chance do not.
+chunks of the same size; this too depends only on the bytes just before, whatever the stretch's length. No chunk has more than
+MAX_BYTES: longer ones (periodic text) are cut there, at a character's start.
 
-Digests are grouped with map-side combination and joined back (a join that Spark can split), so a
-passage that a third of all documents share never lies in one task. Only places of repeated chunks
-go back to the documents.
+What is compared over all documents are passages: from each chunk on, and back from each chunk, the fewest chunks that hold RUN_WORDS
+words, a long word counting once for each WORD_BYTES. Each has a 96-bit digest, and stays in the document with the
+smallest id; a document loses the union of its passages that a document with a smaller id has too. So all that is removed stood
+together in one earlier document: chunks that are equal by chance, or a text put together from chunks of many
+documents, lose nothing. Of a repeated passage of over 50 words, the parts of chunks at its ends stay.
+
+Chunks are made once and written. Digests that more than 1 / HOT_SHARE of all passages have are a bounded table and are
+broadcast, so a passage that a third of all documents share is looked up where its rows lie; the others are joined by digest.
+Only places of repeated passages go back to the documents.
 
 Defined cases: null text stays null and empty text empty; rows with one doc_id are one document,
-whose repeats of itself stay; rows with a null doc_id are neither compared nor changed; an empty table gives an
-empty result. Repeats within one document are left alone.
+whose repeats of itself stay; rows with a null doc_id are neither compared nor changed; ids are integers; an empty table gives an
+empty result. Repeats within one document are left alone. Ties (a passage in several documents) go to the smallest id.
 """
 
 from __future__ import annotations
@@ -28,14 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settle, sub_batches, tune
+from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune
 
 MIN_BYTES = 24
 #: One white space in so many ends a chunk, once it has MIN_BYTES.
 ONE_IN = 4
 #: Farther than this from white space, one place between characters in so many ends a chunk.
 FAR_BYTES, FAR_ONE_IN = 48, 8
-#: A longer word counts as one for each WORD_BYTES.
+#: The greatest chunk.
+MAX_BYTES = 1024
+#: Digests that one in so many passages has, or more, are looked up by broadcast.
+HOT_SHARE = 10_000
+#: Words of a passage; a longer word counts as one for each WORD_BYTES.
 RUN_WORDS, WORD_BYTES = 15, 12
 #: White space of the word contracts. Fixed values.
 IS_SPACE = np.zeros(256, bool)
@@ -73,67 +80,106 @@ def borders(raw: bytes) -> list[int]:
         since = np.arange(len(data)) - np.repeat(places[:-1], np.diff(places))[1:]
         starts = (data[1:] & 0xC0) != 0x80
         found |= (since[:-1] > FAR_BYTES) & starts & (h[:-1] < np.uint32((1 << 32) // FAR_ONE_IN))
-    n, out, last = len(raw), [0], 0
-    for at in (np.flatnonzero(found) + 1).tolist():
-        if at - last >= MIN_BYTES:
+    out, last = [0], 0
+    for at in [*(np.flatnonzero(found) + 1).tolist(), len(raw)]:
+        while at - last > MAX_BYTES:
+            last += MAX_BYTES
+            while raw[last] & 0xC0 == 0x80:
+                last -= 1
+            out.append(last)
+        if at - last >= MIN_BYTES or at == len(raw):
             out.append(at)
             last = at
-    out.append(n)
     return out
 
 
-def weight(passage: bytes) -> int:
-    """The words of a passage, where a long one counts once for each WORD_BYTES."""
-    return sum(max(1, len(w) // WORD_BYTES) for w in passage.split())
+def words_before(raw: bytes, edges: list[int]) -> np.ndarray:
+    """How many words begin before each edge; a long word counts again at each further WORD_BYTES that it has in full."""
+    data = np.frombuffer(raw, np.uint8)
+    space = IS_SPACE[data]
+    if not len(data):
+        return np.zeros(len(edges), np.int64)
+    begins = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    ends = np.flatnonzero(~space & np.r_[space[1:], True]) + 1
+    more = np.maximum((ends - begins) // WORD_BYTES - 1, 0)
+    if more.any():
+        extra = np.repeat(begins, more) + WORD_BYTES * (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1)
+        begins = np.sort(np.concatenate([begins, extra]))
+    return np.searchsorted(begins, edges, "left")
+
+
+def passages(raw: bytes) -> list[tuple[int, int]]:
+    """Byte spans: from each chunk on, and back from each chunk, the fewest chunks that hold RUN_WORDS words. Distinct, in order."""
+    edges = borders(raw)
+    count = words_before(raw, edges)
+    n = len(edges)
+    stop = np.searchsorted(count, count + RUN_WORDS, "left")
+    start = np.searchsorted(count, count - RUN_WORDS, "right") - 1
+    here = np.arange(n)
+    codes = np.unique(np.concatenate([(here * n + stop)[stop < n], (start * n + here)[start >= 0]]))
+    at = np.array(edges)
+    return list(zip(at[codes // n].tolist(), at[codes % n].tolist(), strict=True))
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans as disjoint ones in order."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
 
 
 def removed(raw: bytes, flagged: list[int]) -> list[tuple[int, int]]:
-    """Byte spans to remove: runs of flagged chunks with RUN_WORDS words or more."""
-    marks, edges, spans = set(flagged), borders(raw), []
-    start = None
-    for a, b in zip(edges, [*edges[1:], None], strict=True):
-        if b is not None and a in marks:
-            start = a if start is None else start
-        elif start is not None:
-            if weight(raw[start:a]) >= RUN_WORDS:
-                spans.append((start, a))
-            start = None
-    return spans
-
-
-def chunk_places(docs: DataFrame) -> DataFrame:
-    """(digest, id, at) of every chunk of `docs` (id, text)."""
+    """Byte spans to remove: the union of the passages of the given numbers."""
+    own = passages(raw)
+    return united([own[k] for k in flagged])
+
+
+def passage_places(docs: DataFrame) -> DataFrame:
+    """(d1, d2, id, at) of every passage of `docs` (id, text): the digest's two parts, and the passage's number in its document."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
             digests, ids, ats = [], [], []
             for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 raw = text.encode("utf-8", "surrogatepass") if text else b""
-                edges = borders(raw)
-                digests += [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-                ats += edges[:-1]
-                ids.append(np.full(len(edges) - 1, i))
+                spans = passages(raw)
+                digests += [xxhash.xxh3_128_digest(raw[a:b])[:12] for a, b in spans]
+                ats += range(len(spans))
+                ids.append(np.full(len(spans), i))
             if ats:
-                cols = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(np.concatenate(ids).astype(np.int64)), pa.array(np.array(ats, np.int32))]
-                yield pa.RecordBatch.from_arrays(cols, ["digest", "id", "at"])
+                parts = np.frombuffer(b"".join(digests), [("d1", "<i8"), ("d2", "<i4")])
+                cols = [pa.array(np.ascontiguousarray(parts["d1"])), pa.array(np.ascontiguousarray(parts["d2"])), pa.array(np.concatenate(ids).astype(np.int64)), pa.array(np.array(ats, np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, ["d1", "d2", "id", "at"])
 
-    return docs.where("id is not null").mapInArrow(run, "digest bigint, id bigint, at int")
+    return docs.where("id is not null").mapInArrow(run, "d1 bigint, d2 int, id bigint, at int")
 
 
-def repeated_places(docs: DataFrame) -> DataFrame:
-    """(id, ats): for each document the places of chunks that a document with a smaller id has too."""
-    places = chunk_places(docs)
-    first = places.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
-    hits = places.join(first, "digest").where("id > first").select("id", "at")
-    return hits.groupBy("id").agg(F.collect_set("at").alias("ats"))  # at most the chunks of one text
+def repeated_places(docs: DataFrame, work: str) -> DataFrame:
+    """(id, ats): for each document the places of passages that a document with a smaller id has too."""
+    places = settle(passage_places(docs), "passages", work)
+    first = places.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).where("first < last")
+    first = settle(first.select("d1", "d2", "first", "n"), "first", work)
+    total = places.count()
+    many = F.col("n") * HOT_SHARE >= total
+    hot = F.broadcast(first.where(many).select("d1", "d2", "first"))  # at most HOT_SHARE rows
+    rare = first.where(~many).select("d1", "d2", "first")
+    here = places.join(hot, ["d1", "d2"], "left")
+    hits = here.where("first < id").select("id", "at").union(here.where("first is null").drop("first").join(rare, ["d1", "d2"]).where("id > first").select("id", "at"))
+    return hits.groupBy("id").agg(F.collect_set("at").alias("ats"))  # at most twice the chunks of one text
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """`id_col`, text without repeated passages, n_removed (code points), spans (byte offsets in the old text) of every row, and the columns to carry."""
+    """`id_col` (as bigint), text without repeated passages, n_removed (code points), spans (byte offsets in the old text) of every row, and the columns to carry."""
     tune(docs.sparkSession)
     carry = carry or []
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *carry)
-    marks = settle(repeated_places(source.select("id", "text")), "repeats")
+    work = shared_folder(docs.sparkSession)
+    marks = settle(repeated_places(source.select("id", "text"), work), "repeats")
+    discard(docs.sparkSession, work)
     joined = source.join(marks, "id", "left").select("id", "text", "ats", *carry)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
