@@ -1,9 +1,8 @@
 """Quality rules: hashed n-gram log-likelihood ratio against trusted documents, by built-in functions only.
 
-Each word stands for its last three characters (so that the closed set of endings, not the open set of words,
-is counted); its n-grams are this ending and the last characters of two neighbouring words. N-grams are
-hashed to BUCKETS. Over all documents the raw multinomial is counted, over TRUSTED labelled documents at most (those of the smallest
-hash of their id) the target one; a document's score is the mean over its n-grams of
+The n-grams of a text are its words, its pairs of neighbouring words and, as words are an open set, the last three characters of
+each word; each hashed to one of BUCKETS. Over all documents the raw multinomial is counted, over TRUSTED labelled documents at
+most (those of the smallest hash of their id) the target one; a document's score is the mean over its n-grams of
 log target - log raw, and it is kept if that is at least THRESHOLD and it did not fail the base rules.
 
 Base rules: see `features`. A word is a run of characters outside space, tab, LF, VT, FF and CR. Windows of three words are
@@ -18,12 +17,13 @@ never trusted; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 16_384
+BUCKETS = 65_536
 TRUSTED = 20_000
 SMOOTHING = 0.5
 THRESHOLD = -0.35
@@ -60,16 +60,16 @@ def repeated_words(ws: Column) -> Column:
 
 
 def n_grams(ws: Column) -> Column:
-    """The bucket of each word's ending, then of each pair of neighbours' last characters."""
-    one = F.transform(ws, lambda w: F.pmod(F.xxhash64(F.right(w, F.lit(3))), F.lit(BUCKETS)).cast("int"))
-    two = F.transform(F.slice(ws, 2, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: F.pmod(F.xxhash64(F.right(F.get(ws, i), F.lit(1)), F.right(w, F.lit(1))), F.lit(BUCKETS)).cast("int"))
-    return F.concat(one, two)
+    """The bucket of each word, then of each pair of neighbours, then of each word's ending."""
+    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(BUCKETS)).cast("int")
+    pairs = F.transform(F.slice(ws, 2, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: bucket(F.get(ws, i), w))
+    return F.concat(F.transform(ws, lambda w: bucket(w)), pairs, F.transform(ws, lambda w: bucket(F.right(w, F.lit(3)), F.lit(3))))
 
 
-def features(text: Column) -> list[Column]:
-    """n_words, word_chars (code points in words), n_symbols, n_dup_lines (lines with a word equal to an earlier line), n_repeat_words."""
+def features(text: Column, score: Callable[[Column], Column]) -> list[Column]:
+    """parts (n_words, word_chars: code points in words, n_repeat_words, score of the words), n_symbols, n_dup_lines (lines with a word equal to an earlier line)."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
-    parts = bound(words(text), lambda ws: F.struct(F.size(ws).cast("long").alias("n_words"), F.length(F.array_join(ws, "")).cast("long").alias("word_chars"), repeated_words(ws).alias("n_repeat_words")))
+    parts = bound(words(text), lambda ws: F.struct(F.size(ws).cast("long").alias("n_words"), F.length(F.array_join(ws, "")).cast("long").alias("word_chars"), repeated_words(ws).alias("n_repeat_words"), score(ws).alias("score")))
     dup = bound(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
     return [parts.alias("parts"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), dup.alias("n_dup_lines")]
 
@@ -95,9 +95,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     good = labels.where(F.col(label_col) == 1).select(F.col(label_id_col).alias("id"))
     table = F.split(F.lit(",".join(f"{x:.9g}" for x in ratios(source, good))), ",").cast("array<double>")  # folded to one constant
     total = lambda gs: F.when(F.size(gs) > 0, F.aggregate(gs, F.lit(0.0), lambda a, g: a + F.get(table, g)) / F.size(gs)).otherwise(F.lit(0.0))
-    score = bound(bound(words(F.col("text")), n_grams), total)
-    parts, n_symbols, n_dup = features(F.col("text"))
-    rated = source.select("id", parts, n_symbols, n_dup, score.alias("score"))
-    counted = rated.select(F.col("id").alias(id_col), F.col("parts.n_words"), F.col("parts.word_chars"), "n_symbols", "n_dup_lines", F.col("parts.n_repeat_words"), "score")
+    rated = source.select("id", *features(F.col("text"), lambda ws: bound(n_grams(ws), total)))  # one split of each text
+    counted = rated.select(F.col("id").alias(id_col), F.col("parts.n_words"), F.col("parts.word_chars"), "n_symbols", "n_dup_lines", F.col("parts.n_repeat_words"), F.col("parts.score"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return counted.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= THRESHOLD))
