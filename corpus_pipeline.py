@@ -1,7 +1,11 @@
 """A training-corpus pipeline over `documents`: language ID, n-gram Jaccard join, substring dedup, decontamination, BPE.
 
 Each stage takes (spark, docs, sf_dir), where docs is what the stage before it wrote, and returns a DataFrame. All but
-the last return the columns of `documents`.
+the last return the columns of `documents`; other columns, whatever their names, are left out.
+
+Defined cases, for every stage: an empty table gives an empty one; repeated rows are each kept or dropped alike, but for those
+that the stage itself removes; very long texts are read whole. Null and empty texts go at language ID (they have no letter), and
+stay in the other stages. Rows with a null doc_id are never learned from, grouped or cut; they are searched for benchmark items and encoded.
 """
 
 from __future__ import annotations
@@ -19,18 +23,24 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told (`und`: no letter); a missing label is filled with the prediction."""
-    found = langid.label(docs, langid.learn(docs), COLUMNS)
+    """Drop documents whose language cannot be told (`und`: no letter); a missing label is filled with the prediction.
+
+    Where no document has a label to learn from, documents with a letter stay as they are.
+    """
+    samples = langid.learn(docs)
+    if not any(c.isalpha() for text in samples.values() for c in text):
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
+    found = langid.label(docs, samples, COLUMNS)
     return found.where(F.col("lang_pred") != langid.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates."""
+    """Keep the document with the smallest id of each group of near-duplicates, with all its rows. Documents without words stay."""
     return ngram_join.keep_representatives(docs.select(*COLUMNS))
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove passages that a document with a smaller id has too; documents stay, n_chars follows the text."""
+    """Remove passages that a document with a smaller id has too; documents stay (with an empty text, if all of it goes), n_chars follows the text."""
     cut = substring_dedup.remove_repeats(docs, carry=["lang", "source", "n_chars"])
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
@@ -55,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", bpe_codes),
 ]
 
-#: Cross-parsing, content-defined chunks and BPE are not expressible in SQL; the tests hold run() against brute force.
+#: Cross-parsing, content-defined chunks and BPE are not expressible in SQL; the tests hold each stage's output against brute force.
 ORACLE_SQL: str | None = None
 
 
