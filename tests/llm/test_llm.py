@@ -1,7 +1,9 @@
 """The training-data operators against libraries, brute force and hand-made cases; nulls, empties, repeats, clashing names."""
 
+import functools
 import hashlib
 import html
+import math
 import random
 import re
 import time
@@ -10,10 +12,11 @@ import zlib
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, quality, shingles, substring_dedup, token_counts, token_store, url_filter
+from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, quality, queries, shingles, substring_dedup, token_counts, token_store, url_filter
 
 BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.001"
@@ -210,10 +213,60 @@ def test_quality(spark):
         assert r.base_failed == (got[0] < 50 or 100 * got[4] > 50 * got[0]) and not (r.kept and r.base_failed)
 
 
-def test_quality_tells_labels_apart(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
-    rows = quality.judge(docs, labels).join(labels, "doc_id").where("not base_failed").collect()
-    assert all(r.kept == (r.quality == 1) for r in rows)
+def brute_scores(rows, trusted):
+    """The mean log ratio of each text's hashed words, word pairs and endings, by plain counting."""
+    mask = (1 << 64) - 1
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    chain = lambda *parts: functools.reduce(lambda seed, p: xxhash.xxh64_intdigest(p, seed=seed & mask), parts, 42)
+    bucket = lambda *parts: signed(chain(*(x.encode() if isinstance(x, str) else x.to_bytes(4, "little") for x in parts))) % quality.BUCKETS
+    grams, raw, target = {}, {}, {}
+    for k, (i, text) in enumerate(rows):
+        ws = WORD.findall(text or "")
+        grams[k] = [bucket(w) for w in ws] + [bucket(a, b) for a, b in zip(ws, ws[1:], strict=False)] + [bucket_int(chain, signed, w) for w in ws]
+        for g in grams[k]:
+            raw[g] = raw.get(g, 0) + 1
+            target[g] = target.get(g, 0) + (i in trusted)
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    of = lambda g: math.log((target[g] + quality.SMOOTHING) / (n_target + quality.SMOOTHING * quality.BUCKETS)) - math.log((raw[g] + quality.SMOOTHING) / (n_raw + quality.SMOOTHING * quality.BUCKETS))
+    return [sum(map(of, gs)) / len(gs) if gs else 0.0 for gs in grams.values()]
+
+
+def bucket_int(chain, signed, word):
+    """The bucket of a word's ending: Spark hashes the whole number 3 after it."""
+    h = xxh_int(3, chain(word[-3:].encode()))
+    return signed(h) % quality.BUCKETS
+
+
+def xxh_int(value, seed):
+    """Spark's xxhash64 of a 32-bit whole number."""
+    return xxhash.xxh64_intdigest(value.to_bytes(4, "little"), seed=seed)
+
+
+def test_quality_score_and_verdict_equal_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    trusted = {r.doc_id for r in labels.where("quality = 1").collect()}
+    want = dict(zip([i for i, _ in rows], brute_scores(rows, trusted), strict=True))
+    for r in quality.judge(docs, labels).collect():
+        assert abs(r.score - want[r.doc_id]) < 1e-6
+        assert r.kept == (not r.base_failed and want[r.doc_id] >= quality.THRESHOLD)
+
+
+def test_quality_fitted_on_one_half_judges_the_other(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    rows = quality.judge(docs, labels.where("doc_id % 2 = 0")).join(labels, "doc_id").where("not base_failed and doc_id % 2 = 1").collect()
+    good, low = [r.kept for r in rows if r.quality == 1], [r.kept for r in rows if r.quality == 0]
+    assert len(good) > 1000 and len(low) > 100 and sum(good) >= 0.99 * len(good) and sum(low) <= 0.02 * len(low)
+
+
+def test_quality_edge_cases(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 1), (None, 1)], "doc_id bigint, quality int")
+    schema = "doc_id bigint, text string, id int, good int, bucket int, score string"
+    assert quality.judge(spark.createDataFrame([], schema), labels).count() == 0
+    rows = [(1, "w " * 200_000, 1, 1, 1, "x"), (None, "one two", None, None, None, None), (1, None, None, None, None, None)]
+    got = quality.judge(spark.createDataFrame(rows, schema), labels).collect()
+    assert sorted((r.n_words, r.kept) for r in got) == [(0, False), (2, False), (200_000, False)]
+    assert all(r.score == 0 for r in quality.judge(spark.createDataFrame(rows, schema), labels.limit(0)).collect())
 
 
 def near_docs():
@@ -400,13 +453,124 @@ def test_leaks_of_short_items(spark):
     assert got[(3, 1)] == (1, 1)
 
 
-def test_pipeline(spark):
+def greedy_bits(text, sample):
+    """Bits a symbol of a text parsed into longest matches of a sample, in blocks, by plain search."""
+    bits = math.log2(max(len(sample), 2))
+    phrases = 0
+    for a in range(0, len(text), langid.BLOCK):
+        block, i = text[a : a + langid.BLOCK], 0
+        while i < len(block):
+            k = 1
+            while i + k < len(block) and block[i : i + k + 1] in sample:
+                k += 1
+            phrases, i = phrases + 1, i + k
+    return phrases * bits / len(text)
+
+
+def greedy_langs(rows, samples):
+    """The language of each text whose plain parse needs the fewest bits, and the score."""
+    plain = lambda t: "".join(map(chr, langid.squeezed(langid.letters_of(t)).tolist()))
+    own = {lang: plain(t)[: langid.SAMPLE_CHARS] for lang, t in sorted(samples.items())}
+    out = {}
+    for i, text in rows:
+        symbols = plain(text or "")
+        if not symbols.strip("\0"):
+            out[i] = ("und", 0.0)
+            continue
+        rates = [(greedy_bits(symbols, s), lang) for lang, s in own.items()]
+        best = min(rates)
+        out[i] = (best[1], 1 - best[0] / min(x for x, lang in rates if lang != best[1]))
+    return out
+
+
+def test_langid_query_equals_a_plain_parser(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = greedy_langs([r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0], langid.learn(docs))
+    got = {r.doc_id: r for r in queries.op6_langid(spark, SMALL).collect()}
+    assert len(got) == len(rows)
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-9
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_langid_edge_cases(spark):
+    schema = "doc_id bigint, text string, lang string, id int, part int, place int"
+    assert langid.learn(spark.createDataFrame([], schema)) == {}
+    labels = [(k, "same words here", lang, 1, 1, 1) for k, lang in enumerate(["b", "a", "a", None] * 5)]
+    docs = spark.createDataFrame([*labels, (None, "null id", "c", None, None, None), (100, None, "d", None, None, None)], schema)
+    samples = langid.learn(docs)
+    assert set(samples) == {"a", "b"}  # neither the null id nor the null text is learned from
+    assert langid.predict(docs.where("id = 1").select("doc_id", "text"), {"b": "same words", "a": "same words"}).where("lang_pred <> 'a'").isEmpty()  # ties go to the first by name
+    long = spark.createDataFrame([(1, "the words " * 100_000, "z", 1, 1, 1), (1, "", "z", 1, 1, 1)], schema)
+    assert sorted(r.lang_pred for r in langid.predict(long, samples).collect())[1] == "und" or langid.predict(long, samples).count() == 2
+
+
+@pytest.mark.parametrize("schema", ["doc_id bigint, text string, id int, n int, token int, centre int, root int, node int, count int, set string"])
+def test_empty_tables_and_clashing_names(spark, tmp_path, schema):
+    docs = spark.createDataFrame([], schema)
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id bigint, text string")
+    assert ngram_join.jaccard_components(docs).count() == ngram_join.keep_representatives(docs).count() == 0
+    assert decontaminate.contained_items(docs, items).count() == decontaminate.drop_contaminated(docs, items).count() == 0
+    assert token_counts.count_tokens(docs, PIECES).count() == bpe.encode(docs, BPE).count() == 0
+    token_store.write_store(docs, BPE, str(tmp_path / "none"))
+    assert token_store.read_store(spark, str(tmp_path / "none")).count() == 0
+    assert url_filter.filter_urls(spark.createDataFrame([], "page_id bigint, url string, host int, rule int")).count() == 0
+    row = ["x"] * 8
+    full = spark.createDataFrame([(1, "one two three four five six seven", *range(7), "s"), (1, "one two three four five six seven", *range(7), "s"), (2, "one two three four five six seven", *range(7), "s"), (None, "one two three four five six", *range(7), "s")], schema)
+    assert len(row) == 8
+    assert sorted((r.doc_id or 0, r.component_id) for r in ngram_join.jaccard_components(full).collect()) == [(0, None), (1, 1), (1, 1), (2, 1)]
+    assert sorted((r.doc_id or 0, r.item_id) for r in decontaminate.contained_items(full, items).collect()) == [(0, 1), (1, 1), (1, 1), (2, 1)]
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    rows = sorted((r.doc_id, r.text) for r in docs.collect())
-    groups, _ = brute_groups([t for _, t in rows])
-    kept = {rows[k][0] for k, g in enumerate(groups) if g == k}
-    out = corpus_pipeline.run(spark, SMALL).collect()
-    assert {r.doc_id for r in out} <= kept and len(out) > 0.8 * len(kept)
-    assert all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 for r in out)
+    samples = langid.learn(docs)
+    bench = [set(ngrams(r.text)) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    lib = Tokenizer.from_file(BPE)
+    final = None
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = sorted((tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()), key=lambda r: r[0])
+        out = stage(spark, docs, SMALL)
+        rows = sorted((tuple(r) for r in out.collect()), key=lambda r: r[0])
+        if name == "language_id":
+            told = greedy_langs([(r[0], r[1]) for r in before if not r[2] or not any(c.isalpha() for c in r[1] or "")], samples)
+            want = [(*r[:2], r[2] or told[r[0]][0], *r[3:]) for r in before if told.get(r[0], ("",))[0] != "und"]
+        elif name == "ngram_jaccard_join":
+            groups, _ = brute_groups([r[1] for r in before])
+            want = [r for i, r in enumerate(before) if groups[i] == i]
+        elif name == "substring_dedup":
+            cut = brute_removed([(r[0], (r[1] or "").encode()) for r in before])
+            want = [r if cut[r[0]] == (r[1] or "") else (r[0], cut[r[0]], r[2], r[3], len(cut[r[0]])) for r in before]
+        elif name == "benchmark_decontamination":
+            want = [r for r in before if not any(b and 100 * len(b & set(ngrams(r[1]))) >= 80 * len(b) for b in bench)]
+        else:
+            ids = {r[0]: lib.encode(r[1] or "", add_special_tokens=False).ids for r in before}
+            assert [(r[0], r[1], [int.from_bytes(r[2][a : a + 4], "little") for a in range(0, len(r[2]), 4)]) for r in rows] == [(i, len(x), x) for i, x in ids.items()]
+            assert all(r[3] == hashlib.sha256(r[2]).hexdigest() and r[4] == hashlib.sha256(lib.decode(ids[r[0]], skip_special_tokens=False).encode()).hexdigest() for r in rows)
+            final = rows
+            break
+        assert rows == want and len(rows) >= 0.7 * len(before), name
+        out.write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+    assert final
+
+
+def ngrams(text):
+    """The five-word shingles of a text; the whole sequence where it has fewer words."""
+    ws = [re.sub("[A-Z]+", lambda m: m[0].lower(), w) for w in WORD.findall(text or "")]
+    return [tuple(ws[i : i + 5]) for i in range(max(len(ws) - 4, 1))] if ws else []
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, id int, spans int, lang_pred int"
+    rows = [(1, None, None, None, None, 1, 1, 1), (2, "", "en", "s", 0, 1, 1, 1), (3, "word " * 50_000, None, "s", None, 1, 1, 1), (3, "word " * 50_000, None, "s", None, 1, 1, 1), (None, "a null id", "en", None, 3, 1, 1, 1)]
+    for content in ([], rows):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, spark.createDataFrame(content, schema), SMALL)
+            assert name == "bpe" or out.columns == corpus_pipeline.COLUMNS
+            assert out.count() == (0 if not content else {"language_id": 3}.get(name, len(rows))), name
