@@ -36,7 +36,7 @@ from ledgerline.llm.shingles import mixed, powers
 
 LONG = 512
 #: Distinct pre-tokens that an encoder remembers; beyond it, it starts anew.
-REMEMBERED = 1_400_000
+REMEMBERED = 700_000
 #: White space of the vocabulary file's engine, and the endings of its contractions. Fixed values.
 WHITE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -204,7 +204,7 @@ class Encoder:
         self.v = v
         self.kind = classes()
         self.specials = list(v.special)
-        self.forget()
+        self.table = None  # made by the first text: a worker that only decodes needs none
 
     def forget(self, room: int = 0) -> None:
         self.table = Table(max(REMEMBERED, room))
@@ -306,6 +306,8 @@ class Encoder:
         starts, ends = self.borders(points)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        if self.table is None:
+            self.forget()
         h = span_hashes(points, starts, ends)
         code = self.table.find(h)
         if len(new := np.flatnonzero(code < 0)):
@@ -341,8 +343,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
-        for batch in sub_batches(it):
+        for batch in sub_batches(it, keep=("bpe", path)):
+            e = encoder(path)
             ids, counts = e.encode(batch.column("text").to_pylist())
             cut, raw = np.r_[0, np.cumsum(counts)] * 4, ids.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array([raw[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())], ["id", "n_tokens", "ids"])
@@ -357,8 +359,8 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = encoder(path).v
-        for batch in sub_batches(it, "ids"):
+        for batch in sub_batches(it, "ids", keep=("bpe", path)):
+            v = encoder(path).v
             texts = [decode_ids(v, np.frombuffer(b or b"", "<u4")) for b in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 

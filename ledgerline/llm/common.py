@@ -6,6 +6,8 @@ Operators take a DataFrame and the names of its id and text columns, ignore ever
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
@@ -18,13 +20,13 @@ from ledgerline.sources.shipping import ship
 #: White space of the word contracts: space, tab, LF, VT, FF, CR. Fixed values.
 SPACE = " \t\n\x0b\x0c\r"
 #: Text bytes that one Python sub-batch holds at most, unless one text alone has more.
-SUB_BATCH = 4 << 20
+SUB_BATCH = 2 << 20
 
 
 def tune(spark: SparkSession) -> None:
     """Small Arrow batches (texts may be long, and a batch lies in a worker's memory as a whole) and this package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     ship(spark)
 
 
@@ -57,18 +59,30 @@ _HELD: dict[Hashable, Any] = {}
 
 
 def held(key: Hashable, make: Callable[[], Any]) -> Any:
-    """The one large object that a worker keeps between batches and tasks. Another key evicts it, so what an earlier stage
-    held in a worker that is used again goes as soon as a later stage needs something of its own."""
+    """The one large object that a worker keeps between batches and tasks of an operator; another key evicts it."""
     if key not in _HELD:
         _HELD.clear()
         _HELD[key] = make()
     return _HELD[key]
 
 
-def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text", most: int = SUB_BATCH) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each holds about `most` bytes of `column`. For workers: Arrow's memory comes from
-    the system's allocator from then on, which gives large buffers back at once instead of keeping them for later."""
+def lean(keep: Hashable = None) -> None:
+    """At the start of a task in a worker that is used again: let go of what another operator's tasks held and left.
+
+    Arrow's memory comes from the system's allocator from then on, which gives large buffers back at once.
+    """
+    if any(key != keep for key in _HELD):
+        _HELD.clear()
     pa.set_memory_pool(pa.system_memory_pool())
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text", most: int = SUB_BATCH, keep: Hashable = None) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each holds about `most` bytes of `column`. For workers, at a task's start: see `lean`."""
+    lean(keep)
     for batch in it:
         n, at, size = batch.num_rows, 0, 0
         for i, x in enumerate(batch.column(column)):

@@ -27,15 +27,21 @@ _POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
 def powers(n: int) -> list[np.ndarray]:
-    """The first n powers of the base, and of its inverse."""
+    """The first n powers of the base, and of its inverse. Kept up to the length of a usual group; one long text's are made for it alone."""
+    usual = TOGETHER + (TOGETHER >> 3)
+    if n > usual:
+        return [_powers_of(base, n) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
     if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(max(n, TOGETHER + (TOGETHER >> 3)), base, np.uint64)
-            x[0] = 1
-            _POWERS[k] = np.multiply.accumulate(x)
+        _POWERS[:] = [_powers_of(base, usual) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _POWERS
 
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    x = np.full(n, base, np.uint64)
+    x[0] = 1
+    return np.multiply.accumulate(x, out=x)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that every bit of a hash depends on all of its input."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -257,7 +257,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        for batch in sub_batches(it):
+        for batch in sub_batches(it, keep=("token counts", path)):
             texts = batch.column("text").to_pylist()
             sizes = [0 if (b := x.as_buffer()) is None else b.size for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(c.count(texts), pa.int64())], ["id", "n_bytes", "n_tokens"])

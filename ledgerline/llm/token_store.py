@@ -117,7 +117,7 @@ def write_store(docs: DataFrame, path: str, folder: str, end_id: int = 2, id_col
             row = pack(shard, block, before, keys, rows)
             return pa.RecordBatch.from_pylist([row], arrow_schema())
 
-        for batch in sub_batches(it):
+        for batch in sub_batches(it, keep=("bpe", path)):
             ids, counts = e.encode(batch.column("text").to_pylist())
             cut = np.r_[0, np.cumsum(counts)]
             for key, a, b in zip(batch.column("id").to_pylist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
