@@ -36,39 +36,6 @@ def canon_text(text: pd.Series) -> pd.Series:
     return text.map(canonical, na_action="ignore")
 
 
-def check_quote(quote: str, hay: str) -> tuple[bool, str, str]:
-    """(holds, why, verified span) of a quotation against canonical source text."""
-    needle = canonical(quote)
-    if len(needle) < SHORTEST:
-        return False, "too short", ""
-    if needle in hay:
-        return True, "verbatim", decoded(quote)
-    low, high = 0, len(needle)
-    while low < high:  # a prefix of a prefix that occurs occurs too
-        middle = (low + high + 1) // 2
-        low, high = (middle, high) if needle[:middle] in hay else (low, middle - 1)
-    if low >= SHORTEST and len(needle) - low <= TAIL:
-        span = decoded(quote)
-        while span and canonical(span) not in hay:
-            span = span[:-1]
-        return True, "stray tail", span.rstrip()
-    return False, "diverges" if low >= 0.25 * len(needle) else "not found", ""
-
-
-@F.pandas_udf(T.StructType([T.StructField("holds", T.BooleanType()), T.StructField("why", T.StringType()), T.StructField("span", T.StringType())]))
-def verify_quote(quote: pd.Series, source: pd.Series) -> pd.DataFrame:
-    hays: dict[str, str] = {}
-    rows = []
-    for q, s in zip(quote, source, strict=True):
-        if q is None or s is None:
-            rows.append((None, None, None))
-        else:
-            if s not in hays:
-                hays[s] = canonical(s)
-            rows.append(check_quote(q, hays[s]))
-    return pd.DataFrame(rows, columns=["holds", "why", "span"])
-
-
 def common_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, bit-parallel over the shorter text."""
     if len(a) > len(b):

@@ -8,21 +8,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import token_sort
+from ledgerline.functions.text import indel_ratio
 
 
 def greedy(left: list[tuple[int, str]], right: list[tuple[int, str]], floor: float) -> list[tuple[int, int, float]]:
-    """Pairs by (score, left ordinal, right ordinal) descending, each side used once, down to the floor."""
-    pairs = sorted(((token_sort(a, b), i, j) for i, a in left for j, b in right), reverse=True)
-    used_left, used_right, out = set(), set(), []
-    for score, i, j in pairs:
-        if score < floor:
-            break
-        if i not in used_left and j not in used_right:
-            used_left.add(i)
-            used_right.add(j)
-            out.append((i, j, score))
-    return out
+    """One-to-one pairs, the best first, down to the floor; ties go to the later ordinals.
+
+    A pair that is the best of both its row and its column is taken whatever else there is, so all such pairs are taken at once, and
+    the rest is looked at again. Only pairs whose lengths leave room for the floor are scored.
+    """
+    x, y = [(i, ordered(t)) for i, t in left], [(j, ordered(t)) for j, t in right]
+    scores = {(i, j): s for i, a in x for j, b in y if most_ratio(len(a), len(b)) >= floor and (s := indel_ratio(a, b)) >= floor}
+    out: list[tuple[int, int, float]] = []
+    while scores:
+        best: dict[tuple[str, int], tuple[float, int, int]] = {}
+        for (i, j), s in scores.items():
+            for side in (("left", i), ("right", j)):
+                best[side] = max(best.get(side, (s, i, j)), (s, i, j))
+        taken = [p for (name, i), p in best.items() if name == "left" and best["right", p[2]] == p]
+        out += [(i, j, s) for s, i, j in taken]
+        rows, columns = {i for _, i, _ in taken}, {j for _, _, j in taken}
+        scores = {(i, j): s for (i, j), s in scores.items() if i not in rows and j not in columns}
+    return sorted(out, key=lambda p: (p[2], p[0], p[1]), reverse=True)
+
+
+def ordered(text: str) -> str:
+    return " ".join(sorted(text.lower().split()))
+
+
+def most_ratio(a: int, b: int) -> float:
+    """The greatest ratio that texts of these lengths may have."""
+    return 200.0 * min(a, b) / (a + b) if a + b else 100.0
 
 
 def greedy_match(current: DataFrame, prior: DataFrame, block: str, ordinal: str, text: str, floor: float = 60.0) -> DataFrame:

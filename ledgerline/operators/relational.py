@@ -22,21 +22,28 @@ def cadence_profile(df: DataFrame, key: str, day: str) -> DataFrame:
 def asof_forward(df: DataFrame, key: str, at: str, is_left: Column, is_right: Column, ident: str) -> DataFrame:
     """For each left row the first right row strictly after it and strictly before the next left row of the key.
 
-    One sort per key and two window passes; no join, so a hot key costs a longer sort and no product.
+    One sort per key, latest first, and a frame that only grows, so a key's work is linear after its sort; no join, so a hot key
+    makes no product.
     """
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     marked = df.select(key, ident, micros.alias("t"), F.col(at).alias("at"), is_left.alias("l"), is_right.alias("r"))
-    ahead = Window.partitionBy(key).orderBy("t").rangeBetween(1, Window.unboundedFollowing)
+    ahead = Window.partitionBy(key).orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, -1)  # grows row by row: later times come first
     nxt = marked.withColumn("bound", F.min(F.when(F.col("l"), F.col("t"))).over(ahead)).withColumn("found", F.min(F.when(F.col("r"), F.struct("t", ident))).over(ahead))
     ok = F.col("found").isNotNull() & (F.col("bound").isNull() | (F.col("found.t") < F.col("bound")))
     return nxt.where("l").select(key, F.col(ident).alias("left_id"), F.when(ok, F.col(f"found.{ident}")).alias("right_id"), F.when(~ok & F.col("found").isNull(), "no later row").when(~ok, "only after the next one").alias("gap_reason"))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Old rows and new rows, where the new one of a key wins."""
-    both = old.withColumn("_run", F.lit(0)).unionByName(new.withColumn("_run", F.lit(1)))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_run")))
-    return both.withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_run")
+    """Old rows and new rows, where the new one of a key wins; of several in one table, the greatest by its columns in order.
+
+    A grouped maximum with map-side combination, so rows of a hot key are reduced before the exchange. Columns may have any type
+    that can be compared. Null keys are one key.
+    """
+    run = "".join(old.columns) + "_run"  # no column has this name
+    both = old.withColumn(run, F.lit(0)).unionByName(new.withColumn(run, F.lit(1)))
+    rest = [c for c in old.columns if c not in keys]
+    best = both.groupBy(*keys).agg(F.max(F.struct(run, *rest)).alias(run))
+    return best.select(*(F.col(c) if c in keys else F.col(run)[c].alias(c) for c in old.columns))
 
 
 def choose_one(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -70,22 +77,35 @@ def island_ids(df: DataFrame, key: str, order: list[str], is_full: Column, name:
 
 
 def apply_corrections(df: DataFrame, fixes: DataFrame, key: str, match: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """Patched rows, and an audit with the number of rows each correction matched (it must be 1). `fixes`: key, expected, new_value."""
-    few = fixes.select(key, "expected", "new_value").limit(MOST_FIXES + 1)
+    """Patched rows, and an audit with the number of rows each correction matched. `fixes`: key, expected, new_value.
+
+    Two corrections of one key and expected value are an error, as either could win. The audit is for `exactly_once` before a write.
+    Columns of `df` may have any names; a null expected value matches nothing.
+    """
+    few = fixes.select(F.col(key).alias("k"), F.col("expected").alias("e"), F.col("new_value").alias("v")).limit(MOST_FIXES + 1)
     if few.count() > MOST_FIXES:
         raise ValueError("corrections are a small table")
-    joined = df.join(F.broadcast(few), key, "left")
-    hit = F.col("expected").isNotNull() & F.col("expected").eqNullSafe(F.col(match))
-    patched = joined.select(*(F.when(hit, F.col("new_value")).otherwise(F.col(c)).alias(c) if c == value else F.col(c) for c in df.columns), hit.alias("corrected"))
-    rows = df.select(F.col(key).alias("_key"), F.col(match).alias("_match"))
-    audit = fixes.join(rows, (F.col(key) == F.col("_key")) & (F.col("expected") == F.col("_match")), "left").groupBy(key).agg(F.count("_match").alias("n_matches"))
+    if twice := few.groupBy("k", "e").count().where("count > 1").collect():
+        raise ValueError(f"corrections given twice: {[(r['k'], r['e']) for r in twice]}")
+    rows, fix = df.alias("rows"), F.broadcast(few).alias("fix")
+    same = (F.col(f"rows.{key}") == F.col("fix.k")) & (F.col(f"rows.{match}") == F.col("fix.e"))
+    hit = F.col("fix.k").isNotNull()
+    patched = rows.join(fix, same, "left").select(*(F.when(hit, F.col("fix.v")).otherwise(F.col(f"rows.{c}")).alias(c) if c == value else F.col(f"rows.{c}") for c in df.columns), hit.alias("corrected"))
+    met = rows.join(fix, same).select("fix.k", "fix.e").groupBy("k", "e").agg(F.count("*").alias("n"))
+    audit = few.join(met, ["k", "e"], "left").groupBy(F.col("k").alias(key)).agg(F.sum(F.coalesce("n", F.lit(0))).cast("bigint").alias("n_matches"))
     return patched, audit
 
 
+def exactly_once(audit: DataFrame) -> None:
+    """Raise unless every correction has matched one row: before anything is written."""
+    if wrong := audit.where("n_matches <> 1").limit(20).collect():  # an error message shows some
+        raise ValueError(f"corrections that don't match one row: {[tuple(r) for r in wrong]}")
+
+
 def multiset_difference(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """How many more of each value the left has; by counts, so equal values meet in map-side partial sums."""
-    both = left.select(column, F.lit(1).alias("d")).unionByName(right.select(column, F.lit(-1).alias("d")))
-    return both.groupBy(column).agg(F.sum("d").alias("surplus")).where("surplus > 0")
+    both = left.select(F.col(column).alias("v"), F.lit(1).alias("d")).unionByName(right.select(F.col(column).alias("v"), F.lit(-1).alias("d")))
+    return both.groupBy("v").agg(F.sum("d").alias("surplus")).where("surplus > 0").withColumnRenamed("v", column)
 
 
 def budget_rung(df: DataFrame, key: str, length: Column, rungs: list[int], budget: int) -> DataFrame:

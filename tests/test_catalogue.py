@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from ledgerline.plans import catalogue
+from ledgerline.plans import catalogue, evidence  # noqa: F401  registers its queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -32,7 +32,7 @@ def test_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLE_SQL)))
 def test_runs(spark, name):
-    assert catalogue.QUERIES[name](spark, str(FOLDER)).columns
+    assert catalogue.QUERIES[name](spark, str(FOLDER)).toPandas().shape[1] > 0  # executed in full
 
 
 def test_entry(spark):

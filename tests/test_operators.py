@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.functions import quotes
 from ledgerline.functions import text as tx
-from ledgerline.operators import fiscal, matching
+from ledgerline.operators import checks, fiscal, ledger, matching
 from ledgerline.operators import relational as rel
 
 
@@ -66,7 +67,8 @@ SOURCE = "The board approved a new dividend policy in March, and it’s expected
     ],
 )
 def test_quotes(quote, holds):
-    assert tx.check_quote(quote, tx.canonical(SOURCE))[0] is holds
+    assert quotes.judge_quote(quote, tx.canonical(SOURCE))[0] is holds
+    assert quotes.Canonical(quote).text == tx.canonical(quote)
 
 
 def test_ratios():
@@ -108,4 +110,88 @@ def test_timeline_has_all_orders(spark):
     from ledgerline.plans import catalogue
 
     folder = "/root/testdata/sf0.001"
-    assert catalogue.QUERIES["timeline_order_all"](spark, folder).count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert catalogue.QUERIES["timeline_order"](spark, folder).count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+
+
+DOC = """# Brief
+
+The company plans growth [SP-FY2021-aaaaaaaa]. It has no letter for 2020.
+
+Under Regulation FD the answer was "we expect a good year ahead" [QA-FY2021-bbbbbbbb].
+
+On 2021-05-04 holders voted [VOTE-FY2021-cccccccc]; with low confidence, sales were $1,250.00 [EVT-FY2021-dddddddd]."""
+INDEX = [("SP-FY2021-aaaaaaaa", "high", True, "plans growth", None), ("QA-FY2021-bbbbbbbb", "high", True, "and we expect a good year ahead, he said", None), ("VOTE-FY2021-cccccccc", "high", True, "voted", None), ("EVT-FY2021-dddddddd", "low", False, "sales were 1250", None), ("EVT-FY2021-eeeeeeee", "high", True, "another source of words", "claims 777 units")]
+
+
+@pytest.mark.parametrize(
+    "rule,change",
+    [
+        (None, lambda r: r),
+        ("prov_present", lambda r: {**r, "stamped": None}),
+        ("prov_matches", lambda r: {**r, "stamped": "old"}),
+        ("ids_resolve", lambda r: {**r, "body": r["body"] + " [EVT-FY2021-12345678]"}),
+        ("ids_wellformed", lambda r: {**r, "body": r["body"] + " [evt-FY2021-dddddddd]"}),
+        ("quotes_verbatim", lambda r: {**r, "body": r["body"].replace("a good year", "a bad year")}),
+        ("quotes_verbatim", lambda r: {**r, "body": r["body"].replace("we expect a good year ahead", "source of words")}),
+        ("no_unverified_quoted", lambda r: {**r, "body": r["body"].replace("holders voted", 'holders "voted"')}),
+        ("low_conf_flagged", lambda r: {**r, "body": r["body"].replace("with low confidence, ", "")}),
+        ("vote_dated", lambda r: {**r, "body": r["body"].replace("On 2021-05-04 h", "H")}),
+        ("reg_fd_established", lambda r: {**r, "body": r["body"].replace("Regulation FD", "the rule")}),
+        ("qa_not_a_series", lambda r: {**r, "body": r["body"].replace("Under Regulation FD", "In 2019: 11, 2020: 12, 2021: 13, and under Regulation FD")}),
+        ("letter_gap_named", lambda r: {**r, "body": r["body"].replace("2020", "that year")}),
+        ("sections_present", lambda r: {**r, "body": r["body"].replace("# Brief", "# Other")}),
+        ("length", lambda r: {**r, "body": r["body"] + " more words" * 60}),
+        ("figures_evidenced", lambda r: {**r, "body": r["body"] + "\n\nIt had 777 units [EVT-FY2021-eeeeeeee] and 888 more."}),
+    ],
+)
+def test_one_mutation_breaks_one_rule(spark, rule, change):
+    row = change({"doc": 1, "body": DOC, "stamped": "x", "current": "x", "gap_years": [2020]})
+    docs = spark.createDataFrame([tuple(row.values())], "doc int, body string, stamped string, current string, gap_years array<int>")
+    index = spark.createDataFrame(INDEX, "id string, confidence string, quote_verified boolean, quote string, claim string")
+    broken = checks.violations(docs, index, ["# Brief"], (10, 100), "Regulation FD")
+    assert {r.rule for r in broken.collect()} == ({rule} if rule else set())
+    if rule:
+        with pytest.raises(ValueError):
+            checks.must_hold(broken)
+
+
+def test_quotations_with_ellipses_and_brackets(spark):
+    cases = [("we expect ... ahead", True), ("[w]e expect a good year", True), ("we [really] expect", True), ("we expect … behind", False), ("We  expect a good year,", True)]
+    df = spark.createDataFrame([(a, "and we expect a good year ahead, he said", b) for a, b in cases], "said string, quote string, want boolean")
+    assert all(r.got == r.want for r in df.select("want", checks.quote_holds(F.col("said"), F.col("quote")).alias("got")).collect())
+
+
+def test_fact_id_is_that_of_python(spark):
+    import hashlib
+    import json
+
+    value = {"b": 'x "y"\n\t\\', "a": "é"}
+    body = {"field": "events", "fiscal_year": 2022, "value": value, "form": None, "accession": "1", "section_key": "k", "quote": "q"}
+    want = "EVT-FY2022-" + hashlib.sha256(json.dumps(body, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:8]
+    df = spark.createDataFrame([(value,)], "v map<string,string>")
+    got = df.select(ledger.fact_id(F.lit("EVT"), F.lit(2022), F.lit("events"), F.col("v"), F.lit(None).cast("string"), F.lit("1"), F.lit("k"), F.lit("q"))).first()[0]
+    assert got == want
+
+
+def test_corrections_given_twice_or_not_matching(spark):
+    df = spark.createDataFrame([(1, "a", "n")], "id int, v string, expected string")
+    with pytest.raises(ValueError):
+        rel.apply_corrections(df, spark.createDataFrame([(1, "a", "x"), (1, "a", "y")], "id int, expected string, new_value string"), "id", "v", "v")
+    patched, audit = rel.apply_corrections(df, spark.createDataFrame([(1, "b", "x")], "id int, expected string, new_value string"), "id", "v", "v")
+    assert [tuple(r) for r in patched.collect()] == [(1, "a", "n", False)]
+    with pytest.raises(ValueError):
+        rel.exactly_once(audit)
+
+
+def test_one_key_pairs_in_linear_time(spark):
+    df = spark.range(300_000).selectExpr("1 as k", "id", "case when id % 3 = 0 then 'p' else 'v' end as kind", "timestamp_micros(id) as at")
+    got = rel.asof_forward(df, "k", "at", F.col("kind") == "p", F.col("kind") == "v", "id")
+    assert got.where("right_id = left_id + 1").count() == 100_000
+
+
+def test_boilerplate_and_partial_dates(spark):
+    text = "Header x Item 5.02 Departure. Cautionary statements regarding forward-looking statements we may be wrong except as required by law. Done. SIGNATURES signed"
+    row = spark.createDataFrame([(text, "EX-99\nA letter  photo.jpg here")], "a string, b string").select(ledger.without_boilerplate(F.col("a"), F.lit(True)).alias("a"), ledger.without_boilerplate(F.col("b"), F.lit(False)).alias("b"), ledger.cleaned(F.lit("\x93a\x94\u00a0 b\n")).alias("c")).first()
+    assert tuple(row) == ("Item 5.02 Departure. [caution omitted] Done.", "A letter here", "“a” b")
+    dates = spark.createDataFrame([("2023-02-06",), ("2022-07",), ("2022",), ("July 2022",), ("2022-7",), ("",), (None,)], "d string").select(ledger.partial_date(F.col("d")).alias("p")).select("p.*").collect()
+    assert [(r.date, r.precision) for r in dates] == [("2023-02-06", "day"), ("2022-07", "month"), ("2022", "year")] + [(None, None)] * 4
