@@ -100,16 +100,18 @@ def quote_report(pars: DataFrame, index: DataFrame) -> DataFrame:
     """(doc, par, said, status) of each quotation: ok in a fact that its paragraph cites, elsewhere in the index, or bad.
 
     The facts of a paragraph are found by an equi-join on its citations. Only quotations that these don't hold are looked for
-    elsewhere, by their longest word among the words of the index's quotations, so no table is crossed with another.
+    elsewhere, by that of their words which the fewest quotations of the index have, so no table is crossed with another.
     """
     said = quotations(pars).distinct()
     quoted = index.where("quote is not null").select("id", "quote")
     own = said.join(citations(pars), ["doc", "par"]).join(quoted, "id").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
     rest = said.join(own, ["doc", "par", "said"], "left_anti")
     words = lambda c: F.array_distinct(F.filter(F.split(plain(F.regexp_replace(c, r"\.\.\.|…|[\[\]]", " ")), "[^0-9a-z']+"), lambda w: w != ""))
-    longest = F.array_max(F.transform(words(F.regexp_replace(F.col("said"), r"\[[^\]]*\]", " ")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     inverted = quoted.select("quote", F.explode(words(F.col("quote"))).alias("key"))
-    there = rest.withColumn("key", longest).join(inverted, "key").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
+    often = inverted.groupBy("key").agg(F.count("*").alias("n"))
+    spoken = rest.select("*", F.explode(words(F.regexp_replace("said", r"\[[^\]]*\]", " "))).alias("key")).join(often, "key")
+    rare = spoken.groupBy("doc", "par", "said").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+    there = rare.join(inverted, "key").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
     bad = rest.join(there, ["doc", "par", "said"], "left_anti")
     status = lambda df, s: df.select("doc", "par", "said", F.lit(s).alias("status"))
     return status(own, "ok").union(status(there, "elsewhere")).union(status(bad, "bad"))
