@@ -96,25 +96,62 @@ def quote_holds(said: Column, quote: Column) -> Column:
     return all_parts(kept) | all_parts(dropped)
 
 
+def segments(said: Column) -> Column:
+    """The stretches of a quotation that stand in its source as they are: between ellipses and what is in brackets; without such, with the latter."""
+    outer = F.filter(F.transform(F.split(said, r"\s*(?:\.\.\.|…|\[[^\]]*\]|[\[\]])\s*"), plain), lambda p: p != "")
+    kept = F.filter(F.transform(F.split(F.translate(said, "[]", ""), r"\s*(?:\.\.\.|…)\s*"), plain), lambda p: p != "")
+    return F.when(F.size(outer) > 0, outer).otherwise(kept)
+
+
+def grams(text: Column) -> Column:
+    """The distinct runs of three characters of a plain text; of a shorter one, itself."""
+    return F.when(F.length(text) < 3, F.array(text)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(text, i, F.lit(3)))))
+
+
+def held_elsewhere(said: DataFrame, quoted: DataFrame) -> DataFrame:
+    """The distinct texts of `said` (said) that a text of `quoted` (quote) holds.
+
+    Words inside a segment are whole words of the source, so candidates come from that one which the fewest quotations of the
+    index have, and a quotation with a word that none has needs no search. Those without such a word (every segment has two words or
+    fewer) go by the rarest three characters of a segment, and those too short for that by what they are: no table is crossed
+    with another, and no quotation is left out.
+    """
+    said, quoted = said.select("said").distinct(), quoted.select("quote").where("quote is not null").distinct()
+    tokens = lambda c: F.filter(F.split(c, "[^0-9a-z']+"), lambda w: w != "")
+    inner = F.array_distinct(F.flatten(F.transform(segments(F.col("said")), lambda p: F.transform(tokens(p), lambda w, i: F.when((i > 0) & (i < F.size(tokens(p)) - 1), w)))))
+    keyed = said.select("said", F.array_compact(inner).alias("words"), F.flatten(F.transform(segments(F.col("said")), grams)).alias("grams"))
+
+    def search(rows: DataFrame, index: DataFrame) -> DataFrame:
+        """`rows` (said, key) against `index` (quote, key), by the rarest key of each."""
+        wanted = index.join(rows.select("key").distinct(), "key", "left_semi")
+        often = wanted.groupBy("key").agg(F.count("*").alias("n"))
+        rare = rows.join(often, "key", "left").groupBy("said").agg(F.min_by("key", F.struct(F.coalesce("n", F.lit(0)), "key")).alias("key"))
+        return rare.join(wanted, "key").where(quote_holds(F.col("said"), F.col("quote"))).select("said").distinct()
+
+    by_word = search(keyed.where("size(words) > 0").select("said", F.explode("words").alias("key")), quoted.select("quote", F.explode(F.array_distinct(tokens(plain(F.col("quote"))))).alias("key")))
+    pieces = keyed.where("size(words) = 0").select("said", F.explode("grams").alias("key"))
+    whole = plain(F.col("quote"))
+    by_gram = search(pieces.where("length(key) = 3"), quoted.select("quote", F.explode(grams(whole)).alias("key")))
+    # pieces under three characters: there are few different ones, and each single or pair of characters of a quotation is a row
+    short = pieces.groupBy("said").agg(F.max(F.length("key")).alias("most")).where("most < 3").select("said")
+    ends = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - (k - 1), F.lit(1))), lambda i: F.substring(whole, i, F.lit(k)))
+    by_piece = search(pieces.join(short, "said", "left_semi"), quoted.select("quote", F.explode(F.array_distinct(F.concat(ends(1), ends(2)))).alias("key")))
+    return by_word.union(by_gram).union(by_piece)
+
+
 def quote_report(pars: DataFrame, index: DataFrame) -> DataFrame:
     """(doc, par, said, status) of each quotation: ok in a fact that its paragraph cites, elsewhere in the index, or bad.
 
     The facts of a paragraph are found by an equi-join on its citations. Only quotations that these don't hold are looked for
-    elsewhere, by that of their words which the fewest quotations of the index have, so no table is crossed with another.
+    elsewhere, each text once; see `held_elsewhere`.
     """
     said = quotations(pars).distinct()
     quoted = index.where("quote is not null").select("id", "quote")
     own = said.join(citations(pars), ["doc", "par"]).join(quoted, "id").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
     rest = said.join(own, ["doc", "par", "said"], "left_anti")
-    words = lambda c: F.array_distinct(F.filter(F.split(plain(F.regexp_replace(c, r"\.\.\.|…|[\[\]]", " ")), "[^0-9a-z']+"), lambda w: w != ""))
-    inverted = quoted.select("quote", F.explode(words(F.col("quote"))).alias("key"))
-    often = inverted.groupBy("key").agg(F.count("*").alias("n"))
-    spoken = rest.select("*", F.explode(words(F.regexp_replace("said", r"\[[^\]]*\]", " "))).alias("key")).join(often, "key")
-    rare = spoken.groupBy("doc", "par", "said").agg(F.min_by("key", F.struct("n", "key")).alias("key"))
-    there = rare.join(inverted, "key").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
-    bad = rest.join(there, ["doc", "par", "said"], "left_anti")
-    status = lambda df, s: df.select("doc", "par", "said", F.lit(s).alias("status"))
-    return status(own, "ok").union(status(there, "elsewhere")).union(status(bad, "bad"))
+    there = held_elsewhere(rest, quoted).withColumn("there", F.lit(True))
+    status = F.when(F.col("there"), "elsewhere").otherwise("bad")
+    return own.withColumn("status", F.lit("ok")).union(rest.join(there, "said", "left").select("doc", "par", "said", status.alias("status")))
 
 
 def figures(text: Column) -> Column:

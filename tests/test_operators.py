@@ -161,6 +161,15 @@ def test_quotations_with_ellipses_and_brackets(spark):
     assert all(r.got == r.want for r in df.select("want", checks.quote_holds(F.col("said"), F.col("quote")).alias("got")).collect())
 
 
+def test_quotations_found_elsewhere_as_by_brute_force(spark):
+    quotes = ["and we expect a good year ahead, he said", "margins rose to 12.5% - up [slightly] on 2021", "Ab", "it's “well-run” … they say", None]
+    said = ["we expect a good", "e expect a goo", "xpect a good yea", "pect good", "good yea", "ood", "to 12", "rose to 12.5% – up", "[M]argins rose ... on 2021", "expect an awful year", "Ab", "b", "zz", "... [x] ...", "well-run", "a good year [for us] ahead", "year nowhere ahead", "[W]e expect", "ab [c] b"]
+    got = {r.said for r in checks.held_elsewhere(spark.createDataFrame([(s,) for s in said * 2], "said string"), spark.createDataFrame([(q,) for q in quotes], "quote string")).collect()}
+    pairs = spark.createDataFrame([(s, q) for s in said for q in quotes if q], "said string, quote string")
+    want = {r.said for r in pairs.where(checks.quote_holds(F.col("said"), F.col("quote"))).select("said").distinct().collect()}
+    assert got == want and {"we expect a good", "e expect a goo", "ood", "b"} <= want and "zz" not in want
+
+
 def test_fact_id_is_that_of_python(spark):
     import hashlib
     import json
