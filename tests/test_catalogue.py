@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from ledgerline.plans import catalogue, evidence  # noqa: F401  registers its queries
+from ledgerline.plans import catalogue, evidence, reports  # noqa: F401  registers its queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 
