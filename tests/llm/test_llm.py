@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, quality, queries, shingles, substring_dedup, token_counts, token_store, url_filter
+from ledgerline.llm import bpe, components, decontaminate, html_extract, langid, ngram_join, quality, queries, shingles, substring_dedup, token_counts, token_store, url_filter
 
 BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.001"
@@ -574,3 +574,25 @@ def test_pipeline_stages_on_odd_rows(spark):
             out = stage(spark, spark.createDataFrame(content, schema), SMALL)
             assert name == "bpe" or out.columns == corpus_pipeline.COLUMNS
             assert out.count() == (0 if not content else {"language_id": 3}.get(name, len(rows))), name
+
+
+@pytest.mark.parametrize("few", [components.FEW, 0])
+def test_components_equal_union_find(spark, monkeypatch, few):
+    """A chain, a star, random edges, self edges and repeated edges; dealt out by number, and left to Spark."""
+    monkeypatch.setattr(components, "FEW", few)
+    monkeypatch.setattr(components, "A_TASK", 50)
+    r = random.Random(11)
+    edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + k) for k in range(1, 120)] + [(r.randrange(300, 700), r.randrange(300, 700)) for _ in range(200)] + [(5, 5), (900, 901), (900, 901), (901, 900)]
+    parent: dict[int, int] = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = top(a), top(b)
+        parent[max(x, y)] = min(x, y)
+    got = [tuple(x) for x in components.components(spark.createDataFrame([*edges, (None, 1), (2, None)], "a long, b long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(k, top(k)) for k in parent if top(k) != k}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
