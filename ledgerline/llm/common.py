@@ -38,13 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/ledgerline-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "t", folder: str | None = None) -> DataFrame:
+def settle(df: DataFrame, name: str = "t", folder: str | None = None, **options: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage, and a lost executor loses nothing of it.
 
     Spark drops the shuffle files of a finished step when the driver's JVM collects its garbage, so that is asked for.
     """
     path = f"{folder or shared_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

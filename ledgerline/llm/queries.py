@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, quality, substring_dedup, token_counts, token_store, url_filter
+from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, phrases, quality, rolling, substring_dedup, token_counts, token_store, url_filter
 from ledgerline.llm.common import shared_folder
 
 
@@ -62,6 +62,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_features(table(spark, sf_dir, "documents"), rolling.event_time())
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_quality, op3_url_filter, op4_html_extract, op5_substring_dedup, op6_langid, op7_token_counts, op8_token_store, op9_decontaminate, op10_ngram_join, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_quality, op3_url_filter, op4_html_extract, op5_substring_dedup, op6_langid, op7_token_counts, op8_token_store, op9_decontaminate, op10_ngram_join, op11_rolling, op12_phrases, pipeline)
 }
 
 OP3_SQL = r"""
@@ -94,4 +102,54 @@ SELECT page_id, host, path, rule, CASE
   ELSE 'allow' END AS verdict FROM ruled
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filter": OP3_SQL}
+#: crc32 by its definition: the polynomial's reversed bits, eight shifts (-1) after each byte.
+OP11_SQL = r"""
+WITH steps AS (
+  SELECT row_number() OVER () AS row, doc_id, source, lang, length(text) AS chars,
+    [4294967295::BIGINT] || flatten(list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS x
+  FROM documents
+), timed AS (
+  SELECT *, 60 * floor((doc_id + xor(list_reduce(x, lambda c, y: CASE WHEN y >= 0 THEN xor(c, y) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 4000)::DECIMAL(18, 0) / 6)::BIGINT AS event_s FROM steps
+), asked AS (
+  SELECT row, doc_id, source, event_s, w.window_s FROM timed, (VALUES (3600::BIGINT), (21600::BIGINT)) AS w(window_s)
+), found AS (
+  SELECT a.row, a.doc_id, a.window_s, a.event_s, count(t.row) AS n_events, coalesce(sum(t.chars), 0)::BIGINT AS sum_chars, count(DISTINCT t.lang) AS n_langs,
+    list_sort(list(t.chars) FILTER (WHERE t.chars IS NOT NULL)) AS chars
+  FROM asked a LEFT JOIN timed t ON t.source IS NOT DISTINCT FROM a.source AND t.event_s >= a.event_s - a.window_s AND t.event_s < a.event_s
+  GROUP BY ALL
+)
+SELECT doc_id, window_s, event_s, n_events, sum_chars, n_langs, chars[(len(chars) + 1) // 2]::BIGINT AS median_chars, chars[(75 * len(chars) + 99) // 100]::BIGINT AS high_chars FROM found
+"""
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM worded GROUP BY lang
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) AS phrase FROM worded, range(1, 5) AS g(k)
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), candidates AS (
+  SELECT lang, k, phrase, f AS a FROM counts WHERE k > 1 AND f >= 30
+), parts AS (
+  SELECT lang, a, unnest(list_distinct(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: phrase[i:i + m - 1]))))) AS phrase FROM candidates WHERE k > 2
+), dead AS (
+  SELECT c.lang, c.phrase FROM candidates c JOIN parts p ON p.lang = c.lang AND p.phrase = c.phrase WHERE 100 * p.a >= 80 * c.a GROUP BY ALL
+), alive AS (
+  SELECT * FROM candidates ANTI JOIN dead USING (lang, phrase)
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut.k AS cut, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM alive c JOIN range(1, 4) AS cut(k) ON cut.k < c.k
+  JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[1:cut.k] JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[cut.k + 1:c.k]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank FROM lowest
+)
+SELECT lang, rank, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op11_rolling": OP11_SQL, "op12_phrases": OP12_SQL}
