@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, phrases, quality, rolling, substring_dedup, token_counts, token_store, url_filter
+from ledgerline.llm import bpe, decontaminate, html_extract, langid, ngram_join, phrases, pii, quality, rolling, substring_dedup, token_counts, token_store, url_filter
 from ledgerline.llm.common import shared_folder
 
 
@@ -70,6 +70,11 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine_phrases(table(spark, sf_dir, "documents"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.learn(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_quality, op3_url_filter, op4_html_extract, op5_substring_dedup, op6_langid, op7_token_counts, op8_token_store, op9_decontaminate, op10_ngram_join, op11_rolling, op12_phrases, pipeline)
+    f.__name__: f for f in (op1_bpe, op2_quality, op3_url_filter, op4_html_extract, op5_substring_dedup, op6_langid, op7_token_counts, op8_token_store, op9_decontaminate, op10_ngram_join, op11_rolling, op12_phrases, op13_pii, pipeline)
 }
 
 OP3_SQL = r"""
