@@ -1,33 +1,37 @@
 """Quotations against their sources: one canonical form with a map back to the raw text, and one search on it.
 
-A text is folded once, character by character, together with the raw place each canonical character comes from. A quotation
-is then looked for as a whole; failing that, at the places where its first SHORTEST characters occur, and the place with the
-longest agreement decides. So the verified span is cut from the raw quotation by the map, and nothing is folded twice.
+A quotation is folded once, character by character, together with the raw place each canonical character comes from, and a source as a
+whole. The quotation is then looked for as a whole; failing that, the longest beginning that the source has decides. So the verified span
+is cut from the raw quotation by the map, and nothing is folded twice.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import zip_longest
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.text import ESCAPE, FOLD, IMAGE_NAME, SHORTEST, TAIL
+from ledgerline.functions.text import ESCAPE, FOLD, IMAGE_NAME, SHORTEST, TAIL, canonical
 
 #: The part of a quotation that has to agree for it to count as altered rather than absent. Fixed value.
 NEAR = 0.25
+#: Characters before a mark that it can compose with, beyond which a pile of marks is no letter.
+MOST_MARKS = 32
 
 
 class Canonical:
-    """The canonical form of a text, and for each of its characters the end of the raw characters it stands for."""
+    """The canonical form of a text, and for each of its characters the end of the raw characters it stands for.
+
+    For quotations, which are short; sources only need `canonical`.
+    """
 
     def __init__(self, text: str) -> None:
         self.raw = ESCAPE.sub(lambda m: chr(int(m[1], 16)), text)
-        self.text, self.ends = "", []
+        self.ends: list[int] = []
         folded: list[str] = []
         ends: list[int] = []
         for start, stop in clusters(self.raw):
@@ -46,10 +50,9 @@ class Canonical:
                 out.append(" ")
                 self.ends.append(ends[k - 1])
                 space = False
-            for low in c.lower():
-                out.append(low)
-                self.ends.append(ends[k])
-        self.text = "".join(out)
+            out.append(c)
+            self.ends += [ends[k]] * len(c.lower())
+        self.text = "".join(out).lower()  # as a whole: a final sigma has its own small letter
 
     def raw_prefix(self, n: int) -> str:
         """The raw text that the first n canonical characters stand for."""
@@ -57,42 +60,43 @@ class Canonical:
 
 
 def clusters(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of a character with the combining marks after it, which compose to one."""
+    """Spans that normalise by themselves: a character, and what composes with it."""
     start = 0
     for k in range(1, len(text) + 1):
-        if k == len(text) or not unicodedata.combining(text[k]):
+        if k == len(text) or text[k] < "\x80" or stands_alone(text[start:k], text[k]):
             yield start, k
             start = k
 
 
+def stands_alone(before: str, c: str) -> bool:
+    """Whether a character neither composes with the text before it nor changes its order."""
+    form = unicodedata.normalize("NFKC", before[-MOST_MARKS:] + c)
+    return not unicodedata.combining(unicodedata.normalize("NFKD", c)[0]) and form == unicodedata.normalize("NFKC", before[-MOST_MARKS:]) + unicodedata.normalize("NFKC", c)
+
+
 def agreement(needle: str, hay: str) -> int:
-    """The length of the longest beginning of the needle that occurs in the hay."""
-    if not needle or not hay:
-        return 0
-    anchor = needle[:SHORTEST]
-    if anchor not in hay:  # shorter than an anchor: the longest beginning of the anchor itself
-        return max((k for k in range(1, len(anchor)) if anchor[:k] in hay), default=0)
-    best, at = 0, hay.find(anchor)
-    while at >= 0:
-        pairs = zip_longest(needle, hay[at : at + len(needle)])
-        best = max(best, next((k for k, (a, b) in enumerate(pairs) if a != b), len(needle)))
-        at = hay.find(anchor, at + 1)
-    return best
+    """The length of the longest beginning of the needle that occurs in the hay: where one occurs, all shorter ones do."""
+    return bisect_left(range(1, len(needle) + 1), True, key=lambda n: needle[:n] not in hay)
 
 
 def judge_quote(quote: str, hay: str) -> tuple[bool, str, str]:
-    """(holds, why, verified span) of a quotation against canonical source text.
+    """(holds, why, verified span) of a quotation against canonical source text."""
+    own = Canonical(quote)
+    n = len(own.text)
+    return verdict(own, n if own.text in hay else agreement(own.text, hay) if n >= SHORTEST else 0)
+
+
+def verdict(own: Canonical, same: int) -> tuple[bool, str, str]:
+    """(holds, why, verified span) of a quotation whose first `same` canonical characters are in the source.
 
     Too short to prove anything; verbatim; verbatim but for up to TAIL stray characters at its end, which the span leaves
     out; diverging from a passage of the source after a fair beginning; or not found.
     """
-    own = Canonical(quote)
     n = len(own.text)
     if n < SHORTEST:
         return False, "too short", ""
-    if own.text in hay:
+    if same == n:
         return True, "verbatim", own.raw
-    same = agreement(own.text, hay)
     if same >= SHORTEST and n - same <= TAIL:
         return True, "stray tail", own.raw_prefix(same)
     return False, "diverges" if same >= NEAR * n else "not found", ""
@@ -104,6 +108,6 @@ QUOTE_TYPE = T.StructType([T.StructField("holds", T.BooleanType()), T.StructFiel
 @F.pandas_udf(QUOTE_TYPE)
 def verify_quote(quote: pd.Series, source: pd.Series) -> pd.DataFrame:
     """holds, why and span of each quotation against its source; null if either is null. A batch folds each source once."""
-    hays = {s: Canonical(s).text for s in set(source.dropna())}
+    hays = {s: canonical(s) for s in set(source.dropna())}
     rows = [(None, None, None) if q is None or s is None else judge_quote(q, hays[s]) for q, s in zip(quote, source, strict=True)]
     return pd.DataFrame(rows, columns=["holds", "why", "span"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as tx
-from ledgerline.operators import fiscal, matching
+from ledgerline.operators import attribution, fiscal, matching
 from ledgerline.operators import relational as rel
 from ledgerline.sources.shipping import ship
 from ledgerline.sources.tables import table
@@ -18,10 +18,6 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-#: Short quotations are broadcast up to this number; more of them are searched without.
-MOST_BROADCAST = 10_000
-
-
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
         QUERIES[f.__name__] = f
@@ -206,26 +202,10 @@ def canon_text(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 SELECT item_id, min(d.doc_id) AS doc_id FROM benchmark b LEFT JOIN documents d ON contains(d.text, b.text) GROUP BY item_id""")
 def quote_containment(spark: SparkSession, d: str) -> DataFrame:
-    """Each quotation's first source whose text holds it. A join of quotations with texts on containment has no key but
-    their words: every quotation of five words or more is found by its second to fourth word among the texts' three-word
-    runs, then verified. Shorter ones need not hold three whole words of the text, so they are searched in every text."""
-    split = lambda c: F.array_remove(F.split(c, r"[ \t\n]+"), "")
+    """Each quotation's first source whose text holds it: an automaton over all quotations reads each text once."""
     b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("quote"))
-    # the first and last word of a quotation may be part of longer ones in the text, so the key is the words after the first
-    keyed = b.withColumn("key", F.xxhash64(F.array_join(F.slice(split(F.col("quote")), 2, 3), " ")))
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    n_words = F.size(split(F.col("quote")))
-    short = b.where(F.col("quote").isNotNull() & (n_words < 5)).select("quote").distinct()
-    n_short = short.count()
-    runs = F.expr("array_distinct(transform(slice(w, 1, greatest(size(w) - 2, 0)), (x, i) -> xxhash64(concat_ws(' ', x, get(w, i + 1), get(w, i + 2)))))")
-    grams = docs.withColumn("w", split(F.col("text"))).select("doc_id", F.explode(runs).alias("key"))
-    candidates = grams.join(keyed.where(n_words >= 5).select("item_id", "key"), "key").select("item_id", "doc_id").distinct()
-    hits = candidates.join(docs, "doc_id").join(b, "item_id").where(F.contains("text", "quote")).groupBy("item_id").agg(F.min("doc_id").alias("doc_id"))
-    if n_short:
-        few = F.broadcast(short) if n_short <= MOST_BROADCAST else short
-        found = docs.join(few, F.contains("text", "quote")).groupBy("quote").agg(F.min("doc_id").alias("doc_id"))
-        hits = hits.union(b.join(found, "quote").select("item_id", "doc_id"))
-    return b.select("item_id").join(hits, "item_id", "left")
+    hits = attribution.first_containing(b, table(spark, d, "documents").select(F.col("doc_id").alias("source_id"), "text"))
+    return b.join(hits, "quote", "left").select("item_id", F.col("source_id").alias("doc_id"))
 
 
 @query("""

@@ -6,7 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from ledgerline.plans import catalogue, evidence, reports  # noqa: F401  registers its queries
+from ledgerline.operators import attribution
+from ledgerline.plans import catalogue, evidence, reports, tracing  # noqa: F401  registers its queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -41,9 +42,9 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("most", [10_000, 0])
+@pytest.mark.parametrize("most", [1_000_000, 8])
 def test_short_quotations(spark, tmp_path, monkeypatch, most):
-    monkeypatch.setattr(catalogue, "MOST_BROADCAST", most)
+    monkeypatch.setattr(attribution.first_containing, "__defaults__", (most,))
     docs = [(1, "nothing here"), (2, "alpha beta gamma delta epsilon zeta"), (3, "so alphabet and gammas end"), (4, None)]
     quotes = [(1, "gamma"), (2, "beta gamma"), (3, "beta gamma delta"), (4, "alpha beta gamma delt"), (5, "pha beta gamma delta eps"), (6, ""), (7, "absent"), (8, None), (9, "gamma"), (10, "bet and gam"), (11, "gamma  delta")]
     duck = duckdb.connect()
