@@ -16,7 +16,7 @@ a language without candidates, gives no rows; columns other than the two named o
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune
+from ledgerline.llm.common import discard, lean, settle, shared_folder, sub_batches, tune
 
 #: Words of a chunk, unless one text has more; words of all unfinished chunks of a task.
-CHUNK, UNFINISHED = 1 << 20, 1 << 21
+CHUNK, UNFINISHED = 1 << 22, 1 << 23
 #: A place is partition, chunk of the partition, code: 20, 13 and 30 bits.
 CHUNK_BITS, CODE_BITS = 13, 30
+#: Rows of a batch of candidates.
+ROWS = 1 << 16
 #: Parts into which a language's phrases are dealt for the first cut of the ranking.
 SPREAD = 64
 #: Pieces end at [.,;:!?] and at LF, VT, FF, CR; words at space and tab. Fixed values.
@@ -37,7 +39,7 @@ PIECE_ENDS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Upper-case ASCII letters to lower case, gaps to spaces, ends of pieces to LF.
 _PLAIN = bytes(10 if c in PIECE_ENDS else 32 if c in GAPS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Chunks are wide rows: the writer looks at its memory after each of them.
-ROW_BY_ROW = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1"}
+ROW_BY_ROW = {"compression": "zstd", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1"}
 
 
 class Unfinished:
@@ -57,15 +59,31 @@ class Unfinished:
         self.parts += [codes, np.zeros(1, np.int32)]
         self.size += len(codes) + 1
 
-    def row(self) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Codes from 0 (-1 ends a piece), words, their numbers."""
-        codes = np.concatenate(self.parts) - 2
-        codes[codes < 0] = -1
-        words = list(self.code)[2:]
-        return codes, words, np.bincount(codes[codes >= 0], minlength=len(words))
+    def row(self) -> tuple[bytes, list[bytes], np.ndarray]:
+        """Packed codes from 0, words, their numbers."""
+        codes, words = np.concatenate(self.parts) - 2, list(self.code)[2:]
+        return packed(codes, len(words)), words, np.bincount(codes[codes >= 0], minlength=len(words))
 
 
-def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+def packed(codes: np.ndarray, n: int) -> bytes:
+    """Codes below n, and n for a negative one, in the fewest bytes; one such place keeps apart what many did."""
+    codes = codes[(codes >= 0) | np.r_[True, codes[:-1] >= 0]] if len(codes) else codes
+    return np.where(codes < 0, n, codes).astype(np.uint16 if n < 1 << 16 else np.uint32).tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if n < 1 << 16 else np.uint32)
+
+
+def pairs_of(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each place and the next have a code, the pair of each that does, and the distinct pairs: left, right, number; always in the same order."""
+    at = unpacked(data, n).astype(np.int64)
+    both = (at[:-1] < n) & (at[1:] < n)
+    pairs, inverse, number = np.unique(at[:-1][both] * n + at[1:][both], return_inverse=True, return_counts=True)
+    return both, inverse, pairs // max(n, 1), pairs % max(n, 1), number
+
+
+def chunks(docs: DataFrame, text_col: str, lang_col: str, chunk_words: int) -> DataFrame:
     """chunk, lang, codes, items (distinct words), n (their numbers)."""
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text")).where("length(text) > 0")
 
@@ -78,12 +96,12 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 raise ValueError("a partition of more than 8192 chunks: read smaller partitions")
             codes, words, n = at_work.pop(lang).row()
             made += 1
-            return pa.RecordBatch.from_arrays([pa.array([first + made - 1]), pa.array([lang]), pa.array([codes.tobytes()]), pa.array([words], pa.list_(pa.binary())), pa.array([n], pa.list_(pa.int64()))], ["chunk", "lang", "codes", "items", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([first + made - 1]), pa.array([lang]), pa.array([codes]), pa.array([words], pa.list_(pa.binary())), pa.array([n], pa.list_(pa.int64()))], ["chunk", "lang", "codes", "items", "n"])
 
         for batch in sub_batches(it):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
                 at_work.setdefault(lang, Unfinished()).add(text.as_py())
-                if at_work[lang].size >= CHUNK:
+                if at_work[lang].size >= chunk_words:
                     yield finish(lang)
             while sum(c.size for c in at_work.values()) > UNFINISHED:
                 yield finish(max(at_work, key=lambda x: at_work[x].size))
@@ -93,30 +111,52 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return source.mapInArrow(run, "chunk bigint, lang string, codes binary, items array<binary>, n array<bigint>")
 
 
-def pair_up(key: tuple[pa.Scalar, ...], chunk: pa.Table, names: pa.Table) -> pa.Table:
-    """One chunk a level higher: its codes replaced by names, and adjacent names paired. Empty if no two names are adjacent."""
-    out = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
-    if not chunk.num_rows or not names.num_rows:
-        return out.empty_table()
-    codes, code, name = np.frombuffer(chunk["codes"][0].as_py(), np.int32), names["code"].to_numpy(), names["name"].to_numpy()
-    local = np.full(max(int(codes.max()), int(code.max())) + 2, -1, np.int64)  # the last place is for -1
-    local[code] = np.arange(len(code))
-    at = local[codes]
-    both = (at[:-1] >= 0) & (at[1:] >= 0)
-    pairs, inverse, n = np.unique(at[:-1][both] * len(code) + at[1:][both], return_inverse=True, return_counts=True)
-    if not len(pairs):
-        return out.empty_table()
-    codes = np.full(len(at) - 1, -1, np.int32)
-    codes[both] = inverse
-    codes = codes[(codes >= 0) | np.r_[True, codes[:-1] >= 0]]  # one -1 keeps apart what many did
-    return pa.table([[key[0].as_py()], [codes.tobytes()], [name[pairs // len(code)]], [name[pairs % len(code)]], [n]], schema=out)
-
-
-def named(candidates: DataFrame, keys: list[str], least: int) -> DataFrame:
+def renamed(size: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], pa.Table]:
+    """A function over one chunk and the names of its words (size 1) or pairs: the chunk in the codes of those names. Empty if no two names are adjacent."""
+    out = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("names", pa.list_(pa.int64()))])
+
+    def run(key: tuple[pa.Scalar, ...], chunk: pa.Table, found: pa.Table) -> pa.Table:
+        if not chunk.num_rows or not found.num_rows:
+            return out.empty_table()
+        code, names, n, data = found["code"].to_numpy(), found["name"].to_numpy(), chunk["size"][0].as_py(), chunk["codes"][0].as_py()
+        if size == 1:
+            at, n_codes = unpacked(data, n), n + 1
+        else:
+            both, inverse, left, *_ = pairs_of(data, n)
+            at, n_codes = np.full(len(both), len(left)), len(left) + 1
+            at[both] = inverse
+        local = np.full(n_codes, -1, np.int64)
+        local[code] = np.arange(len(code))
+        at = local[at]
+        if not ((at[:-1] >= 0) & (at[1:] >= 0)).any():
+            return out.empty_table()
+        return pa.table([[key[0].as_py()], [packed(at, len(names))], [names]], schema=out)
+
+    return run
+
+
+def candidates(now: DataFrame) -> DataFrame:
+    """chunk, code, left, right, n: the distinct adjacent pairs of names of each chunk."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        for batch in it:
+            for chunk, data, names in zip(batch.column("chunk").to_pylist(), batch.column("codes"), batch.column("names"), strict=True):
+                name = names.values.to_numpy()
+                _, _, left, right, n = pairs_of(data.as_py(), len(name))
+                for at in range(0, len(n), ROWS):
+                    part = slice(at, at + ROWS)
+                    size = len(n[part])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(size, chunk)), pa.array(np.arange(at, at + size)), pa.array(name[left[part]]), pa.array(name[right[part]]), pa.array(n[part])], ["chunk", "code", "left", "right", "n"])
+
+    return now.select("chunk", "codes", "names").mapInArrow(run, "chunk bigint, code bigint, left bigint, right bigint, n bigint")
+
+
+def named(found: DataFrame, keys: list[str], least: int) -> DataFrame:
     """Of candidates (chunk, code, n, keys): those with n of `least` or more in all, their sum a and their name."""
     alike = Window.partitionBy(*keys)
-    place = F.shiftleft("chunk", CODE_BITS) + F.col("code")
-    return candidates.select("chunk", "code", *keys, F.sum("n").over(alike).alias("a"), F.min(place).over(alike).alias("name")).where(F.col("a") >= least)
+    placed = found.select((F.shiftleft("chunk", CODE_BITS) + F.col("code")).alias("place"), "n", *keys)
+    both = placed.select("place", *keys, F.sum("n").over(alike).alias("a"), F.min("place").over(alike).alias("name")).where(F.col("a") >= least)
+    return both.select(F.shiftright("place", CODE_BITS).alias("chunk"), F.col("place").bitwiseAND((1 << CODE_BITS) - 1).alias("code"), *keys, "a", "name")
 
 
 def once(found: DataFrame) -> DataFrame:
@@ -139,7 +179,7 @@ def scored(entries: DataFrame, longer: DataFrame | None, size: int, cover: int)
     return lowest.select("lang", F.array_join(F.transform("words", lambda w: w.cast("string")), " ").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
 
 
-def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, cover: int = 80, longest: int = 4, top: int = 2000) -> DataFrame:
+def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 30, cover: int = 80, longest: int = 4, top: int = 2000, chunk_words: int = CHUNK) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first `top` phrases of each language, of 2 to `longest` words that occur `least` times or more.
 
     A phrase is left out if a longer candidate holds it and has `cover` % of its occurrences (it is enough to look one word further: the occurrences of a
@@ -148,18 +188,19 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark = docs.sparkSession
     tune(spark)
     folder = shared_folder(spark)
-    now = settle(chunks(docs, text_col, lang_col), "chunks1", folder, **ROW_BY_ROW)
+    now = settle(chunks(docs, text_col, lang_col, chunk_words), "chunks1", folder, **ROW_BY_ROW)
     totals = settle(now.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("n")), "totals", folder)
     words = now.select("chunk", "lang", F.posexplode(F.arrays_zip("items", "n")).alias("code", "e")).select("chunk", "lang", "code", F.col("e.items").alias("item"), F.col("e.n").alias("n"))
     found = settle(named(words, ["lang", "item"], least), "names1", folder)
     entries = [once(found).select("name", "lang", "a", F.array("item").alias("words"), F.array("a").alias("starts"), F.array("a").alias("ends"))]
     pairs: list[DataFrame] = []
+    now = now.select("chunk", "codes", F.size("items").alias("size"))
     for size in range(2, longest + 1):
         asked = found.select("chunk", "code", "name").groupBy("chunk")
-        now = settle(now.select("chunk", "codes").groupBy("chunk").cogroup(asked).applyInArrow(pair_up, "chunk bigint, codes binary, lefts array<bigint>, rights array<bigint>, n array<bigint>"), f"chunks{size}", folder, **ROW_BY_ROW)
+        now = settle(now.groupBy("chunk").cogroup(asked).applyInArrow(renamed(size - 1), "chunk bigint, codes binary, names array<bigint>"), f"chunks{size}", folder, **ROW_BY_ROW)
         discard(spark, f"{folder}/chunks{size - 1}")
-        each = now.select("chunk", F.posexplode(F.arrays_zip("lefts", "rights", "n")).alias("code", "e")).select("chunk", "code", F.col("e.lefts").alias("left"), F.col("e.rights").alias("right"), F.col("e.n").alias("n"))
-        found = settle(named(each, ["left", "right"], least), f"names{size}", folder)
+        found = settle(named(candidates(now), ["left", "right"], least), f"names{size}", folder)
+        now = now.select("chunk", "codes", F.size("names").alias("size"))
         pairs.append(once(found).select("name", "left", "right", "a"))
         first = entries[-1].select(F.col("name").alias("left"), "lang", F.col("words").alias("front"), F.col("starts").alias("before"))
         last = entries[-1].select(F.col("name").alias("right"), F.element_at("words", -1).alias("word"), F.col("ends").alias("after"))
