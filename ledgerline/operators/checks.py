@@ -1,220 +1,288 @@
 """The document checks: each rule gives the rows that break it, and a document passes where there are none.
 
-A document is markdown of paragraphs between blank lines. An index has one row for each id that may be cited. Every rule is a
-DataFrame over paragraphs, citations and the index, so all documents are checked at once; `violations` is their union
-(doc, rule, detail). Null bodies have no paragraphs. Ids cited in two paragraphs give a row for each.
+A document is markdown of paragraphs between blank lines. An index has one row for each id that may be cited. A document is taken apart once
+(`examined`): its paragraphs with their ids, quotations, figures and marks meet the facts that they cite in one join, and what comes out is
+written; every rule and report reads that. Quotations that their paragraph's facts don't hold are looked for in the whole index by an automaton.
+
+Defined cases: a null body has no paragraphs, and its document still misses its headings and its length; ids cited in two paragraphs give a row for each;
+repeated rows of an id in the index count as one; other columns of either table are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerline.functions.text import canon_text, canonical
+from ledgerline.operators.attribution import first_containing
 from ledgerline.operators.ledger import FIELD_CODES
+from ledgerline.sources.shipping import ship
+from ledgerline.sources.stages import Stages
 
 #: The field codes of ids: those of facts, and that of changes in risk factors. Fixed values.
 CODES = [*FIELD_CODES.values(), "RISK"]
 #: An id of any code in either case, one of a known code, and a citation: one id or several in square brackets. Fixed patterns.
 ANY_ID = r"\b[A-Za-z]{2,8}-FY\d{4}-[0-9a-f]{8}\b"
-KNOWN_ID = rf"(?:{'|'.join(CODES)})-FY\d{{4}}-[0-9a-f]{{8}}"
-GROUP = rf"\[(?:{ANY_ID})(?:[,;]\s*{ANY_ID})*\]"
-#: What flags a paragraph as resting on weak facts. Fixed phrases.
-FLAGS = ["low confidence", "low-confidence", "unverified", "not verified"]
-#: What dates a sentence. Fixed pattern.
-DATED = r"\b\d{4}-\d{2}-\d{2}\b|\b(?:January|February|March|April|May|June|July|August|September|October|November|December)\b"
-#: A year followed by a figure; so many in a row about answers make a series, which they are not. Fixed values.
-YEAR_FIGURE, SERIES = r"(?:FY)?20\d{2}\D{1,20}\$?\d[\d,.]*%?", 3
+KNOWN_ID = rf"\b(?:{'|'.join(sorted(CODES))})-FY\d{{4}}-[0-9a-f]{{8}}\b"
+GROUP = rf"\[\s*{KNOWN_ID}(?:\s*[,;]\s*{KNOWN_ID})*\s*\]"
+#: Where a document's own account of its making begins. Fixed text.
+FOOTER = "### Provenance"
+#: What flags a paragraph as resting on weak facts, what dates a sentence, what a paragraph about answers speaks of. Fixed patterns.
+FLAGS = r"(?i)low[- ]confidence|unverified|indicative|not established|treated as indicative|boundaries are unverified"
+DATED = r"\b\d{1,2}\s+\w+\s+20\d\d\b|\b\w+\s+\d{1,2},\s+20\d\d\b|\b20\d\d\b"
+SUBJECT = r"(?i)question|answer|investor q&a|reg fd|regulation fd"
+#: Three years in a row, each with a number, make a series. Fixed pattern.
+SERIES = r"(?:\b20\d\d\b\D{0,20}\b\d+\b\D{0,40}){3,}"
+#: The figures of prose, what names something and is no figure, and any number of a fact. Fixed patterns.
+FIGURE = r"(?U)(?<![\w.])(\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+\.\d+|\d{3,})(?![\w])"
+NO_FIGURE = r"(?i)\bItems?\s+\d+(?:\.\d+)?[A-Z]?|\bRule\s+\d+[a-z]?-?\d*|\bSection\s+\d+(?:\.\d+)?|\b(?:Form\s+)?(?:10-[KQ]|8-K(?:/A)?|DEF\s*14A|DEFA\s*14A|SC\s*13[GD])"
+NUMBER = r"\d[\d,]*\.?\d*"
+#: Numbers of segments in a sentence. Fixed pattern.
+SEGMENT_COUNT = r"(?i)\b(?:one|two|three|four|five|six|seven|eight|nine|ten|\d+)\b[^.]{0,40}\b(?:reportable |operating )?segments?\b"
+#: The shortest quotation that is looked at, and the share of answers among its citations from which a paragraph rests on them. Fixed values.
+SHORTEST_QUOTE, MOSTLY = 4, 0.5
 
 
 def any_match(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)) > 0
 
 
+def body_of(text: Column) -> Column:
+    """A document without its own account of its making."""
+    return F.substring_index(text, FOOTER, 1)
+
+
+def _parts(body: Column) -> Column:
+    return F.filter(F.split(body, "\n\n"), lambda p: any_match(p, r"\S"))
+
+
+def _sentences(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, r"(?<=[.;:])\s+"), lambda s: F.trim(s)), lambda s: s != "")
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc, par, text) of every paragraph that is no heading, from 0."""
-    cut = F.filter(F.transform(F.split("body", r"\n[ \t]*\n"), lambda p: F.trim(p)), lambda p: (p != "") & ~p.startswith("#"))
-    return docs.select("doc", F.posexplode(cut).alias("par", "text")).withColumn("par", F.col("par").cast("bigint"))
+    """(doc, par, text) of every paragraph, from 0."""
+    return docs.select("doc", F.posexplode(_parts(body_of(F.col("body")))).alias("par", "text")).withColumn("par", F.col("par").cast("bigint"))
 
 
 def sentences(pars: DataFrame) -> DataFrame:
     """(doc, par, text) of the sentences of every paragraph: parted after a full stop, colon or semicolon and white space."""
-    cut = F.split("text", r"(?<=[.;:])\s+")
-    return pars.select("doc", "par", F.explode(cut).alias("text"))
+    return pars.select("doc", "par", F.explode(_sentences(F.col("text"))).alias("text"))
 
 
-def citations(pars: DataFrame) -> DataFrame:
-    """(doc, par, id) of every distinct id cited in a paragraph."""
-    ids = F.array_distinct(F.regexp_extract_all("text", F.lit(ANY_ID), F.lit(0)))
-    return pars.select("doc", "par", F.explode(ids).alias("id"))
+def _ids(text: Column, pattern: str = KNOWN_ID) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def word_count(body: Column) -> Column:
     """Words of a text without its citations."""
-    bare = F.regexp_replace(F.regexp_replace(body, GROUP, " "), ANY_ID, " ")
+    bare = F.regexp_replace(F.regexp_replace(body, GROUP, " "), KNOWN_ID, "")
     return F.regexp_count(bare, F.lit(r"\S+")).cast("bigint")
 
 
-def citation_report(docs: DataFrame, index: DataFrame) -> DataFrame:
-    """doc, n_citations, n_distinct, n_unknown, n_malformed, n_low, n_unverified of each document."""
-    cited = F.explode(F.regexp_extract_all("body", F.lit(ANY_ID), F.lit(0))).alias("id")
-    seen = docs.select("doc", cited).groupBy("doc", "id").agg(F.count("*").alias("n"))  # ids are counted before the join
-    known = index.select("id", "confidence", "quote_verified", F.lit(True).alias("known"))
-    named = seen.join(known, "id", "left").withColumn("wellformed", F.col("id").rlike(f"^{KNOWN_ID}$"))
-    out = named.groupBy("doc").agg(
-        F.sum("n").alias("n_citations"),
-        F.count("*").alias("n_distinct"),
-        F.count_if(F.col("wellformed") & F.col("known").isNull()).alias("n_unknown"),
-        F.count_if(~F.col("wellformed")).alias("n_malformed"),
-        F.count_if(F.col("known") & ~F.col("confidence").eqNullSafe("high")).alias("n_low"),
-        F.count_if(F.col("quote_verified") == F.lit(False)).alias("n_unverified"),
-    )
-    counts = [c for c in out.columns if c != "doc"]
-    return docs.select("doc").join(out, "doc", "left").select("doc", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts))
+def normal(number: Column) -> Column:
+    """A number without thousands separators and a last ".0"."""
+    plain = F.replace(number, F.lit(","), F.lit(""))
+    return F.when(plain.endswith(".0"), F.substring(plain, F.lit(1), F.length(plain) - 2)).otherwise(plain)
 
 
-def quotations(pars: DataFrame) -> DataFrame:
-    """(doc, par, said) of the stretches of four characters or more between straight or curly double marks."""
-    straight = F.translate("text", "“”", '""')
-    return pars.select("doc", "par", F.explode(F.regexp_extract_all(straight, F.lit('"([^"]{4,})"'), F.lit(1))).alias("said"))
+def numbers(text: Column) -> Column:
+    """The distinct numbers of a fact's text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMBER), F.lit(0)), normal))
 
 
-def plain(text: Column) -> Column:
-    """What quotations are compared by: folded marks and dashes, one space, no marks at the ends, lower case. ASCII and the folded marks only."""
-    folded = F.translate(text, "‘’‚“”„‐‑‒–—―−", "'''\"\"\"-------")
-    return F.lower(F.regexp_replace(F.regexp_replace(folded, r"\s+", " "), r"^[ ,.;:]+|[ ,.;:]+$", ""))
+def figures(text: Column) -> Column:
+    """The distinct figures of prose: thousands with separators, decimals, numbers of three digits or more; no ids, years, or numbers that name an item, rule, section or form."""
+    bare = F.regexp_replace(F.regexp_replace(text, KNOWN_ID, ""), NO_FIGURE, " ")
+    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(bare, F.lit(FIGURE), F.lit(1)), normal), lambda n: ~n.rlike(r"^(?:19|20)\d\d$")))
 
 
-def quote_holds(said: Column, quote: Column) -> Column:
-    """Whether a quotation is in a source: every part between ellipses, with what editors put in brackets kept or dropped."""
-    def all_parts(c: Column) -> Column:
-        parts = F.filter(F.transform(F.split(c, r"\s*(?:\.\.\.|…)\s*"), plain), lambda p: p != "")
-        return (F.size(parts) > 0) & F.forall(parts, lambda p: F.contains(plain(quote), p))
+def quotations(text: Column) -> Column:
+    """What stands between double marks, paired from the left, four characters or more."""
+    return F.filter(F.regexp_extract_all(text, F.lit('"([^"]+)"'), F.lit(1)), lambda q: F.length(F.trim(q)) >= SHORTEST_QUOTE)
 
-    kept, dropped = F.regexp_replace(said, r"[\[\]]", ""), F.regexp_replace(said, r"\[[^\]]*\]", "")
-    return all_parts(kept) | all_parts(dropped)
 
+def forms(quote: str) -> list[list[str]]:
+    """The ways a quotation may stand in its source, each as the parts that have to be there.
+
+    As it is; without the mark that closes a sentence inside it; with what editors put in brackets, and without. An
+    ellipsis parts what is quoted.
+    """
+    ends = " ,.;:"
+    ways = {quote, quote.strip(ends), *(re.sub(r"\[([^\]]*)\]", kept, quote).strip(ends) for kept in (r"\1", ""))}
+    folded = {canonical(w).replace("'", '"') for w in ways} - {""}
+    return sorted([p for x in re.split(r"…|\.\.\.", way) if (p := x.strip())] for way in folded)
 
-def segments(said: Column) -> Column:
-    """The stretches of a quotation that stand in its source as they are: between ellipses and what is in brackets; without such, with the latter."""
-    outer = F.filter(F.transform(F.split(said, r"\s*(?:\.\.\.|…|\[[^\]]*\]|[\[\]])\s*"), plain), lambda p: p != "")
-    kept = F.filter(F.transform(F.split(F.translate(said, "[]", ""), r"\s*(?:\.\.\.|…)\s*"), plain), lambda p: p != "")
-    return F.when(F.size(outer) > 0, outer).otherwise(kept)
 
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def quote_forms(quote: pd.Series) -> pd.Series:
+    return quote.map(forms, na_action="ignore")
 
-def grams(text: Column) -> Column:
-    """The distinct runs of three characters of a plain text; of a shorter one, itself."""
-    return F.when(F.length(text) < 3, F.array(text)).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 2, F.lit(1))), lambda i: F.substring(text, i, F.lit(3)))))
 
+def held(ways: Column, text: Column) -> Column:
+    """Whether all parts of one of the ways are in a text."""
+    return F.exists(ways, lambda parts: F.forall(parts, lambda p: F.contains(text, p)))
 
-def held_elsewhere(said: DataFrame, quoted: DataFrame) -> DataFrame:
-    """The distinct texts of `said` (said) that a text of `quoted` (quote) holds.
 
-    Words inside a segment are whole words of the source, so candidates come from that one which the fewest quotations of the
-    index have, and a quotation with a word that none has needs no search. Those without such a word (every segment has two words or
-    fewer) go by the rarest three characters of a segment, and those too short for that by what they are: no table is crossed
-    with another, and no quotation is left out.
+def citation_report(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """doc, n_citations, n_distinct, n_unknown, n_malformed, n_low, n_unverified, by_field (distinct known ids by field) of each document.
+
+    Ids of no known code are malformed and no citations.
     """
-    said, quoted = said.select("said").distinct(), quoted.select("quote").where("quote is not null").distinct()
-    tokens = lambda c: F.filter(F.split(c, "[^0-9a-z']+"), lambda w: w != "")
-    inner = F.array_distinct(F.flatten(F.transform(segments(F.col("said")), lambda p: F.transform(tokens(p), lambda w, i: F.when((i > 0) & (i < F.size(tokens(p)) - 1), w)))))
-    keyed = said.select("said", F.array_compact(inner).alias("words"), F.flatten(F.transform(segments(F.col("said")), grams)).alias("grams"))
-
-    def search(rows: DataFrame, index: DataFrame) -> DataFrame:
-        """`rows` (said, key) against `index` (quote, key), by the rarest key of each."""
-        wanted = index.join(rows.select("key").distinct(), "key", "left_semi")
-        often = wanted.groupBy("key").agg(F.count("*").alias("n"))
-        rare = rows.join(often, "key", "left").groupBy("said").agg(F.min_by("key", F.struct(F.coalesce("n", F.lit(0)), "key")).alias("key"))
-        return rare.join(wanted, "key").where(quote_holds(F.col("said"), F.col("quote"))).select("said").distinct()
-
-    by_word = search(keyed.where("size(words) > 0").select("said", F.explode("words").alias("key")), quoted.select("quote", F.explode(F.array_distinct(tokens(plain(F.col("quote"))))).alias("key")))
-    pieces = keyed.where("size(words) = 0").select("said", F.explode("grams").alias("key"))
-    whole = plain(F.col("quote"))
-    by_gram = search(pieces.where("length(key) = 3"), quoted.select("quote", F.explode(grams(whole)).alias("key")))
-    # pieces under three characters: there are few different ones, and each single or pair of characters of a quotation is a row
-    short = pieces.groupBy("said").agg(F.max(F.length("key")).alias("most")).where("most < 3").select("said")
-    ends = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - (k - 1), F.lit(1))), lambda i: F.substring(whole, i, F.lit(k)))
-    by_piece = search(pieces.join(short, "said", "left_semi"), quoted.select("quote", F.explode(F.array_distinct(F.concat(ends(1), ends(2)))).alias("key")))
-    return by_word.union(by_gram).union(by_piece)
-
-
-def quote_report(pars: DataFrame, index: DataFrame) -> DataFrame:
-    """(doc, par, said, status) of each quotation: ok in a fact that its paragraph cites, elsewhere in the index, or bad.
-
-    The facts of a paragraph are found by an equi-join on its citations. Only quotations that these don't hold are looked for
-    elsewhere, each text once; see `held_elsewhere`.
+    body = body_of(F.col("body"))
+    seen = docs.select("doc", F.explode(_ids(body)).alias("id")).groupBy("doc", "id").agg(F.count("*").alias("n"))  # ids are counted before the join
+    known = index.select("id", "confidence", "quote_verified", F.lit(True).alias("known")).dropDuplicates(["id"])
+    field = F.coalesce(*(F.when(F.substring_index("id", "-", 1) == code, name) for name, code in FIELD_CODES.items()), F.lit("risk"))
+    named = seen.join(known, "id", "left").withColumn("field", F.when(F.col("known"), field))
+    by_field = named.groupBy("doc", "field").agg(
+        F.sum("n").alias("n_citations"),
+        F.count("*").alias("n_distinct"),
+        F.count_if(F.col("known").isNull()).alias("n_unknown"),
+        F.count_if(F.col("known") & ~F.col("confidence").eqNullSafe("high")).alias("n_low"),
+        F.count_if(F.col("known") & (F.col("quote_verified") == F.lit(False))).alias("n_unverified"),
+    )
+    counts = ["n_citations", "n_distinct", "n_unknown", "n_low", "n_unverified"]
+    pairs = F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", "n_distinct")))
+    out = by_field.groupBy("doc").agg(*(F.sum(c).alias(c) for c in counts), F.map_from_entries(F.array_sort(pairs)).alias("by_field"))
+    malformed = F.size(F.filter(F.array_distinct(_ids(F.coalesce(body, F.lit("")), ANY_ID)), lambda x: ~x.rlike(f"^{KNOWN_ID}$")))
+    every = docs.select("doc", malformed.cast("bigint").alias("n_malformed")).join(out, "doc", "left")
+    shown = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return every.select("doc", shown("n_citations"), shown("n_distinct"), shown("n_unknown"), "n_malformed", shown("n_low"), shown("n_unverified"), F.coalesce("by_field", F.create_map().cast("map<string,bigint>")).alias("by_field"))
+
+
+def examined(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """The paragraphs with what the rules look at, and what the facts they cite say; written once.
+
+    doc, par, ids, malformed, said, marked (has a quotation mark), figures, flagged, undated, series, gap_told, answers (share of ids that are answers),
+    registered; of the cited facts: unknown, unverified (ids), low, letter, quoted, claimed (numbers), texts.
     """
-    said = quotations(pars).distinct()
-    quoted = index.where("quote is not null").select("id", "quote")
-    own = said.join(citations(pars), ["doc", "par"]).join(quoted, "id").where(quote_holds(F.col("said"), F.col("quote"))).select("doc", "par", "said").distinct()
-    rest = said.join(own, ["doc", "par", "said"], "left_anti")
-    there = held_elsewhere(rest, quoted).withColumn("there", F.lit(True))
-    status = F.when(F.col("there"), "elsewhere").otherwise("bad")
-    return own.withColumn("status", F.lit("ok")).union(rest.join(there, "said", "left").select("doc", "par", "said", status.alias("status")))
+    ship(docs.sparkSession)
+    text, x = F.col("text"), F.col
+    pars = docs.select("doc", "gap_years", "register", F.posexplode(_parts(body_of(x("body")))).alias("par", "text"))
+    ids = F.array_distinct(_ids(text))
+    bare = lambda s: F.regexp_replace(s, ANY_ID, " ")
+    told = F.exists(_sentences(text), lambda s: any_match(s, "(?i)letter") & F.exists(F.coalesce("gap_years", F.array().cast("array<int>")), lambda y: F.contains(bare(s), y.cast("string"))))
+    every = _ids(text)
+    looked = pars.select(
+        "doc", F.col("par").cast("bigint").alias("par"), ids.alias("ids"),
+        F.filter(F.array_distinct(_ids(text, ANY_ID)), lambda i: ~i.rlike(f"^{KNOWN_ID}$")).alias("malformed"),
+        quotations(text).alias("said"), F.contains(text, F.lit('"')).alias("marked"),
+        F.when(F.size(ids) > 0, figures(text)).otherwise(F.array().cast("array<string>")).alias("figures"),
+        any_match(text, FLAGS).alias("flagged"),
+        F.exists(_sentences(text), lambda s: F.contains(s, F.lit("VOTE-FY")) & ~any_match(s, DATED)).alias("undated"),
+        (any_match(text, SUBJECT) & any_match(text, SERIES)).alias("series"), told.alias("gap_told"),
+        (F.size(F.filter(every, lambda i: i.startswith("QA-"))) / F.nullif(F.size(every), F.lit(0))).alias("answers"), F.regexp_like(text, F.col("register")).alias("registered"),
+        F.filter(_sentences(text), lambda s: any_match(s, SEGMENT_COUNT)).alias("segment_counts"),
+    )
+    stages = Stages(docs.sparkSession)
+    looked = stages.keep(looked)
+    letter = F.col("letter") if "letter" in index.columns else F.lit(False)
+    facts = index.dropDuplicates(["id"]).select("id", F.lit(True).alias("known"), (~F.col("confidence").eqNullSafe("high")).alias("low"), (F.col("quote_verified") == F.lit(False)).alias("unverified"), letter.alias("letter"), numbers(F.col("quote")).alias("quoted"), numbers(F.col("claim")).alias("claimed"), fact_text(F.col("quote")).alias("text"))
+    cited = looked.select("doc", "par", F.explode("ids").alias("id")).join(facts, "id", "left")
+    of_facts = cited.groupBy("doc", "par").agg(
+        F.array_sort(F.collect_list(F.when(F.col("known").isNull(), F.col("id")))).alias("unknown"), F.array_sort(F.collect_list(F.when(F.col("unverified"), F.col("id")))).alias("unverified"),
+        F.coalesce(F.max("low"), F.lit(False)).alias("low"), F.coalesce(F.max("letter"), F.lit(False)).alias("letter"),
+        F.flatten(F.collect_list("quoted")).alias("quoted"), F.flatten(F.collect_list("claimed")).alias("claimed"), F.array_join(F.collect_list("text"), "\n").alias("texts"),
+    )
+    return stages.keep(looked.join(of_facts, ["doc", "par"], "left"))
 
 
-def figures(text: Column) -> Column:
-    """The distinct figures of a text: money, decimals, thousands and numbers of three digits or more, without commas, ".0" and years."""
-    bare = F.regexp_replace(F.regexp_replace(text, GROUP, " "), ANY_ID, " ")
-    found = F.regexp_extract_all(bare, F.lit(r"\$?\d+(?:,\d{3})*(?:\.\d+)?"), F.lit(0))
-    normal = F.transform(found, lambda x: F.struct(F.regexp_replace(F.translate(x, "$,", ""), r"\.0+$", "").alias("n"), (x.startswith("$") | F.contains(x, F.lit(".")) | F.contains(x, F.lit(","))).alias("marked")))
-    wanted = F.filter(normal, lambda x: x["marked"] | ((F.length(x["n"]) >= 3) & ~x["n"].rlike("^(19|20)[0-9]{2}$")))
-    return F.array_distinct(F.transform(wanted, lambda x: x["n"]))
+def fact_text(quote: Column) -> Column:
+    """What may be quoted of a fact, in the form that quotations are compared in."""
+    return F.translate(canon_text(F.coalesce(quote, F.lit(""))), "'", '"')
+
+
+def quote_statuses(seen: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc, par, said, status, source_id) of each distinct quotation: ok in the facts that its paragraph cites, elsewhere in the index (source_id has its first part), or bad."""
+    stages = Stages(seen.sparkSession)
+    said = seen.select("doc", "par", F.explode(F.array_distinct("said")).alias("said"), F.coalesce("texts", F.lit("")).alias("texts")).withColumn("ways", quote_forms("said"))
+    judged = stages.keep(said.select("doc", "par", "said", F.when(held(F.col("ways"), F.col("texts")), True).otherwise(False).alias("ok"), "ways"))
+    rest = judged.where("not ok").select("said", "ways").dropDuplicates(["said"])
+    parts = rest.select("said", F.posexplode("ways").alias("way", "parts")).select("said", "way", F.posexplode_outer("parts").alias("at", "part"))
+    texts = index.where("quote is not null").select(F.col("id").alias("source_id"), fact_text(F.col("quote")).alias("text"))
+    found = first_containing(parts.select(F.col("part").alias("quote")), texts).withColumnRenamed("quote", "part")
+    way = parts.join(found, "part", "left").groupBy("said", "way").agg(F.bool_and(F.col("source_id").isNotNull() | F.col("part").isNull()).alias("all"), F.min_by("source_id", "at").alias("source_id"))
+    there = way.where("all").groupBy("said").agg(F.min("source_id").alias("source_id"), F.lit(True).alias("there"))
+    status = F.when(F.col("ok"), "ok").when(F.col("there"), "elsewhere").otherwise("bad")
+    return judged.join(there, "said", "left").select("doc", "par", "said", status.alias("status"), F.when(~F.col("ok"), F.col("source_id")).alias("source_id"))
 
 
-def figure_tiers(pars: DataFrame, index: DataFrame) -> DataFrame:
-    """(doc, par, figure, tier): in a cited quotation (quoted), only in a cited claim (thin), or in neither (unsourced)."""
-    wanted = pars.select("doc", "par", F.explode(figures(F.col("text"))).alias("figure"))
-    facts = citations(pars).join(index.select("id", figures(F.col("quote")).alias("in_quote"), figures(F.col("claim")).alias("in_claim")), "id")
-    tier = facts.select("doc", "par", F.explode(F.concat(F.transform(F.coalesce("in_quote", F.array().cast("array<string>")), lambda f: F.struct(f.alias("figure"), F.lit(2).alias("rank"))), F.transform(F.coalesce("in_claim", F.array().cast("array<string>")), lambda f: F.struct(f.alias("figure"), F.lit(1).alias("rank"))))).alias("e"))
-    best = tier.groupBy("doc", "par", F.col("e.figure").alias("figure")).agg(F.max("e.rank").alias("rank"))
-    name = F.when(F.col("rank") == 2, "quoted").when(F.col("rank") == 1, "thin").otherwise("unsourced")
-    return wanted.join(best, ["doc", "par", "figure"], "left").select("doc", "par", "figure", name.alias("tier"))
+def _registered(docs: DataFrame, register: str) -> DataFrame:
+    return docs.select("doc", "body", "stamped", "current", "gap_years", F.lit(register).alias("register"))
+
+
+def quote_report(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """`quote_statuses` of documents."""
+    return quote_statuses(examined(_registered(docs, ""), index), index)
+
+
+def tiers(seen: DataFrame) -> DataFrame:
+    """(doc, par, figure, tier): in a cited quotation (quoted), only in a cited claim (thin), or in neither (unsourced). Only paragraphs with citations have figures."""
+    tier = lambda f: F.when(F.array_contains("quoted", f), "quoted").when(F.array_contains("claimed", f), "thin").otherwise("unsourced")
+    return seen.select("doc", "par", F.explode(F.transform("figures", lambda f: F.struct(f.alias("figure"), tier(f).alias("tier")))).alias("t")).select("doc", "par", "t.*")
 
 
 def violations(docs: DataFrame, index: DataFrame, headings: list[str], words: tuple[int, int], register: str) -> DataFrame:
     """(doc, rule, detail) of every broken rule.
 
-    `docs`: doc, body, stamped, current (pack hashes), gap_years (array of years without a letter). `index`: id, confidence,
-    quote_verified, quote, claim. `headings` have to be there, `words` bound the length, `register` has to be named before the
-    first cited answer.
+    `docs`: doc, body, stamped, current (pack hashes), gap_years (years without a letter). `index`: id, confidence, quote_verified, quote, claim, and
+    letter (whether the fact comes from one; without that column none does). `headings` have to be there in either case, `words` bound the
+    length, the pattern `register` has to be found before the first cited answer.
     """
-    pars = paragraphs(docs)
-    cited = citations(pars)
-    facts = cited.join(index.select("id", "confidence", "quote_verified", F.lit(True).alias("known")), "id", "left")
-    row = lambda df, rule, detail: df.select("doc", F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
-    low = F.lower("text")
-    on_low = facts.where("known and not confidence <=> 'high'").select("doc", "par").distinct()
-    flagged = reduce(lambda a, b: a | b, (F.contains(low, F.lit(x)) for x in FLAGS))
-    unquotable = facts.where("quote_verified = false").select("doc", "par", "id")
-    answer = r"QA-FY\d{4}-[0-9a-f]{8}"
-    first = F.regexp_instr("body", F.lit(answer))
-    before = F.substring(F.col("body"), F.lit(1), F.greatest(first - 1, F.lit(0)))
-    body = F.coalesce("body", F.lit(""))
+    register = f"(?i){register}"
+    seen = examined(_registered(docs, register), index)
+    x = F.col
+    broken = lambda rule, detail: F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
+    when = lambda cond, rule, detail: F.array(F.when(cond, broken(rule, detail)))
+    each = lambda values, rule: F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: broken(rule, v))
+    listed = lambda df, *rules: df.select("doc", F.explode(F.array_compact(F.flatten(F.array(*rules)))).alias("v")).select("doc", "v.*")
+    par = F.concat(F.lit("paragraph "), x("par"))
+    by_paragraph = listed(
+        seen,
+        each(x("unknown"), "ids_resolve"),
+        each(x("malformed"), "ids_wellformed"),
+        F.when(x("marked"), each(x("unverified"), "no_unverified_quoted")).otherwise(F.array().cast("array<struct<rule:string,detail:string>>")),
+        when(x("low") & ~x("flagged"), "low_conf_flagged", par),
+        when(x("undated"), "vote_dated", par),
+        when(x("series"), "qa_not_a_series", par),
+        each(F.array_except(F.array_except("figures", F.coalesce("quoted", F.array().cast("array<string>"))), F.coalesce("claimed", F.array().cast("array<string>"))), "figures_evidenced"),
+    )
+    body = F.coalesce(body_of(x("body")), F.lit(""))
     n = word_count(body)
-    gaps = docs.where(any_match(body, r"\bSP-FY")).select("doc", "body", F.explode("gap_years").alias("year"))
-    parts = [
-        row(docs.where("stamped is null"), "prov_present", F.lit("no pack hash")),
-        row(docs.where("stamped <> current"), "prov_matches", F.col("stamped")),
-        row(facts.where(F.col("known").isNull() & F.col("id").rlike(f"^{KNOWN_ID}$")), "ids_resolve", F.col("id")),
-        row(facts.where(~F.col("id").rlike(f"^{KNOWN_ID}$")), "ids_wellformed", F.col("id")),
-        row(quote_report(pars, index).where("status <> 'ok'"), "quotes_verbatim", F.concat_ws(": ", "status", "said")),
-        row(quotations(pars).select("doc", "par").distinct().join(unquotable, ["doc", "par"]), "no_unverified_quoted", F.col("id")),
-        row(pars.join(on_low, ["doc", "par"], "left_semi").where(~flagged), "low_conf_flagged", F.concat(F.lit("paragraph "), F.col("par"))),
-        row(sentences(pars).where(any_match(F.col("text"), r"VOTE-FY\d{4}-[0-9a-f]{8}") & ~any_match(F.col("text"), DATED)), "vote_dated", F.concat(F.lit("paragraph "), F.col("par"))),
-        row(docs.where((first > 0) & ~F.contains(F.lower(before), F.lit(register.lower()))), "reg_fd_established", F.lit(register)),
-        row(pars.where(any_match(F.col("text"), answer) & any_match(F.col("text"), rf"(?:{YEAR_FIGURE}\W+(?:\w+\W+){{0,4}}?){{{SERIES},}}")), "qa_not_a_series", F.concat(F.lit("paragraph "), F.col("par"))),
-        row(gaps.where(~F.contains("body", F.col("year").cast("string"))), "letter_gap_named", F.col("year")),
-        *(row(docs.where(~F.contains(body, F.lit(h))), "sections_present", F.lit(h)) for h in headings),
-        row(docs.where((n < words[0]) | (n > words[1])), "length", n),
-        row(figure_tiers(pars, index).where("tier = 'unsourced'"), "figures_evidenced", F.col("figure")),
-    ]
-    return reduce(DataFrame.union, parts)
+    first_answer, first_register = F.regexp_instr(body, F.lit(r"\bQA-FY")), F.regexp_instr(body, F.lit(register))
+    by_document = listed(
+        docs,
+        when(x("stamped").isNull(), "prov_present", F.lit("no pack hash")),
+        when(x("stamped") != x("current"), "prov_matches", x("stamped")),
+        when((first_answer > 0) & ((first_register == 0) | (first_register >= first_answer)), "reg_fd_established", F.lit(register)),
+        *(when(~F.contains(F.lower(body), F.lit(h.lower())), "sections_present", F.lit(h)) for h in headings),
+        when((n < words[0]) | (n > words[1]), "length", n),
+    )
+    letters = seen.groupBy("doc").agg(F.max("letter").alias("letter"), F.max("gap_told").alias("told")).where("letter and not told")
+    gaps = docs.where("size(gap_years) > 0").join(letters, "doc").select("doc", F.lit("letter_gap_named").alias("rule"), F.concat_ws(", ", F.transform("gap_years", lambda y: y.cast("string"))).alias("detail"))
+    quoted = quote_statuses(seen, index).where("status <> 'ok'").select("doc", F.lit("quotes_verbatim").alias("rule"), F.concat_ws(": ", "status", "said").alias("detail"))
+    return reduce(DataFrame.union, [by_paragraph, by_document, gaps, quoted])
+
+
+def reviews(docs: DataFrame, index: DataFrame, register: str, product_years: list[int], segment_years: list[int]) -> DataFrame:
+    """(doc, par, list, detail) for a reader, never a failure: counts of segments compared across a change of what is counted (years of
+    `product_years` and `segment_years` in one sentence), figures that only a claim has, paragraphs that rest mostly on answers and don't name the register."""
+    seen = examined(_registered(docs, f"(?i){register}"), index)
+    any_year = lambda s, years: F.arrays_overlap(F.regexp_extract_all(s, F.lit(r"\b(20\d\d)\b"), F.lit(1)), F.array(*(F.lit(str(y)) for y in years)).cast("array<string>"))
+    both = F.filter("segment_counts", lambda s: any_year(s, product_years) & any_year(s, segment_years))
+    shown = lambda df, name, detail: df.select("doc", "par", F.lit(name).alias("list"), detail.alias("detail"))
+    counted = shown(seen.select("doc", "par", F.explode(both).alias("s")), "segment counts", F.substring("s", 1, 200))
+    thin = shown(tiers(seen).where("tier = 'thin'"), "thin figure", F.col("figure"))
+    mostly = shown(seen.where((F.col("answers") >= MOSTLY) & ~F.coalesce("registered", F.lit(False))), "mostly answers", F.round("answers", 4).cast("string"))
+    return counted.union(thin).union(mostly)
 
 
 def must_hold(found: DataFrame) -> None:
     """Raise if a rule is broken: for use before a write."""
     if rows := found.limit(20).collect():  # an error message shows some
         raise ValueError("; ".join(f"{r['doc']}: {r['rule']} ({r['detail']})" for r in rows))
-

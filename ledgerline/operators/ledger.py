@@ -6,6 +6,8 @@ unless said otherwise.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ COMPLETED, HOLDING = "most recently completed FY at filing", "fiscal year contai
 FIELD_CODES = {"strategic_priorities": "SP", "segments": "SEG", "headcount": "HC", "leadership": "LEAD", "board": "BRD", "incentive_metrics": "INC", "vote_results": "VOTE", "events": "EVT", "notable_language": "LANG", "investor_qa": "QA"}
 #: Characters a token stands for on average. Fixed value.
 CHARS_A_TOKEN = 2.66
-#: Windows-1252 characters that stand in the C1 range, in code order from 0x80; None has no character. Fixed values.
-C1 = "€ ‚ƒ„…†‡ˆ‰Š‹Œ Ž  ‘’“”•–—˜™š›œ žŸ"
+#: What the C1 range means in Windows-1252, from 0x80; a space where it has no character.
+C1 = bytes(range(0x80, 0xA0)).decode("cp1252", "replace").replace("\ufffd", " ")
 
 
 def base_form(form: Column) -> Column:
@@ -59,7 +61,7 @@ def fiscal_year_of(form: Column, report: Column, filed: Column, month: int, day:
 def disposition(form: Column, items: Column, gap: list[str], scope: dict[str, dict[str, list[str]]], amendments: list[str]) -> Column:
     """struct(disposition, reason) of a filing by the first rule that fits.
 
-    A gap signal; a form out of scope; an amendment where its form has none; a form without an item filter; no items given; an
+    A gap signal, as filed or as its base form; a form out of scope; an amendment where its form has none; a form without an item filter; no items given; an
     item to include; then items of which only the date counts, before items to triage; else out of scope. `scope` has for each form
     the lists `include`, `date_only` and `triage`.
     """
@@ -69,11 +71,11 @@ def disposition(form: Column, items: Column, gap: list[str], scope: dict[str, di
     listed = lambda key: F.concat(F.lit(f"{key}: "), F.concat_ws(", ", both(key)))
     filtered = base.isin([f for f, rules in scope.items() if any(rules.values())])
     return (
-        F.when(base.isin(gap), why("gap_signal", F.concat(F.lit("gap signal "), base)))
+        F.when(form.isin(gap) | base.isin(gap), why("gap_signal", F.concat(F.lit("gap signal "), form)))
         .when(~base.isin(list(scope)), why("out_of_scope", F.lit("form not in scope")))
         .when(form.endswith("/A") & ~base.isin(amendments), why("out_of_scope", F.lit("amendment")))
         .when(~filtered, why("in_scope", F.lit("every filing of the form")))
-        .when(F.coalesce(F.size(items), F.lit(0)) <= 0, why("triage", F.lit("no items given")))
+        .when(F.coalesce(F.size(items), F.lit(0)) <= 0, why("out_of_scope", F.lit("no items given")))
         .when(F.size(both("include")) > 0, why("in_scope", listed("include")))
         .when(F.size(both("date_only")) > 0, why("date_only", listed("date_only")))
         .when(F.size(both("triage")) > 0, why("triage", listed("triage")))
@@ -97,8 +99,9 @@ def confidence(section: Column, low_sections: list[str], verified: Column) -> Co
 def json_text(value: Column) -> Column:
     """A string as JSON: marks and control characters escaped, all other characters as they are; null as null."""
     escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    for raw, name in (("\n", "n"), ("\r", "r"), ("\t", "t"), ("\b", "b"), ("\f", "f")):
-        escaped = F.replace(escaped, F.lit(raw), F.lit(f"\\{name}"))
+    named = {"\n": "n", "\r": "r", "\t": "t", "\b": "b", "\f": "f"}
+    spelled = reduce(lambda c, k: F.replace(c, F.lit(chr(k)), F.lit("\\" + named.get(chr(k), f"u{k:04x}"))), range(0x20), escaped)
+    escaped = F.when(value.rlike(r"[\x00-\x1F]"), spelled).otherwise(escaped)
     return F.coalesce(F.concat(F.lit('"'), escaped, F.lit('"')), F.lit("null"))
 
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import substantive_words
 
+#: The least characters of a whole document that was read. Fixed value.
+WHOLE_FLOOR = 120
+
 
 def headings(nodes: DataFrame, text: str, in_link: str, pattern: str, longest: int) -> DataFrame:
     """`nodes` with `item`: group 1 of the pattern in upper case where a node is a heading (not in a link, no longer than `longest`), else null."""
@@ -39,17 +42,25 @@ def chosen_span(found: DataFrame, doc: str, floor: int) -> DataFrame:
     return picked.select(doc, "item", "n_candidates", F.coalesce("first", "largest").alias("s"), F.when(F.col("ok"), "first over the floor").otherwise("largest").alias("basis")).select(doc, "item", "n_candidates", "s.*", "basis")
 
 
-def section_problems(text: Column, floor: int, words: int, anchors: list[str], overrun: list[str]) -> Column:
-    """What is wrong with a section's text, as an array of texts: too few characters, too few words, no anchor phrase in it, or a phrase from after its end. Null texts are empty."""
-    said = F.coalesce(text, F.lit(""))
+def section_problems(text: Column, floor: int, words: int, anchors: list[str], n_anchors: int, overrun: list[str], band: tuple[int, int] | None = None, whole: Column | None = None) -> Column:
+    """What is wrong with a section's text, as an array of texts. Null texts are empty.
+
+    Fewer than `floor` characters; fewer words than `words`; outside the band of the section; fewer than `n_anchors` of its anchor phrases, in either case;
+    or run past its end: one pattern of `overrun` three times, or two of them (one mention is a reference, not an overrun).
+    `whole`: where true, the text is a whole document, which has a floor of WHOLE_FLOOR and neither band nor end.
+    """
+    said, entire = F.coalesce(text, F.lit("")), F.coalesce(whole, F.lit(False)) if whole is not None else F.lit(False)
     n, n_words, low = F.length(said), substantive_words(said), F.lower(said)
-    any_anchor = F.exists(F.array(*map(F.lit, anchors)), lambda a: F.contains(low, F.lower(a))) if anchors else F.lit(True)
-    late = F.filter(F.array(*map(F.lit, overrun)), lambda p: F.contains(low, F.lower(p))) if overrun else F.array().cast("array<string>")
-    return F.array_compact(F.concat(
-        F.array(
-            F.when(n < floor, F.concat(F.lit("characters: "), n.cast("string"))),
-            F.when(n_words < words, F.concat(F.lit("words: "), n_words.cast("string"))),
-            F.when(~any_anchor, F.lit("no anchor")),
-        ),
-        F.transform(late, lambda p: F.concat(F.lit("overrun: "), p)),
+    least = F.when(entire, F.lit(WHOLE_FLOOR)).otherwise(F.lit(floor))
+    present = F.size(F.filter(F.array(*map(F.lit, anchors)).cast("array<string>"), lambda a: F.contains(low, F.lower(a))))
+    times = F.array(*(F.struct(F.lit(p).alias("p"), F.regexp_count(said, F.lit(f"(?i){p}")).alias("n")) for p in overrun)).cast("array<struct<p:string,n:int>>")
+    met = F.filter(times, lambda t: t["n"] > 0)
+    past = ~entire & ((F.size(met) >= 2) | F.exists(met, lambda t: t["n"] >= 3))
+    sizes = [F.when(~entire & (n < band[0]), F.concat(F.lit("shorter than expected: "), n)), F.when(~entire & (n > band[1]), F.concat(F.lit("longer than expected: "), n))] if band else []
+    return F.array_compact(F.array(
+        F.when(n < least, F.concat(F.lit("characters: "), n)),
+        F.when(n_words < words, F.concat(F.lit("words: "), n_words)),
+        *sizes,
+        F.when(present < n_anchors, F.concat(F.lit("anchors: "), present)),
+        F.when(past, F.concat(F.lit("overrun: "), F.array_join(F.transform(met, lambda t: F.concat(t["p"], F.lit(" x"), t["n"])), ", "))),
     ))

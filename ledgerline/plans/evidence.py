@@ -44,7 +44,7 @@ SCOPE = {"8-K": {"include": ["5.02"], "date_only": ["2.02"], "triage": ["7.01",
 
 @query("""
 WITH e AS (SELECT event_id, ['8-K', '10-K', 'NT 10-K', 'SC 13G', '8-K/A', '10-K/A'][event_id % 6 + 1] AS form, CASE event_id % 5 WHEN 0 THEN ['5.02', '9.01'] WHEN 1 THEN ['2.02', '7.01'] WHEN 2 THEN ['7.01'] WHEN 3 THEN [] ELSE ['9.01'] END AS items FROM events)
-SELECT event_id, CASE WHEN form = 'NT 10-K' THEN 'gap_signal' WHEN form = 'SC 13G' THEN 'out_of_scope' WHEN form = '10-K/A' THEN 'out_of_scope' WHEN form = '10-K' THEN 'in_scope' WHEN len(items) = 0 THEN 'triage'
+SELECT event_id, CASE WHEN form = 'NT 10-K' THEN 'gap_signal' WHEN form = 'SC 13G' THEN 'out_of_scope' WHEN form = '10-K/A' THEN 'out_of_scope' WHEN form = '10-K' THEN 'in_scope' WHEN len(items) = 0 THEN 'out_of_scope'
   WHEN list_contains(items, '5.02') THEN 'in_scope' WHEN list_contains(items, '2.02') THEN 'date_only' WHEN list_contains(items, '7.01') THEN 'triage' ELSE 'out_of_scope' END AS disposition FROM e""")
 def filing_disposition(spark: SparkSession, d: str) -> DataFrame:
     """Events as filings, whose disposition follows from form and items by precedence."""
@@ -112,23 +112,46 @@ def brief(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query("""
-SELECT o_custkey AS doc, count(*) AS n_citations, count(*) AS n_distinct, count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 = 0) AS n_unknown, count(*) FILTER (o_orderkey % 11 = 0) AS n_malformed,
-  count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0) AS n_low, count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 4 = 0) AS n_unverified FROM orders GROUP BY 1""")
+SELECT o_custkey AS doc, count(*) FILTER (o_orderkey % 11 <> 0) AS n_citations, count(*) FILTER (o_orderkey % 11 <> 0) AS n_distinct, count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 = 0) AS n_unknown, count(*) FILTER (o_orderkey % 11 = 0) AS n_malformed,
+  count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0) AS n_low, count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 4 = 0) AS n_unverified,
+  count(*) FILTER (o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0) AS n_events FROM orders GROUP BY 1""")
 def citation_counts(spark: SparkSession, d: str) -> DataFrame:
-    return checks.citation_report(*brief(spark, d))
-
-
-@query()
+    """What each document cites."""
+    found = checks.citation_report(*brief(spark, d))
+    return found.select(*(c for c in found.columns if c != "by_field"), F.coalesce(F.col("by_field")["events"], F.lit(0)).cast("bigint").alias("n_events"))
+
+
+_BRIEF = """
+WITH o AS (
+  SELECT o_custkey AS doc, o_orderkey AS k, o_orderkey % 11 <> 0 AS wellformed, o_orderkey % 5 <> 0 AS kept, o_orderkey % 2 = 0 AS quoting, substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 8) AS h,
+    'the order with status ' || o_orderstatus || ' was agreed at $' || printf('%.2f', o_totalprice) AS quote, printf('%.2f', o_totalprice) AS figure FROM orders
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY doc ORDER BY CASE WHEN quoting THEN 'It says "' || quote || '" [' ELSE 'Nothing is quoted [' END || CASE WHEN wellformed THEN 'EVT' ELSE 'XX' END || '-FY2021-' || h || '].') - 1 AS par FROM o
+), said AS (
+  SELECT doc, par, quote AS said, CASE WHEN wellformed AND kept THEN 'ok' WHEN quote IN (SELECT quote FROM o WHERE kept) THEN 'elsewhere' ELSE 'bad' END AS status FROM p WHERE quoting
+)"""
+
+
+@query(_BRIEF + """
+SELECT doc, 'ids_resolve' AS rule, 'EVT-FY2021-' || h AS detail FROM p WHERE wellformed AND NOT kept
+UNION ALL SELECT doc, 'ids_wellformed', 'XX-FY2021-' || h FROM p WHERE NOT wellformed
+UNION ALL SELECT doc, 'no_unverified_quoted', 'EVT-FY2021-' || h FROM p WHERE wellformed AND kept AND quoting AND k % 4 = 0
+UNION ALL SELECT doc, 'low_conf_flagged', 'paragraph ' || par FROM p WHERE wellformed AND kept AND k % 3 = 0
+UNION ALL SELECT doc, 'figures_evidenced', figure FROM p WHERE wellformed AND NOT kept AND quoting AND NOT regexp_full_match(figure, '[0-9]{4}')
+UNION ALL SELECT doc, 'quotes_verbatim', status || ': ' || said FROM said WHERE status <> 'ok'
+UNION ALL SELECT doc, 'sections_present', 'It says' FROM p GROUP BY doc HAVING NOT bool_or(quoting)
+UNION ALL SELECT doc, 'length', CAST(sum(CASE WHEN quoting THEN 12 ELSE 4 END) AS VARCHAR) FROM p GROUP BY doc HAVING sum(CASE WHEN quoting THEN 12 ELSE 4 END) NOT BETWEEN 5 AND 5000""")
 def document_checks(spark: SparkSession, d: str) -> DataFrame:
     """Every rule that a customer's document breaks."""
     docs, index = brief(spark, d)
-    return checks.violations(docs, index, ["It says"], (5, 5000), "Regulation FD")
+    return checks.violations(docs, index, ["It says"], (5, 5000), "regulation fd|reg fd|voluntary disclosure")
 
 
-@query()
+@query(_BRIEF + "SELECT DISTINCT doc, par, said, status FROM said")
 def quote_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Each quotation of a customer's document against the facts of its paragraph, then against all."""
     docs, index = brief(spark, d)
-    return checks.quote_report(checks.paragraphs(docs), index)
+    return checks.quote_report(docs, index).drop("source_id")
 
 
 @query()

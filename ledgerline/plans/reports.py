@@ -40,11 +40,14 @@ def section_choice(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), c AS (SELECT doc_id, x, lower(x) AS l, len(regexp_extract_all(regexp_replace(x, '[^ \\t\\n]+\\.(jpg|jpeg|png|gif)', ' ', 'g'), '[A-Za-z]{2,}')) AS w FROM t)
-SELECT doc_id, concat_ws('; ', CASE WHEN length(x) < 500 THEN 'characters: ' || length(x) END, CASE WHEN w < 50 THEN 'words: ' || w END, CASE WHEN NOT (contains(l, 'the') OR contains(l, 'die')) THEN 'no anchor' END, CASE WHEN contains(l, 'license') THEN 'overrun: License' END) AS problems FROM c""")
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, doc_id % 4 = 0 AS whole FROM documents), c AS (SELECT *, lower(x) AS l, length(x) AS n, len(regexp_extract_all(regexp_replace(x, '[^ \\t\\n]+\\.(jpg|jpeg|png|gif)', ' ', 'g'), '[A-Za-z]{2,}')) AS w FROM t),
+a AS (SELECT *, CAST(contains(l, 'the') AS INT) + CAST(contains(l, 'licen') AS INT) + CAST(contains(l, 'of') AS INT) AS k, len(regexp_extract_all(x, '(?i)\\btoken\\b')) AS o1, len(regexp_extract_all(x, '(?i)the\\s+and')) AS o2 FROM c)
+SELECT doc_id, concat_ws('; ', CASE WHEN n < CASE WHEN whole THEN 120 ELSE 500 END THEN 'characters: ' || n END, CASE WHEN w < 25 THEN 'words: ' || w END, CASE WHEN NOT whole AND n < 800 THEN 'shorter than expected: ' || n END, CASE WHEN NOT whole AND n > 6000 THEN 'longer than expected: ' || n END,
+  CASE WHEN k < 2 THEN 'anchors: ' || k END,
+  CASE WHEN NOT whole AND ((o1 > 0 AND o2 > 0) OR o1 >= 3 OR o2 >= 3) THEN 'overrun: ' || concat_ws(', ', CASE WHEN o1 > 0 THEN '\\btoken\\b x' || o1 END, CASE WHEN o2 > 0 THEN 'the\\s+and x' || o2 END) END) AS problems FROM a""")
 def section_validation(spark: SparkSession, d: str) -> DataFrame:
-    """What is wrong with each document, were it a section."""
-    found = sections.section_problems(F.col("text"), 500, 50, ["the", "die"], ["License"])
+    """What is wrong with each document, were it a section; every fourth is a whole document."""
+    found = sections.section_problems(F.col("text"), 500, 25, ["the", "licen", "of"], 2, [r"\btoken\b", r"the\s+and"], (800, 6000), F.col("doc_id") % 4 == 0)
     return table(spark, d, "documents").select("doc_id", F.array_join(found, "; ").alias("problems"))
 
 

@@ -1,6 +1,9 @@
 """Reference semantics on small fixtures."""
 
 import datetime as dt
+import hashlib
+import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,8 +122,10 @@ The company plans growth [SP-FY2021-aaaaaaaa]. It has no letter for 2020.
 
 Under Regulation FD the answer was "we expect a good year ahead" [QA-FY2021-bbbbbbbb].
 
-On 2021-05-04 holders voted [VOTE-FY2021-cccccccc]; with low confidence, sales were $1,250.00 [EVT-FY2021-dddddddd]."""
-INDEX = [("SP-FY2021-aaaaaaaa", "high", True, "plans growth", None), ("QA-FY2021-bbbbbbbb", "high", True, "and we expect a good year ahead, he said", None), ("VOTE-FY2021-cccccccc", "high", True, "voted", None), ("EVT-FY2021-dddddddd", "low", False, "sales were 1250", None), ("EVT-FY2021-eeeeeeee", "high", True, "another source of words", "claims 777 units")]
+On 2021-05-04 holders voted [VOTE-FY2021-cccccccc]; with low confidence, sales were $1,250.0 [EVT-FY2021-dddddddd]."""
+INDEX = [("SP-FY2021-aaaaaaaa", "high", True, "plans growth", None, True), ("QA-FY2021-bbbbbbbb", "high", True, "and we expect a good year ahead, he said", None, False), ("VOTE-FY2021-cccccccc", "high", True, "voted", None, False), ("EVT-FY2021-dddddddd", "low", False, "sales were 1250", None, False), ("EVT-FY2021-eeeeeeee", "high", True, "another source of words", "claims 777 units", None)]
+INDEX_KIND = "id string, confidence string, quote_verified boolean, quote string, claim string, letter boolean"
+DOCS_KIND = "doc int, body string, stamped string, current string, gap_years array<int>"
 
 
 @pytest.mark.parametrize(
@@ -137,8 +142,15 @@ INDEX = [("SP-FY2021-aaaaaaaa", "high", True, "plans growth", None), ("QA-FY2021
         ("low_conf_flagged", lambda r: {**r, "body": r["body"].replace("with low confidence, ", "")}),
         ("vote_dated", lambda r: {**r, "body": r["body"].replace("On 2021-05-04 h", "H")}),
         ("reg_fd_established", lambda r: {**r, "body": r["body"].replace("Regulation FD", "the rule")}),
-        ("qa_not_a_series", lambda r: {**r, "body": r["body"].replace("Under Regulation FD", "In 2019: 11, 2020: 12, 2021: 13, and under Regulation FD")}),
+        ("qa_not_a_series", lambda r: {**r, "body": r["body"].replace("Under Regulation FD", "Answers in 2019: 11, 2020: 12, 2021: 13, and under Regulation FD")}),
         ("letter_gap_named", lambda r: {**r, "body": r["body"].replace("2020", "that year")}),
+        ("letter_gap_named", lambda r: {**r, "body": r["body"].replace("no letter for 2020", "a letter [SP-FY2020-aaaaaaaa], not one in 2020").replace("[SP-FY2020-aaaaaaaa], not one in 2020", "[SP-FY2021-aaaaaaaa]")}),
+        (None, lambda r: {**r, "body": r["body"].replace("2020", "that year").replace(" [SP-FY2021-aaaaaaaa]", "")}),
+        (None, lambda r: {**r, "body": r["body"].replace("2020", "that year"), "gap_years": []}),
+        (None, lambda r: {**r, "body": r["body"] + "\n\nRevenue was 12,345 with no citation here."}),
+        (None, lambda r: {**r, "body": r["body"] + "\n\nUnder Item 402, Rule 144 and Form 10-K, $5 in 2019 [EVT-FY2021-eeeeeeee]."}),
+        (None, lambda r: {**r, "body": r["body"] + "\n\n### Provenance\n\n9,999 ids [EVT-FY2021-12345678]"}),
+        (None, lambda r: {**r, "body": r["body"].replace("# Brief", "# BRIEF")}),
         ("sections_present", lambda r: {**r, "body": r["body"].replace("# Brief", "# Other")}),
         ("length", lambda r: {**r, "body": r["body"] + " more words" * 60}),
         ("figures_evidenced", lambda r: {**r, "body": r["body"] + "\n\nIt had 777 units [EVT-FY2021-eeeeeeee] and 888 more."}),
@@ -146,8 +158,8 @@ INDEX = [("SP-FY2021-aaaaaaaa", "high", True, "plans growth", None), ("QA-FY2021
 )
 def test_one_mutation_breaks_one_rule(spark, rule, change):
     row = change({"doc": 1, "body": DOC, "stamped": "x", "current": "x", "gap_years": [2020]})
-    docs = spark.createDataFrame([tuple(row.values())], "doc int, body string, stamped string, current string, gap_years array<int>")
-    index = spark.createDataFrame(INDEX, "id string, confidence string, quote_verified boolean, quote string, claim string")
+    docs = spark.createDataFrame([tuple(row.values())], DOCS_KIND)
+    index = spark.createDataFrame(INDEX, INDEX_KIND)
     broken = checks.violations(docs, index, ["# Brief"], (10, 100), "Regulation FD")
     assert {r.rule for r in broken.collect()} == ({rule} if rule else set())
     if rule:
@@ -155,25 +167,68 @@ def test_one_mutation_breaks_one_rule(spark, rule, change):
             checks.must_hold(broken)
 
 
-def test_quotations_with_ellipses_and_brackets(spark):
-    cases = [("we expect ... ahead", True), ("[w]e expect a good year", True), ("we [really] expect", True), ("we expect … behind", False), ("We  expect a good year,", True)]
-    df = spark.createDataFrame([(a, "and we expect a good year ahead, he said", b) for a, b in cases], "said string, quote string, want boolean")
-    assert all(r.got == r.want for r in df.select("want", checks.quote_holds(F.col("said"), F.col("quote")).alias("got")).collect())
+def plain_status(said, own, every):
+    """By itself: each way of reading a quotation, each of its parts in the facts' texts."""
+    folded = lambda t: tx.canonical(t).replace("'", '"')
+    for way in {said, said.strip(" ,.;:"), re.sub(r"\[([^\]]*)\]", r"\1", said).strip(" ,.;:"), re.sub(r"\[([^\]]*)\]", "", said).strip(" ,.;:")}:
+        parts = [p.strip() for p in re.split(r"…|\.\.\.", folded(way)) if p.strip()]
+        if folded(way) and all(any(p in folded(t) for t in own) for p in parts):
+            return "ok"
+    for way in {said, said.strip(" ,.;:"), re.sub(r"\[([^\]]*)\]", r"\1", said).strip(" ,.;:"), re.sub(r"\[([^\]]*)\]", "", said).strip(" ,.;:")}:
+        parts = [p.strip() for p in re.split(r"…|\.\.\.", folded(way)) if p.strip()]
+        if folded(way) and all(any(p in folded(t) for t in every) for p in parts):
+            return "elsewhere"
+    return "bad"
+
+
+def test_quotations_equal_brute_force(spark):
+    texts = ["and we expect a good year ahead, he said", "margins rose to 12.5% - up [slightly] on 2021", "Ab it's “well-run” … they say", "we really expect", None, "a thing"]
+    ids = [f"EVT-FY2021-{k:08x}" for k in range(len(texts))]
+    said = ["we expect a good", "e expect a goo", "to 12", "rose to 12.5% – up", "[M]argins rose ... on 2021", "expect an awful year", "zz top", "... [x] ...", "“well-run”", "a good year [for us] ahead", "year nowhere ahead", "[W]e expect", "we [really] expect", "we expect … behind", "We  expect a good year,", "it‘s ", "good year ... really expect", "abc", " x ", "12.5% - up slightly"]
+    body = "\n\n".join(f'He said "{q}" there [{ids[k % 3]}, {ids[3 + k % 4] if k % 4 < 3 else "LEAD-FY2021-00000000"}].' for k, q in enumerate(said))
+    docs = spark.createDataFrame([(1, body, "x", "x", None), (2, None, "x", "x", None)], DOCS_KIND)
+    index = spark.createDataFrame([(i, "high", True, t, None, False) for i, t in zip(ids, texts, strict=True)] * 2, INDEX_KIND)
+    got = {(r.par, r.said): (r.status, r.source_id) for r in checks.quote_report(docs, index).collect()}
+    want = {}
+    for k, q in enumerate(said):
+        if len(q.strip()) >= 4:
+            own = [t for i, t in zip(ids, texts, strict=True) if t and i in (ids[k % 3], ids[3 + k % 4] if k % 4 < 3 else "")]
+            want[k, q] = plain_status(q, own, [t for t in texts if t])
+    assert {key: status for key, (status, _) in got.items()} == want and {"ok", "elsewhere", "bad"} == set(want.values())
+    assert all((source is not None) == (status == "elsewhere") or key[1] == "... [x] ..." for key, (status, source) in got.items())
 
 
-def test_quotations_found_elsewhere_as_by_brute_force(spark):
-    quotes = ["and we expect a good year ahead, he said", "margins rose to 12.5% - up [slightly] on 2021", "Ab", "it's “well-run” … they say", None]
-    said = ["we expect a good", "e expect a goo", "xpect a good yea", "pect good", "good yea", "ood", "to 12", "rose to 12.5% – up", "[M]argins rose ... on 2021", "expect an awful year", "Ab", "b", "zz", "... [x] ...", "well-run", "a good year [for us] ahead", "year nowhere ahead", "[W]e expect", "ab [c] b"]
-    got = {r.said for r in checks.held_elsewhere(spark.createDataFrame([(s,) for s in said * 2], "said string"), spark.createDataFrame([(q,) for q in quotes], "quote string")).collect()}
-    pairs = spark.createDataFrame([(s, q) for s in said for q in quotes if q], "said string, quote string")
-    want = {r.said for r in pairs.where(checks.quote_holds(F.col("said"), F.col("quote"))).select("said").distinct().collect()}
-    assert got == want and {"we expect a good", "e expect a goo", "ood", "b"} <= want and "zz" not in want
+def test_reviews(spark):
+    body = "In 2021 it had five segments and in 2023 two reportable segments [SEG-FY2021-aaaaaaaa].\n\nIt had 777 units [EVT-FY2021-eeeeeeee].\n\nHe answers [QA-FY2021-bbbbbbbb, QA-FY2021-bbbbbbbb, SP-FY2021-aaaaaaaa].\n\nUnder Regulation FD [QA-FY2021-bbbbbbbb]."
+    docs, index = spark.createDataFrame([(1, body, "x", "x", None)], DOCS_KIND), spark.createDataFrame(INDEX, INDEX_KIND)
+    got = checks.reviews(docs, index, "regulation fd", [2021], [2022, 2023]).collect()
+    assert {(r.par, r.list) for r in got} == {(0, "segment counts"), (1, "thin figure"), (2, "mostly answers")}
+    assert [tuple(r)[1:] for r in checks.tiers(checks.examined(docs.withColumn("register", F.lit("x")), index)).collect()] == [(1, "777", "thin")]
 
 
-def test_fact_id_is_that_of_python(spark):
-    import hashlib
-    import json
+def test_citation_report_by_field(spark):
+    body = "[SP-FY2021-aaaaaaaa, EVT-FY2021-dddddddd] [EVT-FY2021-dddddddd] [EVT-FY2021-99999999] [MDNA-FY2021-aaaaaaaa] [RISK-FY2021-00000000]"
+    index = spark.createDataFrame([*INDEX, ("RISK-FY2021-00000000", "high", True, "q", None, False)], INDEX_KIND)
+    got = {r.doc: r for r in checks.citation_report(spark.createDataFrame([(1, body), (2, None)], "doc int, body string"), index).collect()}
+    assert tuple(got[1])[1:] == (5, 4, 1, 1, 1, 1, {"events": 1, "risk": 1, "strategic_priorities": 1})
+    assert tuple(got[2])[1:] == (0, 0, 0, 0, 0, 0, {})
+
+
+def test_disposition_without_items_and_of_gap_forms(spark):
+    scope = {"8-K": {"include": ["5.02"], "date_only": ["2.02"], "triage": ["7.01"]}}
+    cases = [("8-K", None, "out_of_scope"), ("8-K", [], "out_of_scope"), ("8-K", ["2.02", "7.01"], "date_only"), ("8-K", ["7.01"], "triage"), ("10-K/A", ["x"], "gap_signal"), ("10-K", ["x"], "out_of_scope"), ("NT 10-K/A", None, "gap_signal")]
+    df = spark.createDataFrame(cases, "form string, items array<string>, want string")
+    got = df.select("want", ledger.disposition(F.col("form"), F.col("items"), ["10-K/A", "NT 10-K"], scope, ["8-K"])["disposition"].alias("got"))
+    assert all(r.got == r.want for r in got.collect())
 
+
+def test_json_of_every_control_character(spark):
+    values = [*(f"a{chr(k)}b" for k in range(0x20)), '\\"\\n', "é\x7f\u2028", ""]
+    got = spark.createDataFrame([(v,) for v in values], "v string").select("v", ledger.json_text(F.col("v")).alias("j")).collect()
+    assert all(r.j == json.dumps(r.v, ensure_ascii=False) for r in got) and len(got) == 35
+
+
+def test_fact_id_is_that_of_python(spark):
     value = {"b": 'x "y"\n\t\\', "a": "é"}
     body = {"field": "events", "fiscal_year": 2022, "value": value, "form": None, "accession": "1", "section_key": "k", "quote": "q"}
     want = "EVT-FY2022-" + hashlib.sha256(json.dumps(body, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:8]

@@ -20,11 +20,23 @@ def test_a_table_of_contents_is_not_the_section(spark):
     assert sections.spans(marked.limit(0), "doc", "at", "said").count() == 0
 
 
-def test_section_problems(spark):
-    texts = [(None,), ("risk factors are many words that go on",), ("Risk in a chart.jpg and the exhibit index",)]
-    found = sections.section_problems(F.col("t"), 30, 6, ["RISK"], ["exhibit index"])
-    got = [list(r[0]) for r in spark.createDataFrame(texts, "t string").select(found).collect()]
-    assert got == [["characters: 0", "words: 0", "no anchor"], [], ["overrun: exhibit index"]]
+@pytest.mark.parametrize(
+    "text,whole,want",
+    [
+        (None, False, ["characters: 0", "words: 0", "shorter than expected: 0", "anchors: 0"]),
+        ("risk factors are many words that go on", False, []),
+        ("Risk in a chart.jpg", False, ["characters: 19", "words: 2", "shorter than expected: 19", "anchors: 1"]),
+        ("risk factors, see our consolidated balance sheets, go on and on", False, []),
+        ("risk factors " + "CONSOLIDATED BALANCE  SHEET " * 3 + "go on", False, ["overrun: consolidated\\s*balance\\s*sheets? x3"]),
+        ("risk factors in notes to the statements, consolidated balance sheets", False, ["overrun: consolidated\\s*balance\\s*sheets? x1, notes\\s+to x1"]),
+        ("risk factors " * 30, False, ["longer than expected: 390"]),
+        ("risk factors in notes to the statements, consolidated balance sheets" * 9, True, []),
+        ("risk factors are many words that go on", True, ["characters: 38"]),
+    ],
+)
+def test_section_problems(spark, text, whole, want):
+    found = sections.section_problems(F.col("t"), 30, 6, ["RISK", "factors"], 2, [r"consolidated\s*balance\s*sheets?", r"notes\s+to"], (30, 300), F.col("w"))
+    assert list(spark.createDataFrame([(text, whole)], "t string, w boolean").select(found).first()[0]) == want
 
 
 def test_outcomes_add_up(spark):
