@@ -152,16 +152,17 @@ def candidates(now: DataFrame) -> DataFrame:
 
 
 def named(found: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Of candidates (chunk, code, n, keys): those with n of `least` or more in all, their sum a and their name."""
+    """Of candidates (chunk, code, n, keys): those with n of `least` or more in all, and their name; where it is from, also the keys and the sum a."""
     alike = Window.partitionBy(*keys)
     placed = found.select((F.shiftleft("chunk", CODE_BITS) + F.col("code")).alias("place"), "n", *keys)
     both = placed.select("place", *keys, F.sum("n").over(alike).alias("a"), F.min("place").over(alike).alias("name")).where(F.col("a") >= least)
-    return both.select(F.shiftright("place", CODE_BITS).alias("chunk"), F.col("place").bitwiseAND((1 << CODE_BITS) - 1).alias("code"), *keys, "a", "name")
+    once = F.col("place") == F.col("name")
+    return both.select(F.shiftright("place", CODE_BITS).alias("chunk"), F.col("place").bitwiseAND((1 << CODE_BITS) - 1).alias("code"), "name", *(F.when(once, F.col(c)).alias(c) for c in [*keys, "a"]))
 
 
 def once(found: DataFrame) -> DataFrame:
     """One row for each name."""
-    return found.where(F.shiftleft("chunk", CODE_BITS) + F.col("code") == F.col("name"))
+    return found.where("a is not null")
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -188,24 +189,29 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark = docs.sparkSession
     tune(spark)
     folder = shared_folder(spark)
-    now = settle(chunks(docs, text_col, lang_col, chunk_words), "chunks1", folder, **ROW_BY_ROW)
-    totals = settle(now.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("n")), "totals", folder)
+
+    def step(df: DataFrame, name: str, **options: str) -> DataFrame:
+        spark.sparkContext._jvm.System.gc()  # nothing refers to the step before any more, so its shuffle files go
+        return settle(df, name, folder, **options)
+
+    now = step(chunks(docs, text_col, lang_col, chunk_words), "chunks1", **ROW_BY_ROW)
+    totals = step(now.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("bigint"), lambda x, y: x + y)).alias("n")), "totals")
     words = now.select("chunk", "lang", F.posexplode(F.arrays_zip("items", "n")).alias("code", "e")).select("chunk", "lang", "code", F.col("e.items").alias("item"), F.col("e.n").alias("n"))
-    found = settle(named(words, ["lang", "item"], least), "names1", folder)
+    found = step(named(words, ["lang", "item"], least), "names1")
     entries = [once(found).select("name", "lang", "a", F.array("item").alias("words"), F.array("a").alias("starts"), F.array("a").alias("ends"))]
     pairs: list[DataFrame] = []
     now = now.select("chunk", "codes", F.size("items").alias("size"))
     for size in range(2, longest + 1):
         asked = found.select("chunk", "code", "name").groupBy("chunk")
-        now = settle(now.groupBy("chunk").cogroup(asked).applyInArrow(renamed(size - 1), "chunk bigint, codes binary, names array<bigint>"), f"chunks{size}", folder, **ROW_BY_ROW)
+        now = step(now.groupBy("chunk").cogroup(asked).applyInArrow(renamed(size - 1), "chunk bigint, codes binary, names array<bigint>"), f"chunks{size}", **ROW_BY_ROW)
         discard(spark, f"{folder}/chunks{size - 1}")
-        found = settle(named(candidates(now), ["left", "right"], least), f"names{size}", folder)
+        found = step(named(candidates(now), ["left", "right"], least), f"names{size}")
         now = now.select("chunk", "codes", F.size("names").alias("size"))
         pairs.append(once(found).select("name", "left", "right", "a"))
         first = entries[-1].select(F.col("name").alias("left"), "lang", F.col("words").alias("front"), F.col("starts").alias("before"))
         last = entries[-1].select(F.col("name").alias("right"), F.element_at("words", -1).alias("word"), F.col("ends").alias("after"))
         both = pairs[-1].join(first, "left").join(last, "right")
-        entries.append(settle(both.select("name", "lang", "a", F.array_append("front", F.col("word")).alias("words"), F.array_append("before", F.col("a")).alias("starts"), F.array_append("after", F.col("a")).alias("ends")), f"entries{size}", folder))
+        entries.append(step(both.select("name", "lang", "a", F.array_append("front", F.col("word")).alias("words"), F.array_append("before", F.col("a")).alias("starts"), F.array_append("after", F.col("a")).alias("ends")), f"entries{size}"))
     discard(spark, f"{folder}/chunks{longest}")
     parts = [scored(entries[k], pairs[k] if k < len(pairs) else None, k + 1, cover) for k in range(1, longest)]
     ranked = parts[0]
