@@ -23,7 +23,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 16_384
+BUCKETS = 65_536
 TRUSTED = 20_000
 SMOOTHING = 0.5
 THRESHOLD = -0.35
