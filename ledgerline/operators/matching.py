@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,45 +56,60 @@ def greedy_match(current: DataFrame, prior: DataFrame, block: str, ordinal: str,
     return both.groupBy(block).applyInPandas(run, f"{block} {kind}, left_ord bigint, right_ord bigint, score double")
 
 
-def html_nodes(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """Text nodes of each page in order: (id, ord, text, in_link, bold, italic, heading)."""
-    from html.parser import HTMLParser
-
-    class Nodes(HTMLParser):
-        def __init__(self) -> None:
-            super().__init__(convert_charrefs=True)
-            self.open: list[str] = []
-            self.rows: list[tuple[str, bool, bool, bool, str | None]] = []
-
-        def handle_starttag(self, tag: str, attrs: list) -> None:
-            if tag not in ("br", "hr", "img", "input", "meta", "link"):
-                weight = dict(attrs).get("style") or ""
-                self.open.append(tag + ("/b" if re.search(r"font-weight:\s*(bold|[7-9]00)", weight) else ""))
-
-        def handle_endtag(self, tag: str) -> None:
-            for k in range(len(self.open) - 1, -1, -1):
-                if self.open[k].split("/")[0] == tag:
-                    del self.open[k:]
-                    return
-
-        def handle_data(self, data: str) -> None:
-            words, tags = " ".join(data.split()), {t.split("/")[0] for t in self.open}
-            if words and not tags & {"script", "style"}:
-                head = next((t for t in self.open if re.fullmatch("h[1-6]", t)), None)
-                self.rows.append((words, "a" in tags, bool(tags & {"b", "strong"}) or any(t.endswith("/b") for t in self.open), bool(tags & {"i", "em"}), head))
-
-    import re
+#: Elements without an end, those that make a paragraph, and how many of the nearest elements style a text. Fixed values.
+VOID = {"br", "hr", "img", "input", "meta", "link"}
+BLOCKS = {"p", "div", "tr", "li", "td", "th", "h1", "h2", "h3", "h4", "br", "table"}
+NEAREST = 4
+
+
+class Nodes(HTMLParser):
+    """Text nodes with what the elements around them say: (text, in_link, bold, italic, heading, block). `block` numbers the nearest paragraph-like element."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.open: list[tuple[str, bool, bool, int]] = []  # name, bold, italic, its number if it is a block
+        self.blocks = 0
+        self.rows: list[tuple[str, bool, bool, bool, str | None, int]] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in VOID:
+            return
+        style = dict(attrs).get("style") or ""
+        self.blocks += tag in BLOCKS
+        bold = tag in ("b", "strong") or bool(re.search(r"font-weight:\s*(bold|[7-9]00)", style))
+        italic = tag in ("i", "em") or bool(re.search(r"font-style:\s*italic", style))
+        self.open.append((tag, bold, italic, self.blocks if tag in BLOCKS else 0))
+
+    def handle_endtag(self, tag: str) -> None:
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                return
 
+    def handle_data(self, data: str) -> None:
+        words, tags = " ".join(data.split()), {name for name, *_ in self.open}
+        if words and not tags & {"script", "style"}:
+            near = self.open[-NEAREST:]
+            head = next((t for t, *_ in self.open if re.fullmatch("h[1-6]", t)), None)
+            block = next((n for *_, n in reversed(self.open) if n), 0)
+            self.rows.append((words, "a" in tags, any(b for _, b, *_ in near), any(i for _, _, i, _ in near), head, block))
+
+
+def text_nodes(html: str) -> list[tuple[str, bool, bool, bool, str | None, int]]:
+    """The rows of `Nodes` of a page."""
+    parser = Nodes()
+    parser.feed(html)
+    return parser.rows
+
+
+def html_nodes(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """Text nodes of each page in order: (id, ord, text, in_link, bold, italic, heading, block)."""
     source = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            out = []
-            for i, text in zip(pdf.id, pdf.html, strict=True):
-                parser = Nodes()
-                parser.feed(text or "")
-                out += [(i, k, *row) for k, row in enumerate(parser.rows)]
-            yield pd.DataFrame(out, columns=["id", "ord", "text", "in_link", "bold", "italic", "heading"])
+            out = [(i, k, *row) for i, text in zip(pdf.id, pdf.html, strict=True) for k, row in enumerate(text_nodes(text or ""))]
+            yield pd.DataFrame(out, columns=["id", "ord", "text", "in_link", "bold", "italic", "heading", "block"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(run, f"id {kind}, ord bigint, text string, in_link boolean, bold boolean, italic boolean, heading string").withColumnRenamed("id", id_col)
+    return source.mapInPandas(run, f"id {kind}, ord bigint, text string, in_link boolean, bold boolean, italic boolean, heading string, block bigint").withColumnRenamed("id", id_col)

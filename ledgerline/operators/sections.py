@@ -64,3 +64,54 @@ def section_problems(text: Column, floor: int, words: int, anchors: list[str], n
         F.when(present < n_anchors, F.concat(F.lit("anchors: "), present)),
         F.when(past, F.concat(F.lit("overrun: "), F.array_join(F.transform(met, lambda t: F.concat(t["p"], F.lit(" x"), t["n"])), ", "))),
     ))
+
+
+#: The least characters of a heading of a risk factor or of a category. Fixed value.
+LEAST_HEADING = 20
+
+
+def readable(parts: Column) -> Column:
+    """The text of nodes in order (array of struct(ord, text, block)): one space between nodes of a block, a line break between blocks."""
+    start = F.struct(F.lit("").alias("text"), F.lit(None).cast("bigint").alias("block"))
+    joined = F.aggregate(F.filter(F.array_sort(parts), lambda p: p["text"] != ""), start, lambda acc, p: F.struct(F.concat(acc["text"], F.when(acc["block"].isNull(), "").when(acc["block"] == p["block"], " ").otherwise("\n"), p["text"]).alias("text"), p["block"].alias("block")))
+    return stripped(F.regexp_replace(joined["text"], r"[ \t]+", " "))
+
+
+def stripped(text: Column) -> Column:
+    """A text without white space at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+def span_text(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """`keys`, text of each span, from nodes with the columns `keys`, ord, text, block. A span's text is one row, as it is one in what comes after."""
+    return nodes.groupBy(*keys).agg(F.collect_list(F.struct("ord", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("block", F.lit(0)).cast("bigint").alias("block"))).alias("parts")).select(*keys, readable(F.col("parts")).alias("text"))
+
+
+def risk_factors(nodes: DataFrame) -> DataFrame:
+    """doc, ord, heading, category, body, body_chars, was_split of the risk factors in the nodes (doc, ord, text, bold, italic, block) of a section.
+
+    A bold and italic text of LEAST_HEADING characters heads a factor, a bold one a category of those that follow. What stands up to the
+    next heading is the body. A factor without a body is the first part of the heading of the next one, and so on.
+    """
+    marked = F.col("bold") & (F.length("text") >= LEAST_HEADING)
+    kind = F.when(marked & F.col("italic"), "factor").when(marked, "category")
+    by_doc = Window.partitionBy("doc").orderBy("ord")
+    numbered = nodes.select("doc", "ord", "text", "block", kind.alias("kind")).withColumn("span", F.count("kind").over(by_doc)).where("span > 0")
+    said = span_text(numbered, ["doc", "span"])
+    heads = numbered.where("kind is not null").withColumn("category", F.last(F.when(F.col("kind") == "category", F.col("text")), True).over(by_doc)).where("kind = 'factor'")
+    spans = heads.select("doc", "span", "ord", F.col("text").alias("heading"), "category").join(said, ["doc", "span"])
+    body = F.when(F.startswith("text", "heading"), stripped(F.substring(F.col("text"), F.length("heading") + 1, F.length("text")))).otherwise(F.col("text"))
+    factors = spans.withColumn("body", body)
+    ended = F.coalesce(F.sum((F.length("body") > 0).cast("int")).over(by_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    grouped = factors.withColumn("island", ended).groupBy("doc", "island").agg(F.array_sort(F.collect_list(F.struct("ord", "heading", "category", "body"))).alias("f"))
+    whole = F.array_join(F.transform("f", lambda x: x["heading"]), " ")
+    first = F.array_compact(F.transform("f", lambda x: x["category"]))
+    last = F.element_at("f", -1)
+    return grouped.select("doc", last["ord"].alias("ord"), whole.alias("heading"), F.get(first, F.lit(0)).alias("category"), last["body"].alias("body"), F.length(last["body"]).alias("body_chars"), (F.size("f") > 1).alias("was_split"))
+
+
+def without_text(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """doc, reason of the documents that gave nothing: rows of their own, so that one bad document stops no other."""
+    read = nodes.groupBy("doc").agg(F.count("*").alias("n"))
+    reason = F.when(F.col("html").isNull(), "no document").when(F.trim("html") == "", "empty document").otherwise("no text in the document")
+    return docs.select("doc", "html").join(read, "doc", "left").where("n is null").select("doc", reason.alias("reason"))

@@ -1,12 +1,15 @@
 """Sections, outcomes of matched lists and calendar reports on small made tables."""
 
 import datetime as dt
+import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from ledgerline.functions import tables
 from ledgerline.functions.register import register
-from ledgerline.operators import outcomes, sections
+from ledgerline.operators import graph, matching, outcomes, sections
 
 
 def test_a_table_of_contents_is_not_the_section(spark):
@@ -72,3 +75,77 @@ def test_functions_in_sql(spark):
     register(spark)
     r = spark.sql("SELECT token_sort_ratio('b a', 'a b') AS s, token_set_ratio('a b b', 'b a') AS t, canon_text('x  “y”') AS c").first()
     assert (r.s, r.t, r.c) == (100.0, 100.0, 'x "y"')
+
+
+def plain_factors(rows):
+    """The split by a loop over (text, bold, italic, block)."""
+    marks = [(k, "factor" if i else "category", t) for k, (t, b, i, _) in enumerate(rows) if b and len(t) >= sections.LEAST_HEADING]
+    out, category = [], None
+    for j, (k, kind, heading) in enumerate(marks):
+        if kind == "category":
+            category = heading
+            continue
+        text, last = "", None
+        for t, _, _, block in rows[k : marks[j + 1][0] if j + 1 < len(marks) else len(rows)]:
+            if t:
+                text += ("" if last is None else " " if last == block else "\n") + t
+                last = block
+        f = [heading, category, text[len(heading) :].strip(), False]
+        if out and not out[-1][2]:
+            before = out.pop()
+            f = [f"{before[0]} {heading}", before[1] or category, f[2], True]
+        out.append(f)
+    return out
+
+
+def test_risk_factors_equal_a_loop(spark):
+    rng = random.Random(5)
+    docs = {}
+    for d in range(40):
+        rows = []
+        for k in range(rng.randint(0, 25)):
+            bold = rng.random() < 0.5
+            rows.append((rng.choice(["", "short", f"A heading number {k} of the risks", f"words {k}"]) if bold else f"body text {k}", bold, bold and rng.random() < 0.7, k // rng.choice([1, 2, 3])))
+        docs[d] = rows
+    df = spark.createDataFrame([(d, k, *r) for d, rows in docs.items() for k, r in enumerate(rows)], "doc int, ord int, text string, bold boolean, italic boolean, block bigint")
+    got = {}
+    for r in sections.risk_factors(df).orderBy("doc", "ord").collect():
+        got.setdefault(r.doc, []).append([r.heading, r.category, r.body, r.was_split])
+        assert r.body_chars == len(r.body)
+    assert got == {d: f for d, rows in docs.items() if (f := plain_factors(rows))}
+    assert sections.risk_factors(df.limit(0)).count() == 0
+
+
+PAGE = """<div><p style="font-weight:bold">Risks about our business in general</p>
+<p><span style="font-weight:700; font-style:italic">We may lose customers if our service</span></p>
+<p><span style="font-weight:700; font-style: italic">does not keep up with their needs.</span></p>
+<p>They may <a href="#">leave</a> us.</p><p>And <b>soon</b>.</p>
+<div style="font-weight:bold"><p><span><span><span><i>too far from the bold element to be</i></span></span></span></p></div></div>"""
+
+
+def test_factors_of_a_page_in_one_plan(spark):
+    pages = spark.createDataFrame([(1, PAGE), (2, None), (3, " "), (4, "<p></p>")], "doc int, html string")
+    nodes = matching.html_nodes(pages, "doc", "html")
+    got = sections.risk_factors(nodes).collect()
+    assert [(r.heading, r.category, r.body, r.was_split) for r in got] == [("We may lose customers if our service does not keep up with their needs.", "Risks about our business in general", "They may leave us.\nAnd soon .\ntoo far from the bold element to be", True)]
+    assert {r.doc: r.reason for r in sections.without_text(pages, nodes).collect()} == {2: "no document", 3: "empty document", 4: "no text in the document"}
+
+
+def test_table_functions_give_the_rows_of_the_dataframe_forms(spark):
+    tables.register(spark)
+    pages = spark.createDataFrame([(1, PAGE), (2, None), (3, "<a>x</a>")], "id int, html string")
+    pages.createOrReplaceTempView("some_pages")
+    got = spark.sql("SELECT * FROM html_nodes(TABLE(some_pages) PARTITION BY id)")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, matching.html_nodes(pages, "id", "html").collect()), key=str)
+    lists = [("k", "left", 1, "a b c"), ("k", "left", 2, "x y"), ("k", "right", 7, "c b a"), ("k", "right", 8, "x z"), ("m", "left", 1, "a"), ("m", "right", 3, None)]
+    df = spark.createDataFrame(lists, "block string, side string, id bigint, text string")
+    df.createOrReplaceTempView("lists")
+    got = spark.sql("SELECT * FROM greedy_match(TABLE(lists) PARTITION BY block ORDER BY id, floor => 60)")
+    want = matching.greedy_match(df.where("side = 'left'"), df.where("side = 'right'"), "block", "id", "text", 60)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    edges = spark.createDataFrame([("a", 1, 2), ("a", 3, 2), ("b", 5, 5), ("b", None, 1)], "block string, a int, b int")
+    edges.createOrReplaceTempView("edges")
+    got = spark.sql("SELECT * FROM components(TABLE(edges) PARTITION BY block)")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, graph.components_in_blocks(edges).collect()))
+    with pytest.raises(AnalysisException, match="no column b; it has block, a"):
+        spark.sql("SELECT * FROM components(TABLE(SELECT block, a FROM edges) PARTITION BY block)")
