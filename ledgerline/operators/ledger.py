@@ -156,16 +156,28 @@ def cleaned(text: Column) -> Column:
     return F.trim(F.regexp_replace(mapped, r"(?U)\s+", " "))
 
 
-def without_boilerplate(text: Column, is_body: Column, marker: str = " [caution omitted] ") -> Column:
-    """A filing's own words. Body: from its first item on, up to the signatures, with the caution block replaced by a marker
-    only where its end is found too. Exhibit: without its first line and image names."""
-    squeezed = F.trim(F.regexp_replace(text, r"\s+", " "))
-    start = F.regexp_instr(squeezed, F.lit(r"(?i)\bitem \d{1,2}\.\d{2}\b"))
+#: What stands for a passage of caution that was left out. Fixed text.
+OMITTED = " [... standard forward-looking-statements caution omitted ...] "
+
+
+def without_boilerplate(text: Column, is_body: Column, patterns: dict[str, str]) -> Column:
+    """A filing's own words, by configured patterns.
+
+    Body: from `starts` on, up to `ends`; the first passage from `caution` to the next `caution_end` is replaced by OMITTED, and what ends it stays;
+    without an end nothing is. Exhibit: without what `head` and `image` match. White space is one space.
+    """
+    squeezed = F.regexp_replace(text, r"(?U)\s+", " ")
+    start = F.regexp_instr(squeezed, F.lit(patterns["starts"]))
     body = F.when(start > 0, F.substring(squeezed, start, F.length(squeezed))).otherwise(squeezed)
-    body = F.regexp_replace(body, r"\bSIGNATURES?\b.*$", "")
-    body = F.regexp_replace(body, r"(?i)(?:caution(?:ary)? (?:note|statement)s? (?:regarding|concerning|about) forward-looking statements\b).*?(?:except as required by law\.?)", marker)
-    exhibit = F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(text, r"^[^\n]*\n", "")), r"(?i)\S+\.(?:jpg|jpeg|png|gif)\b", " "), r"\s+", " ")
-    return F.trim(F.regexp_replace(F.when(is_body, body).otherwise(exhibit), r"\s+", " "))
+    stop = F.regexp_instr(body, F.lit(patterns["ends"]))
+    body = F.when(stop > 0, F.substring(body, F.lit(1), stop - 1)).otherwise(body)
+    first = F.regexp_instr(body, F.lit(patterns["caution"]))
+    opening = F.regexp_extract(body, patterns["caution"], 0)
+    rest = F.substring(body, first + F.length(opening), F.length(body))
+    end = F.regexp_instr(rest, F.lit(patterns["caution_end"]))
+    body = F.when((first > 0) & (end > 0), F.concat(F.substring(body, F.lit(1), first - 1), F.lit(OMITTED), F.substring(rest, end, F.length(rest)))).otherwise(body)
+    exhibit = F.regexp_replace(F.regexp_replace(squeezed, patterns["head"], ""), patterns["image"], "")
+    return F.trim(F.regexp_replace(F.when(is_body, body).otherwise(exhibit), r"(?U)\s+", " "))
 
 
 def partial_date(stated: Column) -> Column:

@@ -109,10 +109,11 @@ def multiset_difference(left: DataFrame, right: DataFrame, column: str) -> DataF
 
 
 def budget_rung(df: DataFrame, key: str, length: Column, rungs: list[int], budget: int) -> DataFrame:
-    """The largest excerpt length of the ladder whose total fits the budget, for each key; null if none does."""
+    """key, rung, fits: the largest excerpt length of the ladder whose total fits the budget, for each key; if none does, the shortest, which is flagged as not fitting."""
     ladder = F.explode(F.array(*(F.lit(r) for r in rungs))).alias("rung")
-    sums = df.select(key, length.alias("len")).select(key, "len", ladder).groupBy(key, "rung").agg(F.sum(F.least("len", "rung")).alias("total"))
-    return sums.groupBy(key).agg(F.max(F.when(F.col("total") <= budget, F.col("rung"))).alias("rung"))
+    sums = df.select(F.col(key).alias("key"), length.alias("len")).select("key", "len", ladder).groupBy("key", "rung").agg(F.sum(F.least("len", "rung")).alias("total"))
+    best = sums.groupBy("key").agg(F.max(F.when(F.col("total") <= budget, F.col("rung"))).alias("best"))
+    return best.select(F.col("key").alias(key), F.coalesce("best", F.lit(min(rungs))).alias("rung"), F.col("best").isNotNull().alias("fits"))
 
 
 def components_by_block(edges: DataFrame, block: str, ident: str) -> DataFrame:

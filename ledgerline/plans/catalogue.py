@@ -388,9 +388,9 @@ def staleness_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH l(rung) AS (VALUES (100), (200), (400), (800)), t AS (SELECT source, rung, sum(least(length(text), rung)) AS total FROM documents, l GROUP BY ALL)
-SELECT source, CAST(max(CASE WHEN total <= 20000 THEN rung END) AS BIGINT) AS rung FROM t GROUP BY source""")
+SELECT source, CAST(coalesce(max(CASE WHEN total <= 40000 THEN rung END), 100) AS BIGINT) AS rung, count(*) FILTER (total <= 40000) > 0 AS fits FROM t GROUP BY source""")
 def budget_ladder(spark: SparkSession, d: str) -> DataFrame:
-    return rel.budget_rung(table(spark, d, "documents"), "source", F.length("text"), [100, 200, 400, 800], 20_000).select("source", long("rung").alias("rung"))
+    return rel.budget_rung(table(spark, d, "documents"), "source", F.length("text"), [100, 200, 400, 800], 40_000).select("source", long("rung").alias("rung"), "fits")
 
 
 @query("""

@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import json
+import random
 import re
 
 import pytest
@@ -253,9 +254,29 @@ def test_one_key_pairs_in_linear_time(spark):
     assert got.where("right_id = left_id + 1").count() == 100_000
 
 
+BOILERPLATE = {"starts": r"(?i)\bitem \d{1,2}\.\d{2}\b", "ends": r"\bSIGNATURES?\b", "caution": r"(?i)caution(?:ary)? statements? regarding forward-looking statements", "caution_end": r"(?i)we do not undertake|except as required by law", "head": r"^EX-\S+ ", "image": r"(?i)\S+\.(?:jpg|jpeg|png|gif)\b"}
+
+
+def plain_boilerplate(text, is_body):
+    t = re.sub(r"\s+", " ", text)
+    if is_body:
+        if m := re.search(BOILERPLATE["starts"], t):
+            t = t[m.start() :]
+        if m := re.search(BOILERPLATE["ends"], t):
+            t = t[: m.start()]
+        if (m := re.search(BOILERPLATE["caution"], t)) and (n := re.compile(BOILERPLATE["caution_end"]).search(t, m.end())):
+            t = t[: m.start()] + ledger.OMITTED + t[n.start() :]
+    else:
+        t = re.sub(BOILERPLATE["image"], "", re.sub(BOILERPLATE["head"], "", t))
+    return re.sub(r"\s+", " ", t).strip()
+
+
 def test_boilerplate_and_partial_dates(spark):
-    text = "Header x Item 5.02 Departure. Cautionary statements regarding forward-looking statements we may be wrong except as required by law. Done. SIGNATURES signed"
-    row = spark.createDataFrame([(text, "EX-99\nA letter  photo.jpg here")], "a string, b string").select(ledger.without_boilerplate(F.col("a"), F.lit(True)).alias("a"), ledger.without_boilerplate(F.col("b"), F.lit(False)).alias("b"), ledger.cleaned(F.lit("\x93a\x94\u00a0 b\n")).alias("c")).first()
-    assert tuple(row) == ("Item 5.02 Departure. [caution omitted] Done.", "A letter here", "“a” b")
+    pieces = ["Cover\npage ", "Item 5.02 ", "Departure. ", "CAUTIONARY STATEMENTS regarding forward-looking statements ", "we may be wrong, ", "we do not undertake ", "except as required by law ", "SIGNATURES ", "signed", "EX-99 ", "photo.jpg ", "\u00a0\t"]
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 9))) for _ in range(150)]
+    df = spark.createDataFrame([(t, k % 2 == 0) for k, t in enumerate(texts)] + [(None, True)], "t string, body boolean")
+    got = df.select("t", "body", ledger.without_boilerplate(F.col("t"), F.col("body"), BOILERPLATE).alias("b"), ledger.cleaned(F.lit("\x93a\x94\u00a0 b\n")).alias("c")).collect()
+    assert all(r.b == (None if r.t is None else plain_boilerplate(r.t, r.body)) for r in got) and got[0].c == "“a” b"
     dates = spark.createDataFrame([("2023-02-06",), ("2022-07",), ("2022",), ("July 2022",), ("2022-7",), ("",), (None,)], "d string").select(ledger.partial_date(F.col("d")).alias("p")).select("p.*").collect()
     assert [(r.date, r.precision) for r in dates] == [("2023-02-06", "day"), ("2022-07", "month"), ("2022", "year")] + [(None, None)] * 4
