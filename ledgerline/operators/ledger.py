@@ -6,6 +6,7 @@ unless said otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -166,18 +167,26 @@ def without_boilerplate(text: Column, is_body: Column, patterns: dict[str, str])
     Body: from `starts` on, up to `ends`; the first passage from `caution` to the next `caution_end` is replaced by OMITTED, and what ends it stays;
     without an end nothing is. Exhibit: without what `head` and `image` match. White space is one space.
     """
-    squeezed = F.regexp_replace(text, r"(?U)\s+", " ")
-    start = F.regexp_instr(squeezed, F.lit(patterns["starts"]))
-    body = F.when(start > 0, F.substring(squeezed, start, F.length(squeezed))).otherwise(squeezed)
-    stop = F.regexp_instr(body, F.lit(patterns["ends"]))
-    body = F.when(stop > 0, F.substring(body, F.lit(1), stop - 1)).otherwise(body)
-    first = F.regexp_instr(body, F.lit(patterns["caution"]))
-    opening = F.regexp_extract(body, patterns["caution"], 0)
-    rest = F.substring(body, first + F.length(opening), F.length(body))
-    end = F.regexp_instr(rest, F.lit(patterns["caution_end"]))
-    body = F.when((first > 0) & (end > 0), F.concat(F.substring(body, F.lit(1), first - 1), F.lit(OMITTED), F.substring(rest, end, F.length(rest)))).otherwise(body)
-    exhibit = F.regexp_replace(F.regexp_replace(squeezed, patterns["head"], ""), patterns["image"], "")
-    return F.trim(F.regexp_replace(F.when(is_body, body).otherwise(exhibit), r"(?U)\s+", " "))
+    starts, ends, caution, caution_end = (F.lit(patterns[k]) for k in ("starts", "ends", "caution", "caution_end"))
+
+    def without_caution(body: Column) -> Column:
+        first, opening = F.regexp_instr(body, caution), F.regexp_extract(body, patterns["caution"], 0)
+        cut = lambda rest: let(F.regexp_instr(rest, caution_end), lambda end: F.when((first > 0) & (end > 0), F.concat(F.substring(body, F.lit(1), first - 1), F.lit(OMITTED), F.substring(rest, end, F.length(rest)))).otherwise(body))
+        return let(F.substring(body, first + F.length(opening), F.length(body)), cut)
+
+    def of_body(squeezed: Column) -> Column:
+        begun = let(F.regexp_instr(squeezed, starts), lambda at: F.when(at > 0, F.substring(squeezed, at, F.length(squeezed))).otherwise(squeezed))
+        ended = let(begun, lambda t: let(F.regexp_instr(t, ends), lambda at: F.when(at > 0, F.substring(t, F.lit(1), at - 1)).otherwise(t)))
+        return let(ended, without_caution)
+
+    of_exhibit = lambda squeezed: F.regexp_replace(F.regexp_replace(squeezed, patterns["head"], ""), patterns["image"], "")
+    own = let(F.regexp_replace(text, r"(?U)\s+", " "), lambda squeezed: F.when(is_body, of_body(squeezed)).otherwise(of_exhibit(squeezed)))
+    return F.trim(F.regexp_replace(own, r"(?U)\s+", " "))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once: a lambda's variable is never written out twice."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def partial_date(stated: Column) -> Column:

