@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import glyphs, values
-from ledgerline.operators import attribution, build, edits, graph, ledger, letters, matching, sections, similar, timeline
+from ledgerline.operators import attribution, build, edits, filings, graph, ledger, letters, matching, pack, sections, similar, timeline
 from ledgerline.plans.catalogue import query
 from ledgerline.sources.shipping import ship
 from ledgerline.sources.tables import table
@@ -194,10 +194,10 @@ def ledger_build(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def risk_factor_split(spark: SparkSession, d: str) -> DataFrame:
-    """The headings and links of pages as headings of categories and of risk factors, with their texts."""
+    """The headings of pages as those of risk factors, with their texts."""
     ship(spark)
     nodes = matching.html_nodes(table(spark, d, "pages"), "page_id", "html").withColumnRenamed("page_id", "doc")
-    marked = nodes.withColumns({"bold": F.col("in_link") | F.col("heading").isNotNull(), "italic": F.col("in_link")})
+    marked = nodes.withColumns({"bold": F.col("heading").isNotNull(), "italic": F.lit(True)})
     return sections.risk_factors(marked)
 
 
@@ -207,3 +207,59 @@ def glyph_texts(spark: SparkSession, d: str) -> DataFrame:
     plain = F.split(F.regexp_replace("text", r"[^ -~\n]", ""), "")
     raw = F.array_join(F.transform(plain, lambda c: F.when(c == "\n", c).otherwise(F.concat(F.lit("(cid:"), F.ascii(c) + F.col("doc_id") % 7 + 600, F.lit(")")))), "")
     return glyphs.decoded(table(spark, d, "documents").select(F.col("doc_id").alias("doc"), raw.alias("text")))
+
+
+@query("""
+WITH e AS (SELECT event_id, ['8-K', '10-K', 'DEF 14A', '8-K/A', 'UPLOAD'][event_id % 5 + 1] AS form, ['8-K', 'EX-99.1', 'EX-31.2', 'GRAPHIC', 'DEF 14A', '10-K', 'EX-101.SCH'][event_id % 7 + 1] AS kind, CASE WHEN event_id % 4 <> 0 THEN 'f' || event_id || '.htm' ELSE '' END AS file, CASE WHEN event_id % 3 = 0 THEN ['5.07'] ELSE ['2.02'] END AS items FROM events)
+SELECT event_id, replace(replace(form, ' ', '-'), '/', '-') || '_' || replace(replace(replace(upper(kind), ' ', '-'), '/', '-'), '.', '-') || '_whole' AS section_key,
+  CASE WHEN starts_with(kind, 'EX-101') OR starts_with(kind, 'GRAPHIC') THEN 'rendering asset' WHEN starts_with(kind, 'EX-31') THEN 'compliance boilerplate' WHEN file = '' THEN 'no filename' ELSE 'kept' END AS attachment,
+  form = 'UPLOAD' OR starts_with(kind, replace(form, '/A', '')) OR kind = 'EX-99.1' AS target, starts_with(form, '8-K') AND list_contains(items, '5.07') AS vote,
+  'https://archive.test/' || event_id || '/' || replace('00-' || event_id, '-', '') || '/' || file AS url, 2020 + event_id % 6 BETWEEN 2021 AND 2023 AS in_window FROM events JOIN e USING (event_id)""")
+def filing_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Events as documents of filings: their keys, addresses, and which of them are kept, read, or tell of a vote."""
+    k = F.col("event_id")
+    among = lambda values: F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
+    form, kind = among(["8-K", "10-K", "DEF 14A", "8-K/A", "UPLOAD"]), among(["8-K", "EX-99.1", "EX-31.2", "GRAPHIC", "DEF 14A", "10-K", "EX-101.SCH"])
+    file, items = F.when(k % 4 != 0, F.concat(F.lit("f"), k, F.lit(".htm"))).otherwise(""), F.when(k % 3 == 0, F.array(F.lit("5.07"))).otherwise(F.array(F.lit("2.02")))
+    url = filings.archive_url("https://archive.test/{company}/{accession}/{filename}", F.lpad(k.cast("string"), 12, "0"), F.concat(F.lit("00-"), k), file)
+    return table(spark, d, "events").select("event_id", filings.section_key(form, kind).alias("section_key"), filings.kept_attachment(kind, file)["reason"].alias("attachment"), filings.is_target(form, kind).alias("target"), filings.is_vote(form, items).alias("vote"), url.alias("url"), filings.in_window(2020 + k % 6, 2021, 2023).alias("in_window"))
+
+
+@query(r"""
+SELECT client_id, regexp_full_match(split_part(coalesce(name, ''), ' ', 1), '[A-Za-z][A-Za-z0-9.\-]{0,9}') AS ticker, coalesce(regexp_matches(email, '(?i)\b(example\.(?:com|org|net)|your[._ ]?name|your[._ ]?email|name@host)\b'), false) AS placeholder,
+  CASE WHEN client_id BETWEEN 1 AND 10 THEN ['one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten'][client_id] ELSE CAST(client_id AS VARCHAR) END || '-year' AS span,
+  CASE client_id % 3 WHEN 0 THEN 'hit max_tokens (100), response cut off' WHEN 1 THEN CASE WHEN city IS NULL THEN 'no parsed output' END ELSE 'model declined: ' || substr(coalesce(name, ''), 1, 200) END AS problem FROM clients""")
+def record_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Clients as identities, tickers and recorded answers."""
+    k = F.col("client_id")
+    stop = F.when(k % 3 == 0, "max_tokens").when(k % 3 == 1, "end_turn").otherwise("refusal")
+    return table(spark, d, "clients").select("client_id", filings.is_ticker(F.split_part(F.coalesce("name", F.lit("")), F.lit(" "), F.lit(1))).alias("ticker"), filings.is_placeholder(F.col("email")).alias("placeholder"), filings.span_words(k).alias("span"), filings.record_problem(stop, F.col("city"), F.col("name"), 100).alias("problem"))
+
+
+def sale_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of sales as facts, each third without a source."""
+    s, k = table(spark, d, "sale_lines").dropDuplicates(["sale_id", "line_no"]), F.col("sale_id")
+    has = lambda c: F.when((k + F.col("line_no")) % 3 != 0, c)
+    return s.select(F.concat(F.when(k % 2 == 0, "EVT").otherwise("SEG"), F.lit("-FY"), F.lit(2020) + k % 3, F.lit("-"), k, F.lit("."), F.col("line_no")).alias("id"), F.lit("events").alias("field"), (F.lit(2020) + k % 3).alias("fiscal_year"), F.lit("{}").alias("value"), F.col("flag").alias("quote"), (k % 4 != 0).alias("verified"), F.lit("why").alias("why"), F.when(k % 5 == 0, "low").otherwise("high").alias("confidence"), F.lit("").alias("reasons"), has(F.lit("8-K")).alias("form"), has(F.concat(F.lit("a"), F.coalesce("vendor_id", F.lit(0)))).alias("accession"), F.lit("body").alias("section_key"), F.date_format("shipped_at", "yyyy-MM-dd").alias("filing_date"), "vendor_id")
+
+
+_SALE_FACTS = """
+WITH s AS (SELECT DISTINCT sale_id AS k, line_no FROM sale_lines), f AS (
+  SELECT k, CASE WHEN k IS NULL OR line_no IS NULL THEN NULL WHEN k % 2 = 0 THEN 'EVT' ELSE 'SEG' END AS code, 2020 + k % 3 AS fy, CASE WHEN k IS NOT NULL AND line_no IS NOT NULL THEN 'FY' || (2020 + k % 3) END AS year, coalesce((k + line_no) % 3 <> 0, false) AS has FROM s)"""
+
+
+@query(_SALE_FACTS + """
+SELECT code, year, count(*) AS n FROM f GROUP BY ALL""")
+def slice_census(spark: SparkSession, d: str) -> DataFrame:
+    """How many facts there are of each field and year."""
+    return pack.slice_census(sale_facts(spark, d))
+
+
+@query(_SALE_FACTS + """
+SELECT fy AS fiscal_year, count(*) FILTER (has) AS n_kept, count(*) FILTER (NOT has) AS n_excluded, count(*) FILTER (has AND k % 5 = 0) AS n_low, count(*) FILTER (has AND k % 4 = 0) AS n_unverified FROM f GROUP BY 1""")
+def pack_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The facts of each year that are packed, and those that are left out for want of a source."""
+    kept, excluded = pack.packed(sale_facts(spark, d).drop("vendor_id"))
+    n = kept.groupBy("fiscal_year").agg(F.count("*").alias("n_kept"), F.count("confidence").alias("n_low"), F.count("quote_unverified").alias("n_unverified"))
+    out = n.join(excluded.groupBy("fiscal_year").agg(F.count("*").alias("n_excluded")), "fiscal_year", "full")
+    return out.select("fiscal_year", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_kept", "n_excluded", "n_low", "n_unverified")))
