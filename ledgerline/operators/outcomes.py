@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import token_sort_ratio
+from ledgerline.operators.matching import greedy_match
+from ledgerline.sources.shipping import ship
+
 
 def match_outcome(current: DataFrame, prior: DataFrame, pairs: DataFrame, block: str, same_at: float, body_at: float) -> DataFrame:
     """(block, left_ord, right_ord, outcome, changed) of every row of both lists: a full outer join by way of the pairs.
@@ -23,6 +27,24 @@ def match_outcome(current: DataFrame, prior: DataFrame, pairs: DataFrame, block:
     return seen.unionByName(gone.select(block, none.cast(now.schema["left_ord"].dataType).alias("left_ord"), "right_ord", F.lit("removed").alias("outcome"), none.cast("string").alias("changed")))
 
 
+def list_diff(current: DataFrame, prior: DataFrame, block: str, same_at: float = 95, body_at: float = 90, floor: float = 60) -> DataFrame:
+    """`match_outcome` of two lists (block, ord, heading, body) with heading_score and body_score: headings are matched one to one, best first, and
+    the bodies of a pair are compared."""
+    ship(current.sparkSession)
+    pairs = greedy_match(current, prior, block, "ord", "heading", floor)
+    said = lambda df, side: df.select(block, F.col("ord").cast("bigint").alias(f"{side}_ord"), F.coalesce("body", F.lit("")).alias(f"{side}_body"))
+    both = pairs.join(said(current, "left"), [block, "left_ord"]).join(said(prior, "right"), [block, "right_ord"])
+    scored = both.select(block, "left_ord", "right_ord", "score", token_sort_ratio("left_body", "right_body").alias("body_score"))
+    out = match_outcome(current.withColumn("ord", F.col("ord").cast("bigint")), prior.withColumn("ord", F.col("ord").cast("bigint")), scored, block, same_at, body_at)
+    shown = scored.select(block, "left_ord", F.round("score", 1).alias("heading_score"), F.round("body_score", 1).alias("body_score"))
+    return out.join(shown, [block, "left_ord"], "left")
+
+
+def category_counts(diffs: DataFrame, by: str) -> DataFrame:
+    """`by`, unchanged, reworded, added, removed: how many rows of each outcome."""
+    return diffs.groupBy(by).agg(*(F.count_if(F.col("outcome") == kind).alias(kind) for kind in ("unchanged", "reworded", "added", "removed")))
+
+
 def outcome_problems(outcome: DataFrame, current: DataFrame, prior: DataFrame, block: str, least_share: float = 0.4) -> DataFrame:
     """(block, problem): blocks where nothing or too little of the current list is matched, or whose counts don't add up."""
     tally = outcome.groupBy(block).agg(*(F.count_if(F.col("outcome").isin(*kinds)).alias(name) for name, kinds in {"matched": ("unchanged", "reworded"), "added": ("added",), "removed": ("removed",)}.items()))

@@ -324,13 +324,15 @@ def html_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT source, doc_id, n_chars, CAST((length(text) - length(replace(text, ' the ', ''))) / 5 AS BIGINT) AS score FROM documents), m AS (SELECT *, max(score) OVER (PARTITION BY source) AS peak FROM a)
-SELECT source, arg_min(doc_id, (n_chars, doc_id)) AS doc_id, max(peak) AS peak FROM m WHERE score >= 0.9 * peak GROUP BY source""")
+WITH a AS (SELECT source || lang AS source, doc_id, n_chars, CAST((length(text) - length(replace(text, ' the ', ''))) / 5 AS BIGINT) AS score FROM documents), m AS (SELECT *, max(score) OVER (PARTITION BY source) AS peak FROM a)
+SELECT source, CASE WHEN max(peak) > 0 THEN arg_min(doc_id, (n_chars, doc_id)) FILTER (score >= 0.9 * peak) ELSE arg_min(doc_id, (-n_chars, doc_id)) END AS doc_id, max(peak) AS peak FROM m GROUP BY source""")
 def anchor_select(spark: SparkSession, d: str) -> DataFrame:
     hits = long((F.length("text") - F.length(F.replace("text", F.lit(" the "), F.lit("")))) / 5)
-    scored = table(spark, d, "documents").select("source", "doc_id", "n_chars", hits.alias("score"))
+    scored = table(spark, d, "documents").select(F.concat("source", "lang").alias("source"), "doc_id", "n_chars", hits.alias("score"))
     peak = scored.groupBy("source").agg(F.max("score").alias("peak"))  # a grouped maximum, not a window: a hot source stays split
-    return scored.join(peak, "source").where("score >= 0.9 * peak").groupBy("source").agg(F.min_by("doc_id", F.struct("n_chars", "doc_id")).alias("doc_id"), F.max("peak").alias("peak"))
+    # among nine tenths of the peak the tightest; where nothing has an anchor, the largest
+    rank = F.when(F.col("peak") == 0, F.struct((-F.col("n_chars")).alias("n_chars"), "doc_id")).when(F.col("score") >= 0.9 * F.col("peak"), F.struct("n_chars", "doc_id"))
+    return scored.join(peak, "source").groupBy("source").agg(F.min_by("doc_id", rank).alias("doc_id"), F.max("peak").alias("peak"))
 
 
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS since_signup FROM events")

@@ -71,6 +71,13 @@ def match_outcome(spark: SparkSession, d: str) -> DataFrame:
     return outcomes.match_outcome(*lists(spark, d), "p_brand", 95, 90)
 
 
+@query()
+def list_diff(spark: SparkSession, d: str) -> DataFrame:
+    """Parts with odd keys against those with even keys among each twenty: unchanged, reworded, added, removed, by their own names and makers."""
+    p = table(spark, d, "part").select(F.floor(F.col("p_partkey") / 20).alias("block"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("heading"), F.concat_ws(" ", "p_name", "p_brand").alias("body"))
+    return outcomes.list_diff(p.where("ord % 2 = 1"), p.where("ord % 2 = 0"), "block")
+
+
 @query(_LISTS + """, n AS (SELECT c.p_brand, count(*) AS n_now, count(m.l) AS matched FROM c LEFT JOIN m ON m.l = c.p_partkey GROUP BY 1)
 SELECT p_brand, CASE WHEN matched = 0 THEN 'nothing matched' ELSE 'little matched' END AS problem FROM n WHERE matched < 0.4 * n_now""")
 def outcome_problems(spark: SparkSession, d: str) -> DataFrame:

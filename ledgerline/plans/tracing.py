@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import glyphs, values
-from ledgerline.operators import attribution, build, edits, filings, graph, ledger, letters, matching, pack, sections, similar, timeline
+from ledgerline.operators import attribution, build, edits, filings, graph, ledger, letters, matching, pack, sections, similar, timeline, triage
 from ledgerline.plans.catalogue import query
 from ledgerline.sources.shipping import ship
 from ledgerline.sources.tables import table
@@ -263,3 +263,16 @@ def pack_counts(spark: SparkSession, d: str) -> DataFrame:
     n = kept.groupBy("fiscal_year").agg(F.count("*").alias("n_kept"), F.count("confidence").alias("n_low"), F.count("quote_unverified").alias("n_unverified"))
     out = n.join(excluded.groupBy("fiscal_year").agg(F.count("*").alias("n_excluded")), "fiscal_year", "full")
     return out.select("fiscal_year", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_kept", "n_excluded", "n_low", "n_unverified")))
+
+
+@query("""
+WITH d AS (SELECT doc_id // 3 AS accession, strpos(lower(text), 'token =') AS m1, strpos(lower(text), 'license') AS m2, strpos(lower(text), '@mail1') AS q, strpos(lower(text), ' the ') AS r FROM documents),
+s AS (SELECT accession, count(*) AS n_docs, bool_or(m1 BETWEEN 1 AND 800 OR m2 BETWEEN 1 AND 800) AS hard, bool_or(m1 > 0 OR m2 > 0) AS weak, bool_or(q > 0) AS told, bool_or(r BETWEEN 1 AND 800) AS usual FROM d GROUP BY 1)
+SELECT accession, n_docs, CASE WHEN NOT hard AND NOT told AND usual AND NOT weak THEN 'date_only' ELSE 'read' END AS decision,
+  CASE WHEN hard AND told THEN 'events,investor_qa' WHEN hard THEN 'events' WHEN told THEN 'investor_qa' WHEN usual AND NOT weak THEN '' ELSE 'events' END AS routes FROM s""")
+def triage_filings(spark: SparkSession, d: str) -> DataFrame:
+    """Three documents are a filing: which are read, and for what."""
+    docs = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 3).alias("accession"), "text")
+    patterns = {"secret": ["token =", "license"], "mail": ["@mail1"], "usual": [" the "]}
+    got = triage.triage(docs.select("accession", F.lit(2022).alias("fiscal_year")).distinct(), docs, patterns, 800, {"material": ["secret"], "narrative": ["mail"], "routine": ["usual"]})
+    return got.select("accession", "n_docs", "decision", F.array_join("routes", ",").alias("routes"))

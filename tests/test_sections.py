@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ledgerline.functions import tables
+from ledgerline.functions import tables, text
 from ledgerline.functions.register import register
 from ledgerline.operators import graph, matching, outcomes, sections
 
@@ -54,6 +54,21 @@ def test_outcomes_add_up(spark):
     assert outcomes.match_outcome(now.limit(0), prior.limit(0), pairs.limit(0), "k", 95, 90).count() == 0
 
 
+def test_list_diff_is_chained(spark):
+    long = "we may lose customers if our service does not keep up with their needs"
+    now = [("a", 0, long, "body one of many words"), ("a", 1, "a new risk about the weather", "x"), ("a", 2, "our systems may fail at any time", "entirely other words here"), ("b", 0, "alone", None)]
+    prior = [("a", 5, "with their needs we may lose customers if our service does not keep up", "body one of many words"), ("a", 6, "our systems might fail at any time", "the text of before"), ("a", 7, "gone now", "y")]
+    kind = "block string, ord int, heading string, body string"
+    diffs = outcomes.list_diff(spark.createDataFrame(now, kind), spark.createDataFrame(prior, kind), "block")
+    got = {(r.block, r.left_ord, r.right_ord): (r.outcome, r.changed, r.heading_score, r.body_score) for r in diffs.collect()}
+    score = lambda a, b: round(text.token_sort(a, b), 1)
+    assert got == {
+        ("a", 0, 5): ("unchanged", None, 100.0, 100.0), ("a", 2, 6): ("reworded", "heading and body", score(now[2][2], prior[1][2]), score(now[2][3], prior[1][3])),
+        ("a", 1, None): ("added", None, None, None), ("b", 0, None): ("added", None, None, None), ("a", None, 7): ("removed", None, None, None),
+    }
+    assert {tuple(r) for r in outcomes.category_counts(diffs, "block").collect()} == {("a", 1, 1, 1, 1), ("b", 0, 0, 1, 0)}
+
+
 def test_calendar_reports(spark):
     filings = spark.createDataFrame([(2020, dt.date(2020, 6, 25)), (2020, dt.date(2020, 7, 15)), (2022, None)], "year int, report date")
     assert sorted(r.year for r in outcomes.missing_years(filings, "year", 2019, 2022).collect()) == [2019, 2021]
