@@ -50,9 +50,9 @@ class WaveletMatrix:
 
 
 def event_time(id_col: str = "doc_id") -> Column:
-    """60 * floor((id + crc32(id) mod 4000) / 6), seconds, exact for every 64-bit id; null where the id is no integer."""
+    """60 * floor((id + crc32(id) mod 4000) / 6), seconds, exact; null where the id is no integer or the time has more than 64 bits."""
     moved = F.col(id_col).try_cast("decimal(20,0)") + F.crc32(F.col(id_col).cast("string")) % 4000
-    return ((moved - F.pmod(moved, F.lit(6))) / 6 * 60).cast("bigint")
+    return ((moved - F.pmod(moved, F.lit(6))) / 6 * 60).try_cast("bigint")
 
 
 def start_of(time: Column, width: int) -> Column:

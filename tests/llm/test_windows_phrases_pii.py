@@ -59,10 +59,10 @@ def test_rolling_equals_brute_force(spark, spread):
 
 
 def test_event_time(spark):
-    ids = [0, 1, 7, 123456789, -5, -4000, 2**62, None]
+    ids = [0, 1, 7, 123456789, -5, -4000, 2**59, -(2**59), None]
     got = {r.doc_id: r.t for r in spark.createDataFrame([(i,) for i in ids], "doc_id bigint").select("doc_id", rolling.event_time().alias("t")).collect()}
     assert got == {i: None if i is None else 60 * ((i + zlib.crc32(str(i).encode()) % 4000) // 6) for i in ids}
-    assert spark.createDataFrame([("no number",)], "doc_id string").select(rolling.event_time()).first()[0] is None
+    assert [r[0] for r in spark.createDataFrame([("no number",), (str(2**62),)], "doc_id string").select(rolling.event_time()).collect()] == [None, None]
 
 
 def test_rolling_query_and_edge_cases(spark):
@@ -179,17 +179,17 @@ def test_long_texts_take_linear_time(text):
 
 def test_marginals_equal_sums_over_all_labellings():
     rng = np.random.default_rng(2)
-    text = "call +1 (918) 555-3922 or 918.555.3922 x [at] y2 918.555.3922"
+    text = "call +1 (918) 555-3922 or 918.555.3922 x y2 918.555.3922"
     graph = pii.Graph([text], [pii.pattern_spans(text)])
-    assert len(graph.nodes) == 7 and [len(e) for e in graph.edges] == [3, 1, 1]
+    assert len(graph.nodes) == 6 and [len(e) for e in graph.edges] == [3, 1, 1]
     n = len(pii.KINDS) + 1
     skip = [w + w.T for w in rng.normal(size=(2, n, n))]
     field = pii.Field(rng.normal(size=(pii.N_FEATURES, n)), [rng.normal(size=(n, n)), *skip])
-    own, total = graph.scores(field.unary), np.zeros((7, n))
+    own, total = graph.scores(field.unary), np.zeros((6, n))
     for labels in itertools.product(*[range(n) if k < 0 else [k] for k in graph.label]):
         score = sum(own[k, x] for k, x in enumerate(labels) if graph.label[k] < 0)
         score += sum(w[labels[i], labels[j]] for w, e in zip(field.edge, graph.edges, strict=True) for i, j in e)
-        total[range(7), labels] += np.exp(score)
+        total[range(6), labels] += np.exp(score)
     assert np.allclose(pii.marginals(field, graph, rounds=300), total / total.sum(1, keepdims=True), atol=1e-3)
 
 
