@@ -9,6 +9,7 @@ Defined cases: a text without ids stays as it is (and is judged too); of equally
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,34 +31,23 @@ def readable(text: str) -> bool:
     return bool(text) and sum(f" {w} " in low for w in COMMON) >= LEAST_WORDS and printable > LEAST_PRINTABLE * len(text) and text.count("�") < MOST_UNKNOWN * len(text)
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_unknown", T.LongType()), T.StructField("readable", T.BooleanType())]))
-def spelled(raw: pd.Series, offset: pd.Series) -> pd.DataFrame:
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("shift", T.IntegerType()), T.StructField("n_unknown", T.LongType()), T.StructField("readable", T.BooleanType())]))
+def spelled(raw: pd.Series) -> pd.DataFrame:
     out = []
-    for text, moved in zip(raw, offset, strict=True):
+    for text in raw:
         if text is None:
-            out.append((None, None, None))
+            out.append((None, None, None, None))
             continue
-        unknown = 0
-
-        def letter(m: re.Match) -> str:
-            nonlocal unknown
-            glyph = int(m[1])
-            if glyph in LIGATURES:
-                return LIGATURES[glyph]
-            if 0x20 <= (code := glyph + int(moved)) <= 0x7E:  # noqa: B023
-                return chr(code)
-            unknown += 1
-            return f"�[cid:{glyph}]"
-
-        said = re.sub(GLYPH, letter, text)
-        out.append((said, unknown, readable(said)))
-    return pd.DataFrame(out, columns=["text", "n_unknown", "readable"])
+        counts = Counter(re.findall(GLYPH, text))
+        blank = min(((-n, int(g)) for g, n in counts.items()), default=None)
+        shift = None if blank is None else 32 - blank[1]
+        letters = {g: LIGATURES.get(int(g)) or (chr(int(g) + shift) if 0x20 <= int(g) + shift <= 0x7E else f"�[cid:{int(g)}]") for g in counts}
+        said = re.sub(GLYPH, lambda m: letters[m[1]], text)  # noqa: B023
+        out.append((said, shift, sum(n for g, n in counts.items() if letters[g].startswith("�")), readable(said)))
+    return pd.DataFrame(out, columns=["text", "shift", "n_unknown", "readable"]).astype({"shift": "Int32", "n_unknown": "Int64"})
 
 
 def decoded(docs: DataFrame) -> DataFrame:
     """doc, text, shift, n_unknown, readable of raw texts (doc, text); shift is null where nothing had to be decoded."""
     ship(docs.sparkSession)
-    glyphs = docs.select("doc", F.explode(F.regexp_extract_all("text", F.lit(GLYPH), F.lit(1))).alias("g")).groupBy("doc", F.col("g").cast("int").alias("g")).agg(F.count("*").alias("n"))
-    books = glyphs.groupBy("doc").agg(F.min_by("g", F.struct(-F.col("n"), F.col("g"))).alias("blank"))
-    known = docs.select("doc", "text").join(books, "doc", "left").withColumn("shift", 32 - F.col("blank"))
-    return known.withColumn("s", spelled("text", F.coalesce("shift", F.lit(0)))).select("doc", "s.text", "shift", "s.n_unknown", "s.readable")
+    return docs.select("doc", spelled("text").alias("s")).select("doc", "s.*")

@@ -9,6 +9,10 @@ a ratio by common tokens asks for shared tokens of at least X(1-e)/(1+e) charact
 A ratio by edits allows 2eX/(1-e) of them; an edit destroys four trigrams of the padded tokens at most, so among the rarest 4*edits + 1 of either side, one is shared;
 and the numbers of letters of the two texts differ by the edits at most.
 
+Rows of one token text and the same sources have the same partners, so only their representatives are compared (`representatives`: the smallest id), and what
+comes out are pairs of representatives: a text that a thousand rows share costs what one does, and gives no million pairs. Such rows are no
+pairs of each other, as they share a source; those without any source are, and each of them has a pair with its representative.
+
 Defined cases: texts without tokens are like nothing; null sources are none; rows with a null id are ignored; repeated rows of an id count as one; equal texts give 100.
 """
 
@@ -71,13 +75,29 @@ def close_pairs(left: list[str], right: list[str], floor: float) -> list[tuple[i
 def _rows(df: DataFrame, extra: list[str]) -> DataFrame:
     ship(df.sparkSession)
     rows = df.where("id is not null").dropDuplicates(["id"])
-    sources = F.coalesce(F.array_compact(F.col("sources").cast("array<string>")), F.array().cast("array<string>"))
+    sources = F.array_sort(F.array_distinct(F.coalesce(F.array_compact(F.col("sources").cast("array<string>")), F.array().cast("array<string>"))))
     return rows.select("id", *extra, token_text(F.col("text")).alias("key"), sources.alias("sources")).where("key <> ''")
 
 
+def representatives(df: DataFrame) -> DataFrame:
+    """(block,) id, rep of every row that may have partners: the smallest id of the rows with its token text and sources (and block, if there is such a column)."""
+    extra = ["block"] if "block" in df.columns else []
+    rows = _rows(df.where("block is not null") if extra else df, extra)
+    least = rows.groupBy(*extra, "key", "sources").agg(F.min("id").alias("rep"))
+    return rows.join(least, [*extra, "key", "sources"]).select(*extra, "id", "rep")
+
+
+def _alone(rows: DataFrame, extra: list[str]) -> DataFrame:
+    """Pairs of equal texts without a source: each row and its representative."""
+    bare = rows.where("size(sources) = 0")
+    least = bare.groupBy(*extra, "key").agg(F.min("id").alias("a"))
+    return bare.join(least, [*extra, "key"]).where("id <> a").select(*extra, "a", F.col("id").alias("b"), F.lit(100.0).alias("score"))
+
+
 def in_blocks(df: DataFrame, floor: float, tile: int = TILE) -> DataFrame:
-    """block, a, b, score: pairs a < b of rows (id, block, text, sources) of one non-null block, no common source, ratio `floor` or more."""
-    rows = _rows(df.where("block is not null"), ["block"])
+    """block, a, b, score: pairs a < b of representatives of the rows (id, block, text, sources) of one non-null block, no common source, ratio `floor` or more."""
+    every = _rows(df.where("block is not null"), ["block"])
+    rows = every.groupBy("block", "key", "sources").agg(F.min("id").alias("id"))
     sizes = rows.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("groups"))
     dealt = rows.join(sizes, "block").withColumn("g", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
     tiled = dealt.withColumn("h", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("block", F.least("g", "h").alias("i"), F.greatest("g", "h").alias("j"), "g", "id", "key", "sources")
@@ -95,7 +115,7 @@ def in_blocks(df: DataFrame, floor: float, tile: int = TILE) -> DataFrame:
         a, b = [min(p[:2]) for p in pairs], [max(p[:2]) for p in pairs]
         return pa.table([pa.array([key[0].as_py()] * len(pairs), key[0].type), pa.array(a, table["id"].type), pa.array(b, table["id"].type), pa.array([p[2] for p in pairs], pa.float64())], ["block", "a", "b", "score"])
 
-    return tiled.groupBy("block", "i", "j").applyInArrow(compare, f"block {block}, a {kind}, b {kind}, score double")
+    return tiled.groupBy("block", "i", "j").applyInArrow(compare, f"block {block}, a {kind}, b {kind}, score double").union(_alone(every, ["block"]))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -136,14 +156,15 @@ def candidates(texts: DataFrame, floor: float) -> DataFrame:
 
 
 def across(df: DataFrame, floor: float) -> DataFrame:
-    """a, b, score: pairs a < b of rows (id, text, sources), no common source, ratio `floor` or more."""
+    """a, b, score: pairs a < b of representatives of the rows (id, text, sources), no common source, ratio `floor` or more."""
     if floor < LOWEST:
         raise ValueError(f"without blocks the floor is {LOWEST} at least")
-    rows = _rows(df, [])
+    every = _rows(df, [])
+    rows = every.groupBy("key", "sources").agg(F.min("id").alias("id"))
     texts = rows.groupBy("key").agg(F.min("id").alias("id"))
     x, y = texts.select(F.col("id").alias("a"), F.col("key").alias("ka")), texts.select(F.col("id").alias("b"), F.col("key").alias("kb"))
     like = candidates(texts, floor).join(x, "a").join(y, "b").withColumn("score", ratio("ka", "kb")).where(F.col("score") >= floor).select("ka", "kb", "score")
     equal = texts.select(F.col("key").alias("ka"), F.col("key").alias("kb"), F.lit(100.0).alias("score"))
     first, second = (rows.select(F.col("id").alias(f"i{s}"), F.col("key").alias(f"k{s}"), F.col("sources").alias(f"s{s}")) for s in "ab")
     pairs = like.union(equal).join(first, "ka").join(second, "kb").where("ia <> ib and (ka <> kb or ia < ib) and not arrays_overlap(sa, sb)")
-    return pairs.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "score")
+    return pairs.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "score").union(_alone(every, []))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import graph, ledger, similar
+from ledgerline.sources.stages import Stages
 
 #: Ratios from which reports of a date are one event, or possibly one, and from which undated ones are listed. Fixed values.
 MERGE, POSSIBLE, UNDATED = 55, 45, 95
@@ -46,13 +47,20 @@ def _compared(rows: DataFrame) -> DataFrame:
 
 
 def same_date_pairs(rows: DataFrame) -> DataFrame:
-    """a, b, score, merges: pairs of dated reports of one date and different filings that are one event, or possibly one."""
-    found = similar.in_blocks(_compared(dated(rows)), POSSIBLE)
-    return found.select(F.col("block").alias("date"), "a", "b", "score", (F.col("score") >= MERGE).alias("merges"))
+    """date, a, b, score, merges, member: pairs of dated reports of one date and different filings that are one event, or possibly one.
+
+    Reports of one text and filing have the same partners, so the first of them stands for all; if it is one event with another, the rest follow it (member).
+    """
+    compared = _compared(dated(rows))
+    found = Stages(rows.sparkSession).keep(similar.in_blocks(compared, POSSIBLE).withColumn("merges", F.col("score") >= MERGE))
+    ends = found.where("merges").select("block", F.explode(F.array("a", "b")).alias("rep")).distinct()
+    follow = similar.representatives(compared).where("id <> rep").join(ends, ["block", "rep"]).select("block", F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(100.0).alias("score"), F.lit(True).alias("merges"), F.lit(True).alias("member"))
+    both = found.select("block", "a", "b", "score", "merges", F.lit(False).alias("member")).union(follow)
+    return both.withColumnRenamed("block", "date")
 
 
 def undated_pairs(rows: DataFrame) -> DataFrame:
-    """a, b, score: near-equal undated reports of different filings, never merged."""
+    """a, b, score: near-equal undated reports of different filings, never merged; the first of one text and filing stands for all."""
     return similar.across(_compared(dated(rows).where(F.col("date").isNull())), UNDATED)
 
 
