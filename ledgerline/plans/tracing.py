@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import glyphs, values
+from ledgerline.functions import glyphs, tables, values
 from ledgerline.operators import attribution, build, edits, filings, graph, ledger, letters, matching, pack, sections, similar, timeline, triage
 from ledgerline.plans.catalogue import query
 from ledgerline.sources.shipping import ship
@@ -201,12 +201,18 @@ def risk_factor_split(spark: SparkSession, d: str) -> DataFrame:
     return sections.risk_factors(marked)
 
 
-@query()
+@query(r"""
+WITH d AS (SELECT doc_id AS doc, doc_id % 7 + 600 AS font, regexp_replace(text, '[^ -~\n]', '', 'g') AS plain FROM documents),
+c AS (SELECT doc, x, count(*) AS n FROM (SELECT doc, unnest(string_split(plain, '')) AS x FROM d) WHERE x <> chr(10) AND x <> '' GROUP BY ALL),
+m AS (SELECT doc, arg_min(ascii(x), (-n, ascii(x))) AS blank FROM c GROUP BY doc),
+j AS (SELECT d.doc, plain, font, blank FROM d LEFT JOIN m USING (doc))
+SELECT doc, CASE WHEN blank IS NULL THEN plain ELSE array_to_string(list_transform(string_split(plain, ''), lambda x: CASE WHEN x = chr(10) OR x = '' THEN x WHEN ascii(x) - blank + 32 BETWEEN 32 AND 126 THEN chr(CAST(ascii(x) - blank + 32 AS INTEGER)) ELSE chr(65533) || '[cid:' || (ascii(x) + font) || ']' END), '') END AS text,
+  CAST(32 - blank - font AS INTEGER) AS shift, CASE WHEN plain IS NOT NULL THEN coalesce(len(list_filter(string_split(plain, ''), lambda x: x <> chr(10) AND x <> '' AND NOT ascii(x) - blank + 32 BETWEEN 32 AND 126)), 0) END AS n_unknown FROM j""")
 def glyph_texts(spark: SparkSession, d: str) -> DataFrame:
     """Documents spelled out in glyph ids, each with a font of its own, and read again."""
     plain = F.split(F.regexp_replace("text", r"[^ -~\n]", ""), "")
-    raw = F.array_join(F.transform(plain, lambda c: F.when(c == "\n", c).otherwise(F.concat(F.lit("(cid:"), F.ascii(c) + F.col("doc_id") % 7 + 600, F.lit(")")))), "")
-    return glyphs.decoded(table(spark, d, "documents").select(F.col("doc_id").alias("doc"), raw.alias("text")))
+    raw = F.array_join(F.transform(plain, lambda c: F.when(c.isin("\n", ""), c).otherwise(F.concat(F.lit("(cid:"), F.ascii(c) + F.col("doc_id") % 7 + 600, F.lit(")")))), "")
+    return glyphs.decoded(table(spark, d, "documents").select(F.col("doc_id").alias("doc"), raw.alias("text"))).drop("readable")
 
 
 @query("""
@@ -276,3 +282,24 @@ def triage_filings(spark: SparkSession, d: str) -> DataFrame:
     patterns = {"secret": ["token =", "license"], "mail": ["@mail1"], "usual": [" the "]}
     got = triage.triage(docs.select("accession", F.lit(2022).alias("fiscal_year")).distinct(), docs, patterns, 800, {"material": ["secret"], "narrative": ["mail"], "routine": ["usual"]})
     return got.select("accession", "n_docs", "decision", F.array_join("routes", ",").alias("routes"))
+
+
+@query("""
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT block, a, b FROM (SELECT client_id // 100 AS block, client_id AS a, master_id AS b FROM clients UNION ALL SELECT client_id // 100, master_id, client_id FROM clients) WHERE a IS NOT NULL AND b IS NOT NULL
+), reach AS (SELECT * FROM edges UNION SELECT r.block, r.a, e.b FROM reach r JOIN edges e ON e.block = r.block AND e.a = r.b)
+SELECT block, a AS node, min(b) AS root FROM reach GROUP BY ALL""")
+def components_in_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Clients joined by their master within each hundred, by the table function."""
+    tables.register(spark)
+    edges = table(spark, d, "clients").select(F.floor(F.col("client_id") / 100).alias("block"), F.col("client_id").alias("a"), F.col("master_id").alias("b"))
+    return spark.sql("SELECT * FROM components(TABLE({edges}) PARTITION BY block)", edges=edges)
+
+
+@query("""
+SELECT page_id, CAST(length(html) AS BIGINT) AS n_chars FROM pages WHERE html IS NOT NULL AND regexp_matches(html, '<h1[^>]*>\\s*[^\\s<]')""")
+def pages_with_headings(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that have text in a first heading, by the table function over pages."""
+    tables.register(spark)
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("id"), "html")
+    return spark.sql("SELECT p.id AS page_id, CAST(length(p.html) AS BIGINT) AS n_chars FROM {pages} p LEFT SEMI JOIN (SELECT id FROM html_nodes(TABLE({pages}) PARTITION BY id) WHERE heading = 'h1') n ON n.id = p.id", pages=pages)

@@ -1,23 +1,9 @@
-"""Readers: tables of a folder, cached JSON with vintage, and task result files."""
+"""Tables of a folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def read_json_lines(spark: SparkSession, path: str, schema: str, loud: bool = True) -> DataFrame:
-    """JSON records; loud readers fail at a bad record, tolerant ones drop it."""
-    return spark.read.schema(schema).option("mode", "FAILFAST" if loud else "DROPMALFORMED").json(path)
-
-
-def with_vintage(df: DataFrame, recorded: str | None = None) -> DataFrame:
-    """As-of time of the data: the recorded one, else the file's, with its basis. It belongs to the data, not to the run."""
-    of_file = F.col("_metadata.file_modification_time")
-    if recorded is None:
-        return df.select("*", of_file.alias("as_of"), F.lit("file time").alias("as_of_basis"))
-    return df.select("*", F.coalesce(F.col(recorded), of_file).alias("as_of"), F.when(F.col(recorded).isNotNull(), "recorded").otherwise("file time").alias("as_of_basis"))
