@@ -503,7 +503,8 @@ def test_langid_edge_cases(spark):
     assert set(samples) == {"a", "b"}  # neither the null id nor the null text is learned from
     assert langid.predict(docs.where("id = 1").select("doc_id", "text"), {"b": "same words", "a": "same words"}).where("lang_pred <> 'a'").isEmpty()  # ties go to the first by name
     long = spark.createDataFrame([(1, "the words " * 100_000, "z", 1, 1, 1), (1, "", "z", 1, 1, 1)], schema)
-    assert sorted(r.lang_pred for r in langid.predict(long, samples).collect())[1] == "und" or langid.predict(long, samples).count() == 2
+    short = langid.best(langid.Model(samples), ["the words " * 20_000])[0]  # a long text is told as its beginning is, all of it being alike
+    assert sorted(r.lang_pred for r in langid.predict(long, samples).collect()) == sorted([*short, "und"])
 
 
 @pytest.mark.parametrize("schema", ["doc_id bigint, text string, id int, n int, token int, centre int, root int, node int, count int, set string"])
@@ -516,9 +517,7 @@ def test_empty_tables_and_clashing_names(spark, tmp_path, schema):
     token_store.write_store(docs, BPE, str(tmp_path / "none"))
     assert token_store.read_store(spark, str(tmp_path / "none")).count() == 0
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id bigint, url string, host int, rule int")).count() == 0
-    row = ["x"] * 8
     full = spark.createDataFrame([(1, "one two three four five six seven", *range(7), "s"), (1, "one two three four five six seven", *range(7), "s"), (2, "one two three four five six seven", *range(7), "s"), (None, "one two three four five six", *range(7), "s")], schema)
-    assert len(row) == 8
     assert sorted((r.doc_id or 0, r.component_id) for r in ngram_join.jaccard_components(full).collect()) == [(0, None), (1, 1), (1, 1), (2, 1)]
     assert sorted((r.doc_id or 0, r.item_id) for r in decontaminate.contained_items(full, items).collect()) == [(0, 1), (1, 1), (1, 1), (2, 1)]
 
