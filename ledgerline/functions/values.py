@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Hex digits of an id, of one whose first DIGITS another fact has too, and of the whole hash. Fixed values.
+DIGITS, LONGER, WHOLE = 8, 16, 64
 #: Levels of nesting that leaves are looked for in.
 MOST_LEVELS = 32
 #: Keys of a change in risk factors that measure it and don't name it. Fixed values.
@@ -43,16 +45,16 @@ def text(value: Column) -> Column:
     return json_text(value)
 
 
-def _digest(prefix: Column, year: Column, fields: dict[str, Column]) -> Column:
+def _digest(prefix: Column, year: Column, fields: dict[str, Column], digits: int = DIGITS) -> Column:
     from ledgerline.operators.ledger import canonical_json
 
-    return F.concat(prefix, F.lit("-FY"), year.cast("string"), F.lit("-"), F.substring(F.sha2(canonical_json(fields), 256), 1, 8))
+    return F.concat(prefix, F.lit("-FY"), year.cast("string"), F.lit("-"), F.substring(F.sha2(canonical_json(fields), 256), 1, digits))
 
 
-def value_id(code: Column, field: Column, year: Column, value: Column, form: Column, accession: Column, section: Column, quote: Column) -> Column:
-    """CODE-FYyear-8 hex digits of a fact whose value is any JSON object, already canonical."""
+def value_id(code: Column, field: Column, year: Column, value: Column, form: Column, accession: Column, section: Column, quote: Column, digits: int = DIGITS) -> Column:
+    """CODE-FYyear-hex digits of a fact whose value is any JSON object, already canonical."""
     number = F.coalesce(year.cast("string"), F.lit("null"))
-    return _digest(code, year, {"field": text(field), "fiscal_year": number, "value": F.coalesce(value, F.lit("null")), "form": text(form), "accession": text(accession), "section_key": text(section), "quote": text(quote)})
+    return _digest(code, year, {"field": text(field), "fiscal_year": number, "value": F.coalesce(value, F.lit("null")), "form": text(form), "accession": text(accession), "section_key": text(section), "quote": text(quote)}, digits)
 
 
 def risk_delta_id(year: Column, category: Column, item: Column, accession: Column, prior: Column) -> Column:

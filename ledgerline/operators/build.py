@@ -1,7 +1,8 @@
 """The facts of a ledger from what was extracted: sources found, judged, corrected, re-anchored, named, and gated before they are handed on.
 
 The order matters: a correction changes the value that an id is made of, and a vote's quotation is re-anchored before it is. Gates are taken in the pass that
-writes: every correction has met one fact, no quotation holds a character spelled as an escape, no two facts have one id. A broken gate raises, and
+writes: every correction has met one fact, no quotation holds a character spelled as an escape, no two facts have one id. Of very many facts some have the same 8 digits by chance: such
+facts get 16 (`named_apart`), so only facts that say the same share an id. A broken gate raises, and
 nothing is returned.
 
 `raw`: fact (unique), field, fiscal_year, value (a JSON object), quote. `listing`: fact, place, source_id. `sources`: source_id, form, accession,
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.quotes import judge_quote
 from ledgerline.functions.text import canonical
-from ledgerline.functions.values import canonical_text, value_id
+from ledgerline.functions.values import DIGITS, LONGER, WHOLE, canonical_text, value_id
 from ledgerline.operators import ledger
 from ledgerline.operators.attribution import attribute
 from ledgerline.sources.stages import Stages
@@ -83,6 +84,14 @@ def field_code(field: Column) -> Column:
     return F.coalesce(*(F.when(field == name, code) for name, code in ledger.FIELD_CODES.items()), F.upper(F.substring(field, 1, 4)))
 
 
+def named_apart(facts: DataFrame, hashed: str) -> DataFrame:
+    """`facts` with id, a text that ends with a hash's WHOLE digits cut to DIGITS, or to LONGER where different texts agree that far, in place of `hashed`."""
+    cut = lambda digits: F.left(hashed, F.length(hashed) - (WHOLE - digits))
+    facts = facts.withColumn("_short", cut(DIGITS))
+    shared = facts.groupBy("_short").agg((F.min(hashed) < F.max(hashed)).alias("_shared")).where("_shared")
+    return facts.join(shared, "_short", "left").withColumn("id", F.when(F.col("_shared"), cut(LONGER)).otherwise(F.col("_short"))).drop(hashed, "_short", "_shared")
+
+
 def build(raw: DataFrame, listing: DataFrame, sources: DataFrame, corrections: DataFrame, low_sections: list[str]) -> DataFrame:
     """fact, id, field, fiscal_year, value, quote, verified, why, confidence, reasons, source_id, form, accession, section_key, filing_date, correction, was."""
     stages = Stages(raw.sparkSession)
@@ -100,7 +109,8 @@ def build(raw: DataFrame, listing: DataFrame, sources: DataFrame, corrections: D
     texts = sources.select("source_id", "text").dropDuplicates(["source_id"])
     votes = judged.where(is_vote).join(texts, "source_id", "left").withColumn("r", reanchored("value", "span", "why", "text")).select(*(F.col(f"r.{c}").alias(c) if c in ("span", "why") else F.col(c) for c in judged.columns))
     every = votes.unionByName(judged.where(~F.coalesce(is_vote, F.lit(False))))
-    named = every.withColumn("id", value_id(field_code(F.col("field")), F.col("field"), F.col("fiscal_year"), F.col("value"), F.col("form"), F.col("accession"), F.col("section_key"), F.col("span")))
+    hashed = value_id(field_code(F.col("field")), F.col("field"), F.col("fiscal_year"), F.col("value"), F.col("form"), F.col("accession"), F.col("section_key"), F.col("span"), WHOLE)
+    named = named_apart(stages.keep(every.withColumn("hashed", hashed)), "hashed")
     seen = Observation()
     columns = ["fact", "id", "field", "fiscal_year", "value", F.col("span").alias("quote"), "verified", "why", "confidence", "reasons", "source_id", "form", "accession", "section_key", "filing_date", "correction", "was"]
     out = stages.keep(named.select(*columns).observe(seen, F.count("*").alias("facts"), F.count_if(F.col("quote").rlike(r"\\u[0-9a-fA-F]{4}")).alias("escapes"), F.count("correction").alias("corrected")))

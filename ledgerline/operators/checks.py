@@ -26,9 +26,9 @@ from ledgerline.sources.stages import Stages
 
 #: The field codes of ids: those of facts, and that of changes in risk factors. Fixed values.
 CODES = [*FIELD_CODES.values(), "RISK"]
-#: An id of any code in either case, one of a known code, and a citation: one id or several in square brackets. Fixed patterns.
-ANY_ID = r"\b[A-Za-z]{2,8}-FY\d{4}-[0-9a-f]{8}\b"
-KNOWN_ID = rf"\b(?:{'|'.join(sorted(CODES))})-FY\d{{4}}-[0-9a-f]{{8}}\b"
+#: An id of any code in either case, of 8 digits or 16 (`build.named_apart`), one of a known code, and a citation: one id or several in square brackets. Fixed patterns.
+ANY_ID = r"\b[A-Za-z]{2,8}-FY\d{4}-[0-9a-f]{8}(?:[0-9a-f]{8})?\b"
+KNOWN_ID = rf"\b(?:{'|'.join(sorted(CODES))})-FY\d{{4}}-[0-9a-f]{{8}}(?:[0-9a-f]{{8}})?\b"
 GROUP = rf"\[\s*{KNOWN_ID}(?:\s*[,;]\s*{KNOWN_ID})*\s*\]"
 #: Where a document's own account of its making begins. Fixed text.
 FOOTER = "### Provenance"

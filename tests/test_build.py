@@ -163,3 +163,14 @@ def test_spelled_out_characters_never_reach_a_quotation(spark):
     assert {r.fact: r.quote for r in ledger_of(spark, quote="The board approved a new \\u0064ividend policy").collect()}["f1"] == "The board approved a new dividend policy"
     with pytest.raises(ValueError, match="spelled-out"):
         ledger_of(spark, quote="Nobody ever said \\u2019this\\u2019 in a filing")
+
+
+def test_ids_that_agree_by_chance_are_told_apart(spark):
+    raw = [(str(n), "odd", 2022, json.dumps({"n": n}), "x") for n in (24206, 73640, 7)]  # the first two agree in 8 digits
+    empty = lambda kind: spark.createDataFrame([], kind)
+    rows = build.build(spark.createDataFrame(raw, RAW), empty("fact string, place int, source_id string"), empty(SOURCES), empty(FIXES), []).collect()
+    got = {r.fact: r.id for r in rows}
+    body = lambda n: {"field": "odd", "fiscal_year": 2022, "value": {"n": n}, "form": None, "accession": None, "section_key": None, "quote": "x"}
+    whole = {str(n): hashlib.sha256(json.dumps(body(n), sort_keys=True).encode()).hexdigest() for n in (24206, 73640, 7)}
+    assert whole["24206"][:8] == whole["73640"][:8]
+    assert got == {k: f"ODD-FY2022-{h[: 8 if k == '7' else 16]}" for k, h in whole.items()}
