@@ -5,7 +5,8 @@ A document is markdown of paragraphs between blank lines. An index has one row f
 written; every rule and report reads that. Quotations that their paragraph's facts don't hold are looked for in the whole index by an automaton.
 
 Defined cases: a null body has no paragraphs, and its document still misses its headings and its length; ids cited in two paragraphs give a row for each;
-repeated rows of an id in the index count as one; other columns of either table are ignored.
+repeated rows of an id in the index count as one; where both tables have a column `scope` (whose ledger it is), a document cites the ids of its own scope only, as short ids
+of very many ledgers may agree by chance, and quotations are looked for in all of them; other columns of either table are ignored.
 """
 
 from __future__ import annotations
@@ -129,16 +130,22 @@ def held(ways: Column, text: Column) -> Column:
     return F.exists(ways, lambda parts: F.forall(parts, lambda p: F.contains(text, p)))
 
 
+def id_keys(docs: DataFrame, index: DataFrame) -> list[str]:
+    """The columns by which cited ids meet the index."""
+    return ["scope", "id"] if "scope" in docs.columns and "scope" in index.columns else ["id"]
+
+
 def citation_report(docs: DataFrame, index: DataFrame) -> DataFrame:
     """doc, n_citations, n_distinct, n_unknown, n_malformed, n_low, n_unverified, by_field (distinct known ids by field) of each document.
 
     Ids of no known code are malformed and no citations.
     """
     body = body_of(F.col("body"))
-    seen = docs.select("doc", F.explode(_ids(body)).alias("id")).groupBy("doc", "id").agg(F.count("*").alias("n"))  # ids are counted before the join
-    known = index.select("id", "confidence", "quote_verified", F.lit(True).alias("known")).dropDuplicates(["id"])
+    keys = id_keys(docs, index)
+    seen = docs.select("doc", *keys[:-1], F.explode(_ids(body)).alias("id")).groupBy("doc", *keys).agg(F.count("*").alias("n"))  # ids are counted before the join
+    known = index.select(*keys, "confidence", "quote_verified", F.lit(True).alias("known")).dropDuplicates(keys)
     field = F.coalesce(*(F.when(F.substring_index("id", "-", 1) == code, name) for name, code in FIELD_CODES.items()), F.lit("risk"))
-    named = seen.join(known, "id", "left").withColumn("field", F.when(F.col("known"), field))
+    named = seen.join(known, keys, "left").withColumn("field", F.when(F.col("known"), field))
     by_field = named.groupBy("doc", "field").agg(
         F.sum("n").alias("n_citations"),
         F.count("*").alias("n_distinct"),
@@ -163,13 +170,14 @@ def examined(docs: DataFrame, index: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     text, x = F.col("text"), F.col
-    pars = docs.select("doc", "gap_years", "register", F.posexplode(_parts(body_of(x("body")))).alias("par", "text"))
+    keys = id_keys(docs, index)
+    pars = docs.select("doc", *keys[:-1], "gap_years", "register", F.posexplode(_parts(body_of(x("body")))).alias("par", "text"))
     ids = F.array_distinct(_ids(text))
     bare = lambda s: F.regexp_replace(s, ANY_ID, " ")
     told = F.exists(_sentences(text), lambda s: any_match(s, "(?i)letter") & F.exists(F.coalesce("gap_years", F.array().cast("array<int>")), lambda y: F.contains(bare(s), y.cast("string"))))
     every = _ids(text)
     looked = pars.select(
-        "doc", F.col("par").cast("bigint").alias("par"), ids.alias("ids"),
+        "doc", *keys[:-1], F.col("par").cast("bigint").alias("par"), ids.alias("ids"),
         F.filter(F.array_distinct(_ids(text, ANY_ID)), lambda i: ~i.rlike(f"^{KNOWN_ID}$")).alias("malformed"),
         quotations(text).alias("said"), F.contains(text, F.lit('"')).alias("marked"),
         F.when(F.size(ids) > 0, figures(text)).otherwise(F.array().cast("array<string>")).alias("figures"),
@@ -182,8 +190,8 @@ def examined(docs: DataFrame, index: DataFrame) -> DataFrame:
     stages = Stages(docs.sparkSession)
     looked = stages.keep(looked)
     letter = F.col("letter") if "letter" in index.columns else F.lit(False)
-    facts = index.dropDuplicates(["id"]).select("id", F.lit(True).alias("known"), (~F.col("confidence").eqNullSafe("high")).alias("low"), (F.col("quote_verified") == F.lit(False)).alias("unverified"), letter.alias("letter"), numbers(F.col("quote")).alias("quoted"), numbers(F.col("claim")).alias("claimed"), fact_text(F.col("quote")).alias("text"))
-    cited = looked.select("doc", "par", F.explode("ids").alias("id")).join(facts, "id", "left")
+    facts = index.dropDuplicates(keys).select(*keys, F.lit(True).alias("known"), (~F.col("confidence").eqNullSafe("high")).alias("low"), (F.col("quote_verified") == F.lit(False)).alias("unverified"), letter.alias("letter"), numbers(F.col("quote")).alias("quoted"), numbers(F.col("claim")).alias("claimed"), fact_text(F.col("quote")).alias("text"))
+    cited = looked.select("doc", "par", *keys[:-1], F.explode("ids").alias("id")).join(facts, keys, "left")
     of_facts = cited.groupBy("doc", "par").agg(
         F.array_sort(F.collect_list(F.when(F.col("known").isNull(), F.col("id")))).alias("unknown"), F.array_sort(F.collect_list(F.when(F.col("unverified"), F.col("id")))).alias("unverified"),
         F.coalesce(F.max("low"), F.lit(False)).alias("low"), F.coalesce(F.max("letter"), F.lit(False)).alias("letter"),
@@ -213,7 +221,8 @@ def quote_statuses(seen: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def _registered(docs: DataFrame, register: str) -> DataFrame:
-    return docs.select("doc", "body", "stamped", "current", "gap_years", F.lit(register).alias("register"))
+    scope = [c for c in ("scope",) if c in docs.columns]
+    return docs.select("doc", *scope, "body", "stamped", "current", "gap_years", F.lit(register).alias("register"))
 
 
 def quote_report(docs: DataFrame, index: DataFrame) -> DataFrame:

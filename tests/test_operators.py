@@ -280,3 +280,13 @@ def test_boilerplate_and_partial_dates(spark):
     assert all(r.b == (None if r.t is None else plain_boilerplate(r.t, r.body)) for r in got) and got[0].c == "“a” b"
     dates = spark.createDataFrame([("2023-02-06",), ("2022-07",), ("2022",), ("July 2022",), ("2022-7",), ("",), (None,)], "d string").select(ledger.partial_date(F.col("d")).alias("p")).select("p.*").collect()
     assert [(r.date, r.precision) for r in dates] == [("2023-02-06", "day"), ("2022-07", "month"), ("2022", "year")] + [(None, None)] * 4
+
+
+def test_an_id_of_two_ledgers_is_each_ones_own(spark):
+    one = "EVT-FY2021-aaaaaaaa"
+    docs = spark.createDataFrame([(d, d, f'It says "{q}" [{one}].', "x", "x", None) for d, q in ((1, "first words"), (2, "other words"), (3, "first words"))], "doc int, scope int, body string, stamped string, current string, gap_years array<int>")
+    index = spark.createDataFrame([(1, one, "high", True, "first words", None), (2, one, "low", False, "other words", None)], "scope int, id string, confidence string, quote_verified boolean, quote string, claim string")
+    assert {r.doc: (r.n_unknown, r.n_low, r.n_unverified) for r in checks.citation_report(docs, index).collect()} == {1: (0, 0, 0), 2: (0, 1, 1), 3: (1, 0, 0)}
+    assert {r.doc: r.status for r in checks.quote_report(docs, index).collect()} == {1: "ok", 2: "ok", 3: "elsewhere"}
+    broken = {(r.doc, r.rule) for r in checks.violations(docs, index, [], (0, 100), "x").collect()}
+    assert broken == {(2, "no_unverified_quoted"), (2, "low_conf_flagged"), (3, "ids_resolve"), (3, "quotes_verbatim")}
