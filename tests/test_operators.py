@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ledgerline.functions import quotes
 from ledgerline.functions import text as tx
 from ledgerline.operators import checks, fiscal, ledger, matching
 from ledgerline.operators import relational as rel
+from ledgerline.plans import catalogue
 
 
 @pytest.mark.parametrize("month,day", [(12, 31), (1, 31), (3, 31), (6, 30), (9, 30), (2, 29)])
@@ -290,3 +292,42 @@ def test_an_id_of_two_ledgers_is_each_ones_own(spark):
     assert {r.doc: r.status for r in checks.quote_report(docs, index).collect()} == {1: "ok", 2: "ok", 3: "elsewhere"}
     broken = {(r.doc, r.rule) for r in checks.violations(docs, index, [], (0, 100), "x").collect()}
     assert broken == {(2, "no_unverified_quoted"), (2, "low_conf_flagged"), (3, "ids_resolve"), (3, "quotes_verbatim")}
+
+
+def test_greedy_equals_a_loop_on_repeated_texts():
+    rng = random.Random(5)
+    words = ["hot bolt", "hot ring", "bolt hot", "small ring", "cold nut", "hot bolts", "colt"]
+    for _ in range(60):
+        left, right = ([(k, rng.choice(words)) for k in rng.sample(range(40), rng.randint(0, 14))] for _ in range(2))
+        want, rows, columns = [], set(), set()
+        for s, i, j in sorted(((tx.token_sort(a, b), i, j) for i, a in left for j, b in right), reverse=True):
+            if s >= 40 and i not in rows and j not in columns:
+                rows.add(i), columns.add(j), want.append((i, j, s))
+        assert matching.greedy(left, right, 40) == want
+
+
+def test_greedy_of_very_many_equal_texts():
+    rows = [(k, ("hot bolt", "small ring", "cold nut")[k % 3]) for k in range(30_000)]
+    start = time.monotonic()
+    assert len(matching.greedy(rows[::2], rows[1::2], 60.0)) == 15_000
+    assert time.monotonic() - start < 10
+
+
+def test_fuzzy_pairs_link_what_all_pairs_link(spark, tmp_path):
+    rng = random.Random(6)
+    names = ["hot bolt", "bolt hot", "hot ring", "small ring", "nut", "", None]
+    rows = [(k, rng.choice(["b1", "b2", None]), rng.choice([1, 2]), rng.choice(names)) for k in range(150)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_size int, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    got = {(r.a, r.b): r.score for r in catalogue.QUERIES["fuzzy_pairs"](spark, str(tmp_path)).collect()}
+    tokens = lambda t: " ".join(sorted(set(t.split())))
+    first, want = {}, {}
+    for k, brand, size, name in rows:
+        if brand and name:
+            rep = first.setdefault((brand, size, tokens(name)), k)
+            if rep != k:
+                want[rep, k] = 100.0
+    for (*block, p), a in first.items():
+        for (*other, q), b in first.items():
+            if a < b and block == other and (s := tx.token_set(p, q)) >= 55:
+                want[a, b] = round(s, 4)
+    assert got == want and len(got) < 150 * 2
