@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heapreplace
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -16,22 +17,41 @@ from ledgerline.functions.text import indel_ratio
 def greedy(left: list[tuple[int, str]], right: list[tuple[int, str]], floor: float) -> list[tuple[int, int, float]]:
     """One-to-one pairs, the best first, down to the floor; ties go to the later ordinals.
 
-    A pair that is the best of both its row and its column is taken whatever else there is, so all such pairs are taken at once, and
-    the rest is looked at again. Only pairs whose lengths leave room for the floor are scored.
+    Rows of one text have the same scores, so texts are scored, not rows: one score at a time, from the best, the texts that have it with another
+    give their ordinals from the last, each to the last one that is left of the other side. A left ordinal that finds none at a score leaves
+    its whole text without one there, so the work is that of the scored texts and the pairs taken. Only texts whose lengths leave room for the floor are scored.
     """
-    x, y = [(i, ordered(t)) for i, t in left], [(j, ordered(t)) for j, t in right]
-    scores = {(i, j): s for i, a in x for j, b in y if most_ratio(len(a), len(b)) >= floor and (s := indel_ratio(a, b)) >= floor}
+    x, y = by_text(left), by_text(right)
+    levels: dict[float, dict[str, list[str]]] = {}
+    for a in x:
+        for b in y:
+            if most_ratio(len(a), len(b)) >= floor and (s := indel_ratio(a, b)) >= floor:
+                levels.setdefault(s, {}).setdefault(a, []).append(b)
     out: list[tuple[int, int, float]] = []
-    while scores:
-        best: dict[tuple[str, int], tuple[float, int, int]] = {}
-        for (i, j), s in scores.items():
-            for side in (("left", i), ("right", j)):
-                best[side] = max(best.get(side, (s, i, j)), (s, i, j))
-        taken = [p for (name, i), p in best.items() if name == "left" and best["right", p[2]] == p]
-        out += [(i, j, s) for s, i, j in taken]
-        rows, columns = {i for _, i, _ in taken}, {j for _, _, j in taken}
-        scores = {(i, j): s for (i, j), s in scores.items() if i not in rows and j not in columns}
-    return sorted(out, key=lambda p: (p[2], p[0], p[1]), reverse=True)
+    for s in sorted(levels, reverse=True):
+        partners = levels[s]
+        heap = [(-x[a][-1], a) for a in partners if x[a]]
+        heapify(heap)
+        while heap:
+            a = heap[0][1]
+            partners[a] = rest = [b for b in partners[a] if y[b]]
+            if not rest:
+                heappop(heap)
+                continue
+            out.append((x[a].pop(), y[max(rest, key=lambda b: y[b][-1])].pop(), s))
+            if x[a]:
+                heapreplace(heap, (-x[a][-1], a))
+            else:
+                heappop(heap)
+    return out
+
+
+def by_text(rows: list[tuple[int, str]]) -> dict[str, list[int]]:
+    """The ordinals of each text, ascending; of a repeated ordinal the last text counts."""
+    out: dict[str, list[int]] = {}
+    for i, t in sorted(dict(rows).items()):
+        out.setdefault(ordered(t), []).append(i)
+    return out
 
 
 def ordered(text: str) -> str:
