@@ -193,3 +193,11 @@ def test_leadership_sentence(spark):
     df = spark.createDataFrame([(*a, w) for a, w in cases], "n string, c string, r string, s string, want string")
     assert [r.got == r.want for r in df.select(timeline.leadership_sentence(*map(F.col, "ncrs")).alias("got"), "want").collect()] == [True] * 4
     assert df.select(timeline.identity(*map(F.col, "ncr"))).first()[0] == "a b | role_changed | cfo"
+
+
+def test_candidates_of_names_grow_like_the_names(spark):
+    rng, parts = random.Random(4), ["an", "ber", "cor", "da", "el", "gu", "ham", "jo", "ley", "ma", "ni", "or", "ren", "son", "tan", "vi"]
+    names = sorted({" ".join(sorted("".join(rng.choices(parts, k=3)) for _ in range(2))) for _ in range(8000)})
+    rng.shuffle(names)
+    count = lambda n: similar.candidates(spark.createDataFrame(list(enumerate(names[:n])), "id long, key string"), 95).count()
+    assert count(8000) < 1_000
