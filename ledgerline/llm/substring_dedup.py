@@ -168,7 +168,8 @@ def repeated_places(docs: DataFrame, work: str) -> DataFrame:
     hot = F.broadcast(first.where(many).select("d1", "d2", "first"))  # at most HOT_SHARE rows
     rare = first.where(~many).select("d1", "d2", "first")
     here = places.join(hot, ["d1", "d2"], "left")
-    hits = here.where("first < id").select("id", "at").union(here.where("first is null").drop("first").join(rare, ["d1", "d2"]).where("id > first").select("id", "at"))
+    here_too = here.where(F.coalesce("first", "id") < F.col("id"))  # a digest has one row in `hot`, so the join gives as many rows as there are places
+    hits = here_too.select("id", "at").union(here.where("first is null").drop("first").join(rare, ["d1", "d2"]).where("id > first").select("id", "at"))
     return hits.groupBy("id").agg(F.collect_set("at").alias("ats"))  # at most twice the chunks of one text
 
 
