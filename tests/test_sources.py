@@ -5,11 +5,13 @@ import os
 import random
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import glyphs
 from ledgerline.sources import shards, sinks
+from ledgerline.sources.shipping import BATCH_BYTES, ship
 
 
 def block(rows, **drop):
@@ -128,3 +130,30 @@ def test_glyphs(spark):
     assert got[3] == (said, None, 0, True) and got[4] == ('"  "', 27, 0, False)
     assert got[5] == (None, None, None, None) and got[6] == ("", None, 0, False)
     assert got[7][3] is False and got[7][2] == 50 and "�[cid:" in got[7][0]
+
+
+def test_glyphs_read_at_once_are_those_of_the_pattern():
+    rng = random.Random(5)
+    bits = ["(cid:3)", "(cid:299)", "(cid:40)", "(cid:", "cid:3)", "((cid:7)", "(cid:)", "(cid:007)", "(cid:1234567)", "(cid:٣)", " ", "\n", "a", "(cid:12", "\x01", "(cid:9x)", "the "]
+    plain = bits[:7] + bits[10:]
+    for k in range(4000):
+        raw = "".join(rng.choices(plain if k % 2 else bits, k=rng.randint(0, 12)))
+        found = glyphs.occurrences(raw)
+        if found is None:
+            assert any(b in raw for b in bits[7:10])
+        else:
+            at, stop, ids = (x.tolist() for x in found)
+            assert [(m.start(), m.end(), int(m[1])) for m in glyphs.GLYPH.finditer(raw)] == list(zip(at, stop, ids, strict=True))
+            assert glyphs.joined(raw, *found[:2], ["_"] * len(at)) == glyphs.GLYPH.sub("_", raw)
+
+
+def test_texts_spelled_in_glyphs(spark):
+    rows = spark.createDataFrame([("ab\n~é", 600), (None, 600), ("a", None)], "text string, font long")
+    assert [r[0] for r in rows.select(glyphs.in_glyphs("text", "font")).collect()] == ["(cid:697)(cid:698)\n(cid:726)é", None, None]
+
+
+def test_batches_of_long_texts_are_small(spark):
+    ship(spark)
+    texts = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    rows_of_batch = F.pandas_udf(lambda t: pd.Series([len(t)] * len(t)), "long")
+    assert texts.select(rows_of_batch("text").alias("n")).agg(F.max("n")).first()[0] * 100_000 <= BATCH_BYTES + 100_000
