@@ -1,6 +1,6 @@
 """Connected components of edges, within blocks (a date, a document) or over a whole table.
 
-Small blocks are each one call of a union-find. The edges of larger ones, and of tables without blocks, go through rounds of joins:
+Small blocks go to a union-find, many in one call. The edges of larger ones, and of tables without blocks, go through rounds of joins:
 each node takes the smallest label among its own, its neighbours' and its label's (pointer jumping), until a round changes nothing. No component is
 ever gathered in a task, and each round is written before the next.
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline.sources.shipping import ship
 from ledgerline.sources.stages import Stages
 
-#: Edges of a block that one call may hold.
+#: Edges of a block that is not split, and of the blocks that share a call, about.
 MOST_EDGES = 100_000
 
 
@@ -41,17 +41,19 @@ def components_in_blocks(edges: DataFrame, most: int = MOST_EDGES) -> DataFrame:
     """block, node, root of the nodes of `edges` (block, a, b): the root is the smallest node of the component."""
     spark = edges.sparkSession
     ship(spark)
-    found = edges.select("block", "a", "b").where("a is not null and b is not null")
+    found = Stages(spark).keep(edges.select("block", "a", "b").where("a is not null and b is not null"))
+    calls = found.count() // max(most, 1) + 1
     sizes = found.groupBy("block").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > most).select(F.col("block").alias("of"))
     block, kind = found.schema["block"].dataType, found.schema["a"].dataType.simpleString()
 
-    def unite(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        got = roots(list(zip(table["a"].to_pylist(), table["b"].to_pylist(), strict=True)))
-        return pa.table({"block": pa.array([key[0].as_py()] * len(got), key[0].type), "node": pa.array(list(got), table["a"].type), "root": pa.array(list(got.values()), table["a"].type)})
+    def unite(table: pa.Table) -> pa.Table:
+        blocks, a, b = (table[c].to_pylist() for c in ("block", "a", "b"))
+        got = roots(list(zip(zip(blocks, a, strict=True), zip(blocks, b, strict=True), strict=True)))
+        return pa.table({"block": pa.array([x for x, _ in got], table["block"].type), "node": pa.array([x for _, x in got], table["a"].type), "root": pa.array([x for _, x in got.values()], table["a"].type)})
 
     same = F.col("block").eqNullSafe(F.col("of"))
-    small = found.join(large, same, "left_anti").groupBy("block").applyInArrow(unite, f"block {block.simpleString()}, node {kind}, root {kind}")
+    small = found.join(large, same, "left_anti").groupBy(F.pmod(F.xxhash64("block"), F.lit(calls))).applyInArrow(unite, f"block {block.simpleString()}, node {kind}, root {kind}")
     return small.union(components(found.join(large, same, "left_semi"))) if large.limit(1).count() else small
 
 

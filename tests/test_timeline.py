@@ -201,3 +201,31 @@ def test_candidates_of_names_grow_like_the_names(spark):
     rng.shuffle(names)
     count = lambda n: similar.candidates(spark.createDataFrame(list(enumerate(names[:n])), "id long, key string"), 95).count()
     assert count(8000) < 1_000
+
+
+def rows_sent(plan, name):
+    """Rows that nodes of this name got from Python, over a plan that has run."""
+    if hasattr(plan, "plan") and "QueryStage" in plan.nodeName() or "AdaptiveSparkPlan" in plan.nodeName():
+        return rows_sent(plan.executedPlan() if "Adaptive" in plan.nodeName() else plan.plan(), name)
+    own = plan.metrics().get("pythonDataSent").get().value() if name in plan.nodeName() else 0
+    return own + sum(rows_sent(plan.children().apply(i), name) for i in range(plan.children().size()))
+
+
+def test_small_blocks_need_no_call_of_their_own(spark):
+    rng = random.Random(8)
+    sizes = [1, 2, 3, similar.FEW - 1, similar.FEW]
+    rows = [(100 * b + k, b, " ".join(rng.choices(["port", "city", "bel", "corf", "ar"], k=3)), [f"s{rng.randrange(3)}"]) for b in range(40) for k in range(sizes[b % 5])]
+    found = similar.in_blocks(spark.createDataFrame(rows, "id int, block int, text string, sources array<string>"), 55)
+    got = {(r.a, r.b): r.score for r in found.collect()}
+    assert rows_sent(found._jdf.queryExecution().executedPlan(), "FlatMapGroupsInArrow") == 0
+    first = {}
+    for i, b, text, s in rows:
+        first.setdefault((b, " ".join(sorted(set(text.split()))), s[0]), i)
+    want = {(i, j): score for ((b, x, s), i), ((c, y, t), j) in combinations(first.items(), 2) if b == c and s != t and (score := token_set(x, y)) >= 55}
+    assert {tuple(sorted(p)): v for p, v in want.items()} == got and len(got) > 100
+
+
+def test_many_small_blocks_of_edges(spark):
+    edges = [(b, k, k + 1) for b in range(300) for k in range(b % 4)]
+    got = {(r.block, r.node): r.root for r in graph.components_in_blocks(spark.createDataFrame(edges, "block int, a int, b int"), 50).collect()}
+    assert got == {(b, n): 0 for b in range(300) for n in range(b % 4 + 1) if b % 4}
