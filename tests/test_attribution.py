@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import quotes
-from ledgerline.functions.text import SHORTEST, TAIL, canonical
+from ledgerline.functions.text import FOLD, IMAGE_NAME, SHORTEST, TAIL, canonical, decoded
 from ledgerline.operators import attribution
 
 
@@ -99,3 +99,25 @@ def test_agreement_on_repetitive_text():
     assert quotes.agreement("ab" * 4000 + "c", "ab" * 400_000) == 8000
     assert time.process_time() - began < 1
     assert [quotes.agreement("abcd", h) for h in ("", "a", "zabz", "abcd", "xx")] == [0, 1, 2, 4, 0]
+
+
+def test_sources_are_read_in_batches(spark):
+    facts = spark.createDataFrame([(k, f"the quotation of fact number {k} in full") for k in range(5)], "fact_id int, quote string")
+    listing = spark.createDataFrame([(k, 0, k) for k in range(5)], "fact_id int, place int, source_id int")
+    sources = spark.createDataFrame([(k, f"It says the quotation of fact number {k} in full, and more") for k in range(4)], "source_id int, text string")
+    got = attribution.attribute(facts, listing, sources)
+    assert "CoGroup" not in got._jdf.queryExecution().toString()  # a call for each source costs more than its quotations
+    assert [(r.fact_id, r.source_id) for r in got.orderBy("fact_id").collect()] == [(0, 0), (1, 1), (2, 2), (3, 3), (4, None)]
+
+
+def test_canonical_form_is_that_of_a_table_and_a_pattern():
+    rng, marks = random.Random(4), [*map(chr, FOLD), "a", "B", "é", "é", "x.JPG", ".gif", "y.pngs", "İ", ".gıf", "\\u2019", " ", "\n", "\u3000", "ﬁ", "…", "∕"]
+    for _ in range(5000):
+        text = "".join(rng.choices(marks, k=rng.randint(0, 14)))
+        assert canonical(text) == " ".join(IMAGE_NAME.sub(" ", unicodedata.normalize("NFKC", decoded(text)).translate(FOLD)).split()).lower()
+
+
+def test_a_long_run_without_blanks_is_read_once():
+    began = time.perf_counter()
+    assert len(canonical("x" * 200_000)) == 200_000
+    assert time.perf_counter() - began < 2  # the pattern alone reads it from each of its characters
