@@ -180,6 +180,9 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that contain no benchmark item."""
-    found = contained_items(docs, benchmark, id_col, text_col)
-    return docs.join(found.select(id_col).distinct(), id_col, "left_anti").select(*docs.columns)
+    """The rows of `docs` that contain no benchmark item.
+
+    The ids found are written first: their size is known then, so Spark hands few of them to all executors instead of shuffling whole texts.
+    """
+    found = settle(contained_items(docs, benchmark, id_col, text_col).select(id_col).distinct(), "contaminated")
+    return docs.join(found, id_col, "left_anti").select(*docs.columns)

@@ -595,3 +595,11 @@ def test_components_equal_union_find(spark, monkeypatch, few):
     got = [tuple(x) for x in components.components(spark.createDataFrame([*edges, (None, 1), (2, None)], "a long, b long")).collect()]
     assert len(got) == len(set(got)) and set(got) == {(k, top(k)) for k in parent if top(k) != k}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_are_not_shuffled_to_drop_contaminated_ones(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(k, item if k == 3 else f"nothing of it in {k}") for k in range(20)], "doc_id long, text string")
+    left = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert "SortMergeJoin" not in left._jdf.queryExecution().toString()
+    assert sorted(r.doc_id for r in left.collect()) == [k for k in range(20) if k != 3]
