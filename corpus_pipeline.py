@@ -53,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text that is left, and digests of the ids and of the decoded text."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode_decode(docs, path)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held, sub_batches, tune
+from ledgerline.llm.common import give_back, held, sub_batches, tune
 from ledgerline.llm.shingles import mixed, powers
 
 LONG = 512
@@ -85,8 +85,8 @@ class Vocabulary:
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
 
-#: Code points that are laid out together, unless one text alone has more.
-TOGETHER = 1 << 20
+#: Code points that are laid out together, unless one text alone has more; a worker's memory has about a hundred bytes for each.
+TOGETHER = 1 << 18
 
 
 def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -327,7 +327,13 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    return held(("bpe", path), lambda: Encoder(Vocabulary(path)))
+
+    def make() -> Encoder:
+        e = Encoder(Vocabulary(path))
+        give_back()  # what reading the file took
+        return e
+
+    return held(("bpe", path), make)
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:
@@ -336,6 +342,20 @@ def decode_ids(v: Vocabulary, ids: np.ndarray) -> str:
     return " ".join([t for i in ids.tolist() if i < size and (t := token[i]) is not None])
 
 
+def with_ids(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
+    """id, n_tokens and ids of a batch of id and text. For workers."""
+    ids, counts = encoder(path).encode(batch.column("text").to_pylist())
+    cut, raw = np.r_[0, np.cumsum(counts)] * 4, ids.tobytes()
+    return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array([raw[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())], ["id", "n_tokens", "ids"])
+
+
+def with_decoded(batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
+    """The batch and the decoded text of its ids. For workers."""
+    v = encoder(path).v
+    texts = [decode_ids(v, np.frombuffer(b or b"", "<u4")) for b in batch.column("ids").to_pylist()]
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`id_col`, n_tokens (long) and ids (binary, little-endian unsigned 32-bit) of every text; no shuffle."""
     tune(docs.sparkSession)
@@ -344,10 +364,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it, keep=("bpe", path)):
-            e = encoder(path)
-            ids, counts = e.encode(batch.column("text").to_pylist())
-            cut, raw = np.r_[0, np.cumsum(counts)] * 4, ids.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array([raw[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())], ["id", "n_tokens", "ids"])
+            yield with_ids(batch, path)
 
     return source.mapInArrow(run, f"id {id_type}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col)
 
@@ -360,8 +377,19 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it, "ids", keep=("bpe", path)):
-            v = encoder(path).v
-            texts = [decode_ids(v, np.frombuffer(b or b"", "<u4")) for b in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            yield with_decoded(batch, path)
+
+    return source.mapInArrow(run, f"id {id_type}, n_tokens bigint, ids binary, decoded string").withColumnRenamed("id", id_col)
+
+
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode() of encode(), in one Python worker for each task: one after the other, they take two, each with the vocabulary."""
+    tune(docs.sparkSession)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    id_type = source.schema["id"].dataType.simpleString()
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(it, keep=("bpe", path)):
+            yield with_decoded(with_ids(batch, path), path)
 
     return source.mapInArrow(run, f"id {id_type}, n_tokens bigint, ids binary, decoded string").withColumnRenamed("id", id_col)

@@ -66,6 +66,14 @@ def held(key: Hashable, make: Callable[[], Any]) -> Any:
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Let go of garbage, and give the memory that nothing uses back to the system."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def lean(keep: Hashable = None) -> None:
     """At the start of a task in a worker that is used again: let go of what another operator's tasks held and left.
 
@@ -74,10 +82,7 @@ def lean(keep: Hashable = None) -> None:
     if any(key != keep for key in _HELD):
         _HELD.clear()
     pa.set_memory_pool(pa.system_memory_pool())
-    gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
-    if trim:
-        trim(0)
+    give_back()
 
 
 def sub_batches(it: Iterator[pa.RecordBatch], column: str = "text", most: int = SUB_BATCH, keep: Hashable = None) -> Iterator[pa.RecordBatch]:

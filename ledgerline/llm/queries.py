@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe.encode_decode(table(spark, sf_dir, "documents"), path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

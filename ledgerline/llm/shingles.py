@@ -27,12 +27,12 @@ _POWERS: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
 def powers(n: int) -> list[np.ndarray]:
-    """The first n powers of the base, and of its inverse. Kept up to the length of a usual group; one long text's are made for it alone."""
+    """The first n powers of the base, and of its inverse. Kept as far as asked for, up to the length of a usual group; one long text's are made for it alone."""
     usual = TOGETHER + (TOGETHER >> 3)
     if n > usual:
         return [_powers_of(base, n) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
     if len(_POWERS[0]) < n:
-        _POWERS[:] = [_powers_of(base, usual) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
+        _POWERS[:] = [_powers_of(base, min(usual, 1 << n.bit_length())) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _POWERS
 
 

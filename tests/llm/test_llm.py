@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import public_tokenizers
@@ -60,6 +61,31 @@ def test_bpe_long_words_and_forgetting(monkeypatch):
         at += n
 
 
+def test_bpe_in_one_worker(spark):
+    """Encoding and decoding share the worker of a task: a second one would have the vocabulary, too."""
+    import corpus_pipeline
+
+    docs = odd_docs(spark, noise(7, 50))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(bpe.encode_decode(docs, BPE)) == rows(bpe.decode(bpe.encode(docs, BPE), BPE))
+    for out in (corpus_pipeline.bpe_codes(spark, docs, SMALL), queries.op1_bpe(spark, SMALL)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_bpe_memory():
+    """What an encoder takes at once besides its table follows a group of texts, not the batch."""
+    e = bpe.Encoder(bpe.Vocabulary(BPE))
+    texts = [" ".join(noise(k, 60)) for k in range(800)]
+    e.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        e.encode(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, texts)) > 1 << 20 and most < 40 << 20, most
+
+
 def test_token_counts(spark):
     docs = odd_docs(spark, noise(3, 300))
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
