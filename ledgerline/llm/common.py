@@ -14,6 +14,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.sources.shipping import ship
 
@@ -21,6 +22,8 @@ from ledgerline.sources.shipping import ship
 SPACE = " \t\n\x0b\x0c\r"
 #: Text bytes that one Python sub-batch holds at most, unless one text alone has more.
 SUB_BATCH = 2 << 20
+#: Rows of the table that tells which ids may be wanted, at most; each has 64 bits.
+BIT_WORDS = 1 << 19
 
 
 def tune(spark: SparkSession) -> None:
@@ -55,6 +58,25 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def parted(docs: DataFrame, wanted: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of `docs` whose id is surely not among those of `wanted`, rows whose id may be), so that no others have to be shuffled to meet `wanted`.
+
+    Each wanted id sets a bit, chosen by its hash, in a table of BIT_WORDS rows at most, which is broadcast whatever the number of ids. Both have `id_col`, integers.
+    """
+    bit = F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(64 * BIT_WORDS))
+    ones = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+    ones = settle(ones, "wanted")
+    marked = docs.select(F.struct("*").alias("row"), bit.alias("bit")).join(F.broadcast(ones), F.expr("word = bit div 64"), "left")
+    may = F.expr("coalesce(getbit(bits, cast(bit % 64 as int)), 0) = 1")
+    return marked.where(~may).select("row.*"), marked.where(may).select("row.*")
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of `docs` but for those with an id of `gone`. Rows that surely stay are not shuffled."""
+    stay, may_go = parted(docs, gone, id_col)
+    return stay.union(may_go.join(gone, id_col, "left_anti").select(*docs.columns))
+
+
 _HELD: dict[Hashable, Any] = {}
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import settle, sub_batches, tune
+from ledgerline.llm.common import settle, sub_batches, tune, without
 from ledgerline.llm.shingles import K, rows_of, runs_of, sets_of, word_counts
 
 PERCENT = 80
@@ -180,9 +180,6 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that contain no benchmark item.
-
-    The ids found are written first: their size is known then, so Spark hands few of them to all executors instead of shuffling whole texts.
-    """
+    """The rows of `docs` that contain no benchmark item. The ids found are written first, so the search is made once."""
     found = settle(contained_items(docs, benchmark, id_col, text_col).select(id_col).distinct(), "contaminated")
-    return docs.join(found, id_col, "left_anti").select(*docs.columns)
+    return without(docs, found, id_col)

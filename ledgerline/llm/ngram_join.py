@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune
+from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune, without
 from ledgerline.llm.components import components
 from ledgerline.llm.shingles import grouped, sets_of, weighed_rows, word_hashes
 
@@ -317,4 +317,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` but for those whose group has a document with a smaller id. Documents without words stay."""
     _, links = similar_groups(docs, id_col, text_col)
-    return docs.join(links.select(F.col("node").alias(id_col)), id_col, "left_anti").select(*docs.columns)
+    return without(docs, links.select(F.col("node").alias(id_col)), id_col)

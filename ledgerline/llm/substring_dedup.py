@@ -14,7 +14,7 @@ documents, lose nothing. Of a repeated passage of over 50 words, the parts of ch
 
 Chunks are made once and written. Digests that more than 1 / HOT_SHARE of all passages have are a bounded table and are
 broadcast, so a passage that a third of all documents share is looked up where its rows lie; the others are joined by digest.
-Only places of repeated passages go back to the documents.
+Only places of repeated passages go back to the documents, and only texts that may have some are shuffled to meet them.
 
 Defined cases: null text stays null and empty text empty; rows with one doc_id are one document,
 whose repeats of itself stay; rows with a null doc_id are neither compared nor changed; ids are integers; an empty table gives an
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune
+from ledgerline.llm.common import discard, parted, settle, shared_folder, sub_batches, tune
 
 MIN_BYTES = 24
 #: One white space in so many ends a chunk, once it has MIN_BYTES.
@@ -181,7 +181,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     work = shared_folder(docs.sparkSession)
     marks = settle(repeated_places(source.select("id", "text"), work), "repeats")
     discard(docs.sparkSession, work)
-    joined = source.join(marks, "id", "left").select("id", "text", "ats", *carry)
+    whole, cut = parted(source, marks, "id")
+    joined = cut.join(marks, "id", "left").select("id", "text", "ats", *carry)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
@@ -191,8 +192,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if text and ats:
                     raw = text.encode("utf-8", "surrogatepass")
                     if spans := removed(raw, ats):
-                        cut = [0, *[x for s in spans for x in s], len(raw)]
-                        kept = b"".join(raw[a:b] for a, b in zip(cut[::2], cut[1::2], strict=True)).decode("utf-8", "surrogatepass")
+                        ends = [0, *[x for s in spans for x in s], len(raw)]
+                        kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)).decode("utf-8", "surrogatepass")
                         counts.append(len(text) - len(kept))
                         text = kept
                 if not spans:
@@ -203,5 +204,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(all_spans, span_type), *(batch.column(c) for c in carry)], ["id", "text", "n_removed", "spans", *carry])
 
     kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[2:])
-    out = joined.mapInArrow(run, f"id bigint, text string, n_removed bigint, spans array<struct<start:int,stop:int>>{kinds}")
-    return out.withColumnRenamed("id", id_col)
+    spans = "array<struct<start:int,stop:int>>"
+    out = joined.mapInArrow(run, f"id bigint, text string, n_removed bigint, spans {spans}{kinds}")
+    whole = whole.select("id", "text", F.lit(0).cast("bigint").alias("n_removed"), F.array().cast(spans).alias("spans"), *carry)
+    return whole.union(out).withColumnRenamed("id", id_col)

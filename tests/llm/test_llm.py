@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import bpe, components, decontaminate, html_extract, langid, ngram_join, quality, queries, shingles, substring_dedup, token_counts, token_store, url_filter
+from ledgerline.llm import bpe, common, components, decontaminate, html_extract, langid, ngram_join, quality, queries, shingles, substring_dedup, token_counts, token_store, url_filter
 
 BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.001"
@@ -629,3 +629,51 @@ def test_texts_are_not_shuffled_to_drop_contaminated_ones(spark):
     left = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert "SortMergeJoin" not in left._jdf.queryExecution().toString()
     assert sorted(r.doc_id for r in left.collect()) == [k for k in range(20) if k != 3]
+
+
+def shuffled_texts(df):
+    """Rows with a text that the exchanges of `df` wrote, once it has run."""
+
+    def below(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return below(node.finalPhysicalPlan())
+        if kind.endswith("QueryStageExec"):
+            return below(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" and "text#" in node.output().toString() else 0
+        return own + sum(below(node.children().apply(k)) for k in range(node.children().size()))
+
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def test_only_texts_that_change_are_shuffled(spark):
+    """Where neither table of a join fits a broadcast, as over large inputs."""
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    whole = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(k, {3: item, 7: whole, 11: whole}.get(k, f"nothing of it in {k}")) for k in range(40)] + [(None, whole)], "doc_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        cut = substring_dedup.remove_repeats(docs)
+        assert {r.doc_id: r.n_removed for r in cut.collect()} == {k: len(whole) if k == 11 else 0 for k in [*range(40), None]}
+        clean = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+        assert {r.doc_id for r in clean.collect()} == {k for k in [*range(40), None] if k != 3}
+        first = ngram_join.keep_representatives(docs)
+        assert {r.doc_id for r in first.collect()} == {k for k in [*range(40), None] if k != 11}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [shuffled_texts(x) for x in (cut, clean, first)] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("words", [1, common.BIT_WORDS])
+def test_parted_loses_no_row(spark, monkeypatch, words):
+    """However many ids share a bit; ids may repeat, be null or of another integer type."""
+    monkeypatch.setattr(common, "BIT_WORDS", words)
+    ids = [*range(-50, 150), 7, 7, None]
+    docs = spark.createDataFrame([(k, 1, 2, 3) for k in ids], "id int, word int, bits int, bit int")
+    wanted = spark.createDataFrame([(k,) for k in [*range(0, 500, 9), None]], "id long")
+    surely_not, may = (sorted(r.id if r.id is not None else 999 for r in x.collect()) for x in common.parted(docs, wanted, "id"))
+    assert sorted(surely_not + may) == sorted(999 if k is None else k for k in ids)
+    assert not set(surely_not) & set(range(0, 500, 9)) and common.without(docs, wanted, "id").columns == docs.columns
+    assert common.without(docs, wanted, "id").count() == sum(k is None or k < 0 or k % 9 > 0 for k in ids)
+    assert common.without(docs, wanted.limit(0), "id").count() == len(ids)
