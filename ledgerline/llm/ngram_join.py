@@ -9,7 +9,7 @@ Two documents link when 100 * |A n B| >= 80 * |A u B| on their sets of five-word
    do those of phrases that unrelated documents share by chance, whose number grows with the square of the input.
 2. Documents in lists of two or more are compared with one document that has the shingle: a star for
    each list, not its pairs. The verified stars give first groups; long lists that hold several groups get further turns
-   with other centres, so that a large group of near copies is one group before pairs are looked at.
+   with other centres, as long as these link a good part of their pairs, so that a large group of near copies is one group before pairs are looked at.
 3. Lists that still hold several groups are joined with themselves across groups, within size-banded
    tiles (equal or adjacent bands of ratio 1 / 0.8; sets that link lie no further apart) and as far as the place
    of the shingle in both prefixes leaves room for the overlap, were it the first they have in common. Stars stand
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import discard, settle, shared_folder, sub_batches, tune, without
+from ledgerline.llm.common import discard, parted, settle, shared_folder, sub_batches, tune, without
 from ledgerline.llm.components import components
 from ledgerline.llm.shingles import grouped, sets_of, weighed_rows, word_hashes
 
@@ -48,7 +48,9 @@ LEAST_BITS = 512
 BLOCK, FREQUENT, WORDS, AT_LEAST = 1_000_000, 400_000, 100_000, 8
 #: Lists that get further star turns, and how many turns at most; what is left is compared in full.
 LONG_LIST, STAR_TURNS = 8, 4
-#: Ids, and ids with their groups, that are broadcast at most; more are joined.
+#: A turn that links fewer than one in so many of its pairs is the last: what is left are different groups, which more turns would leave apart.
+YIELD = 20
+#: Ids, and ids with their groups, that are broadcast at most; of more ids a table of bits is, more groups are joined.
 MOST_IDS, MOST_ROOTS = 2_000_000, 500_000
 
 
@@ -173,7 +175,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = settle(lists.select("token", "id", "n", "top", F.coalesce("owner", "least").alias("centre")), "postings", work)
 
     stars = kept.where("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    links = [verified(stars, apart, source)]
+    links, late = [verified(stars, apart, source)], []
     groups = components(links[0])
     tiled = several(kept.select("token", "id", "n", "top"), groups)
     discard(spark, work)
@@ -183,15 +185,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         mark = lambda c: F.xxhash64(c, F.lit(turn))  # noqa: B023, E731
         one = long.groupBy("token", "root").agg(F.min_by("id", mark("id")).alias("id"))
         centre = one.groupBy("token").agg(F.min_by("id", mark("id")).alias("centre"))
-        stars = one.join(centre, "token").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+        stars = settle(one.join(centre, "token").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct(), "stars")
         more = verified(stars, apart, source)
-        if more.isEmpty():
+        if found := more.count():
+            links.append(more)
+        if YIELD * found <= stars.count():
+            late += [more] if found else []  # too few to group and list everything anew for them
             break
-        links.append(more)
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
         tiled = several(tiled.select("token", "id", "n", "top"), groups)
-    links.append(across(tiled, reduce(DataFrame.union, links), apart, source))
-    return sets.select("id", "n"), components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links[-1].select("a", "b")))
+    late.append(across(tiled, reduce(DataFrame.union, links), apart, source))
+    return sets.select("id", "n"), components(reduce(DataFrame.union, [x.select("a", "b") for x in late], groups.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def across(tiled: DataFrame, links: DataFrame, sets: DataFrame, source: DataFrame) -> DataFrame:
@@ -267,24 +271,17 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, reach: str |
 
     candidates = settle(sized.select("a", "b", "reach", "na", "nb", "bits_a", "bits_b", "da", "db").mapInArrow(bounded, "a bigint, b bigint, reach double, equal boolean"), "candidates", work)
     rest = candidates.where("not equal").select("a", "b", "reach")
-    wanted = settle(rest.select(F.col("a").alias("id")).union(rest.select(F.col("b").alias("id"))).distinct(), "wanted", work)
+    wanted = rest.select(F.col("a").alias("id")).union(rest.select(F.col("b").alias("id")))
 
     def arrays(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(it):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([x.tobytes() for x in sets_of(batch.column("text").to_pylist())], pa.binary())], ["id", "set"])
 
     result = candidates.where("equal").select("a", "b", "reach", F.lit(0.0).alias("d"), F.lit(True).alias("linked"))
-    if n_wanted := wanted.count():
-        if n_wanted <= MOST_IDS:
-            ids = spark.sparkContext.broadcast(np.sort(wanted.toArrow()["id"].to_numpy()))
-
-            def own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in it:
-                    yield batch.filter(pa.array(np.isin(batch.column("id").to_numpy(zero_copy_only=False), ids.value)))
-
-            found = source.where("id is not null").mapInArrow(lambda it: arrays(own(it)), "id bigint, set binary")
-        else:
-            found = source.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(arrays, "id bigint, set binary")
+    if n_rest := rest.count():
+        # whole texts are not shuffled: few ids are broadcast, of more a table of bits; texts that only share a bit meet no pair
+        own = source.join(F.broadcast(wanted), "id", "left_semi") if 2 * n_rest <= MOST_IDS else parted(source.where("id is not null"), wanted, "id")[1]
+        found = own.select("id", "text").mapInArrow(arrays, "id bigint, set binary")
         full = settle(found, "arrays", work)
         both = rest.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b").select("a", "b", "reach", "x", "y")
 

@@ -337,6 +337,21 @@ def test_join(spark, monkeypatch, broadcast):
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("share", "groupings"), [(10**9, 3), (0, 2)])
+def test_star_turns_end_when_they_link_little(spark, monkeypatch, share, groupings):
+    """A pair that only a further turn finds, as both meet a longer document first: its link counts, whether groups and lists are made anew for it or not."""
+    calls, real = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda edges: calls.append(1) or real(edges))
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 1)
+    monkeypatch.setattr(ngram_join, "YIELD", share)
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    texts = [words("x", 60) + " " + words(f"n{k}y", 60) for k in range(10)] + [words("x", 60), words("x", 60) + " more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == dict(enumerate(brute_groups(texts)[0])) and got[11] == 10
+    assert len(calls) == groupings
+
+
 def test_bits_bound_overlap():
     rng = random.Random(7)
     for n in (5, 600, 3000):
