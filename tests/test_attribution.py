@@ -2,8 +2,11 @@
 
 import random
 import time
+import types
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +85,33 @@ def test_first_containing_equals_brute_force(spark, block):
     assert got == {q: k for q, k in want.items() if k is not None}
 
 
+def test_many_quotations_read_each_source_once(spark):
+    words = [f"passage {k} of the order" for k in range(40)]
+    sources = spark.createDataFrame([(k, f"so {w}, it says") for k, w in enumerate(words)], "source_id int, text string")
+    found = attribution.first_containing(spark.createDataFrame([(w,) for w in [*words, "elsewhere"]], "quote string"), sources, 100)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {r.quote: r.source_id for r in found.collect()} == {w: k for k, w in enumerate(words)}
+
+
+@pytest.mark.parametrize("span", [1, 16, 1 << 18])
+def test_windows_of_parted_texts_have_every_quotation(monkeypatch, span):
+    monkeypatch.setattr(attribution, "SPAN_CHARS", span)
+    rng = random.Random(span)
+    texts = ["".join(rng.choices("ab é😀", k=rng.choice([0, 1, 5, 90]))) for _ in range(40)]
+    quoted = sorted({"", *(t[i : i + n] for t in texts for i, n in [(rng.randint(0, 60), rng.randint(1, 40))]), *("".join(rng.choices("ab é😀", k=rng.randint(1, 9))) for _ in range(200))})
+    table = np.zeros(1 << 14, np.uint64)
+    for batch in attribution.marked(20)(iter([pa.record_batch([pa.array(quoted)], ["quote"]), pa.record_batch([pa.array([""])], ["quote"])])):
+        table[batch.column(0).to_numpy()] |= batch.column(1).to_numpy().view(np.uint64)
+    batches = (pa.record_batch([pa.array(range(k, k + 10)), pa.array(texts[k : k + 10])], ["source_id", "text"]) for k in (30, 0, 20, 10))
+    least = {}
+    for batch in attribution.windows(types.SimpleNamespace(value=table), 20, sorted({len(q) for q in quoted}))(batches):
+        for q, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            assert q in texts[k]
+            least[q] = min(k, least.get(q, k))
+    want = {q: next((k for k, t in enumerate(texts) if q in t), None) for q in quoted}
+    assert {q: least.get(q) for q in quoted} == want and None in want.values()
+
+
 def test_canonical_of_a_quotation_is_that_of_a_text():
     rng = random.Random(1)
     letters = [chr(c) for c in [*range(0x20, 0x3400), *range(0xAC00, 0xAC40), *range(0xFF00, 0xFFEF), *([*range(0x1100, 0x1200)] * 3)] if unicodedata.category(chr(c))[0] != "C"]
