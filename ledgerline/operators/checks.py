@@ -12,6 +12,7 @@ of very many ledgers may agree by chance, and quotations are looked for in all o
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 from functools import reduce
 
 import pandas as pd
@@ -29,7 +30,7 @@ from ledgerline.sources.stages import Stages
 CODES = [*FIELD_CODES.values(), "RISK"]
 #: An id of any code in either case, of 8 digits or 16 (`build.named_apart`), one of a known code, and a citation: one id or several in square brackets. Fixed patterns.
 ANY_ID = r"\b[A-Za-z]{2,8}-FY\d{4}-[0-9a-f]{8}(?:[0-9a-f]{8})?\b"
-KNOWN_ID = rf"\b(?:{'|'.join(sorted(CODES))})-FY\d{{4}}-[0-9a-f]{{8}}(?:[0-9a-f]{{8}})?\b"
+KNOWN_ID = rf"(?=[A-Z])\b(?:{'|'.join(sorted(CODES))})-FY\d{{4}}-[0-9a-f]{{8}}(?:[0-9a-f]{{8}})?\b"
 GROUP = rf"\[\s*{KNOWN_ID}(?:\s*[,;]\s*{KNOWN_ID})*\s*\]"
 #: Where a document's own account of its making begins. Fixed text.
 FOOTER = "### Provenance"
@@ -39,18 +40,26 @@ DATED = r"\b\d{1,2}\s+\w+\s+20\d\d\b|\b\w+\s+\d{1,2},\s+20\d\d\b|\b20\d\d\b"
 SUBJECT = r"(?i)question|answer|investor q&a|reg fd|regulation fd"
 #: Three years in a row, each with a number, make a series. Fixed pattern.
 SERIES = r"(?:\b20\d\d\b\D{0,20}\b\d+\b\D{0,40}){3,}"
-#: The figures of prose, what names something and is no figure, and any number of a fact. Fixed patterns.
-FIGURE = r"(?U)(?<![\w.])(\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+\.\d+|\d{3,})(?![\w])"
+#: The figures of prose, what names something and is no figure, what stands in each such name, and any number of a fact. Fixed patterns.
+FIGURE = r"(?U)(?=\d)(?<![\w.])(\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+\.\d+|\d{3,})(?![\w])"
 NO_FIGURE = r"(?i)\bItems?\s+\d+(?:\.\d+)?[A-Z]?|\bRule\s+\d+[a-z]?-?\d*|\bSection\s+\d+(?:\.\d+)?|\b(?:Form\s+)?(?:10-[KQ]|8-K(?:/A)?|DEF\s*14A|DEFA\s*14A|SC\s*13[GD])"
+NAMES = ["item", "rule", "section", "10-", "8-", "def", "sc"]
 NUMBER = r"\d[\d,]*\.?\d*"
 #: Numbers of segments in a sentence. Fixed pattern.
 SEGMENT_COUNT = r"(?i)\b(?:one|two|three|four|five|six|seven|eight|nine|ten|\d+)\b[^.]{0,40}\b(?:reportable |operating )?segments?\b"
+#: What the rules read of a paragraph and its facts; the rest is for readers.
+RULED = ["malformed", "said", "marked", "figures", "flagged", "undated", "series", "gap_told", "unknown", "unverified", "low", "letter", "quoted", "claimed", "texts"]
 #: The shortest quotation that is looked at, and the share of answers among its citations from which a paragraph rests on them. Fixed values.
 SHORTEST_QUOTE, MOSTLY = 4, 0.5
 
 
 def any_match(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)) > 0
+    return text.rlike(pattern)
+
+
+def holds_any(text: Column, words: list[str]) -> Column:
+    """Whether a text has one of some words in either case: a plain search before a pattern that needs one of them."""
+    return reduce(Column.__or__, (F.contains(F.lower(text), F.lit(w)) for w in words))
 
 
 def body_of(text: Column) -> Column:
@@ -99,8 +108,17 @@ def numbers(text: Column) -> Column:
 
 def figures(text: Column) -> Column:
     """The distinct figures of prose: thousands with separators, decimals, numbers of three digits or more; no ids, years, or numbers that name an item, rule, section or form."""
-    bare = F.regexp_replace(F.regexp_replace(text, KNOWN_ID, ""), NO_FIGURE, " ")
-    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(bare, F.lit(FIGURE), F.lit(1)), normal), lambda n: ~n.rlike(r"^(?:19|20)\d\d$")))
+    return _figures(_unnamed(text))
+
+
+def _unnamed(text: Column) -> Column:
+    """A text without ids and names that have numbers."""
+    bare = F.regexp_replace(text, KNOWN_ID, "")
+    return F.when(holds_any(text, NAMES), F.regexp_replace(bare, NO_FIGURE, " ")).otherwise(bare)
+
+
+def _figures(unnamed: Column) -> Column:
+    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(unnamed, F.lit(FIGURE), F.lit(1)), normal), lambda n: ~n.rlike(r"^(?:19|20)\d\d$")))
 
 
 def quotations(text: Column) -> Column:
@@ -112,12 +130,14 @@ def forms(quote: str) -> list[list[str]]:
     """The ways a quotation may stand in its source, each as the parts that have to be there.
 
     As it is; without the mark that closes a sentence inside it; with what editors put in brackets, and without. An
-    ellipsis parts what is quoted.
+    ellipsis parts what is quoted, and is three full stops by then.
     """
     ends = " ,.;:"
-    ways = {quote, quote.strip(ends), *(re.sub(r"\[([^\]]*)\]", kept, quote).strip(ends) for kept in (r"\1", ""))}
+    ways = {quote, quote.strip(ends)}
+    if "[" in quote:
+        ways |= {re.sub(r"\[([^\]]*)\]", kept, quote).strip(ends) for kept in (r"\1", "")}
     folded = {canonical(w).replace("'", '"') for w in ways} - {""}
-    return sorted([p for x in re.split(r"…|\.\.\.", way) if (p := x.strip())] for way in folded)
+    return sorted([p for x in way.split("...") if (p := x.strip())] for way in folded)
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
@@ -162,42 +182,55 @@ def citation_report(docs: DataFrame, index: DataFrame) -> DataFrame:
     return every.select("doc", shown("n_citations"), shown("n_distinct"), shown("n_unknown"), "n_malformed", shown("n_low"), shown("n_unverified"), F.coalesce("by_field", F.create_map().cast("map<string,bigint>")).alias("by_field"))
 
 
-def examined(docs: DataFrame, index: DataFrame) -> DataFrame:
+def examined(docs: DataFrame, index: DataFrame, wanted: Collection[str] | None = None, where: Column | None = None) -> DataFrame:
     """The paragraphs with what the rules look at, and what the facts they cite say; written once.
 
     doc, par, ids, malformed, said, marked (has a quotation mark), figures, flagged, undated, series, gap_told, answers (share of ids that are answers),
-    registered; of the cited facts: unknown, unverified (ids), low, letter, quoted, claimed (numbers), texts.
+    registered, segment_counts; of the cited facts: unknown, unverified (ids), low, letter, quoted, claimed (numbers), texts. Where a caller reads few of
+    these, it names them (`wanted`), and by a condition on those of the paragraph the paragraphs that it reads (`where`).
     """
     ship(docs.sparkSession)
     text, x = F.col("text"), F.col
     keys = id_keys(docs, index)
     pars = docs.select("doc", *keys[:-1], "gap_years", "register", F.posexplode(_parts(body_of(x("body")))).alias("par", "text"))
-    ids = F.array_distinct(_ids(text))
     bare = lambda s: F.regexp_replace(s, ANY_ID, " ")
     told = F.exists(_sentences(text), lambda s: any_match(s, "(?i)letter") & F.exists(F.coalesce("gap_years", F.array().cast("array<int>")), lambda y: F.contains(bare(s), y.cast("string"))))
     every = _ids(text)
-    looked = pars.select(
-        "doc", *keys[:-1], F.col("par").cast("bigint").alias("par"), ids.alias("ids"),
-        F.filter(F.array_distinct(_ids(text, ANY_ID)), lambda i: ~i.rlike(f"^{KNOWN_ID}$")).alias("malformed"),
-        quotations(text).alias("said"), F.contains(text, F.lit('"')).alias("marked"),
-        F.when(F.size(ids) > 0, figures(text)).otherwise(F.array().cast("array<string>")).alias("figures"),
-        any_match(text, FLAGS).alias("flagged"),
-        F.exists(_sentences(text), lambda s: F.contains(s, F.lit("VOTE-FY")) & ~any_match(s, DATED)).alias("undated"),
-        (any_match(text, SUBJECT) & any_match(text, SERIES)).alias("series"), told.alias("gap_told"),
-        (F.size(F.filter(every, lambda i: i.startswith("QA-"))) / F.nullif(F.size(every), F.lit(0))).alias("answers"), F.regexp_like(text, F.col("register")).alias("registered"),
-        F.filter(_sentences(text), lambda s: any_match(s, SEGMENT_COUNT)).alias("segment_counts"),
-    )
-    stages = Stages(docs.sparkSession)
-    looked = stages.keep(looked)
+    undated = F.exists(_sentences(text), lambda s: F.contains(s, F.lit("VOTE-FY")) & ~any_match(s, DATED))
+    segment_counts = F.filter(_sentences(text), lambda s: any_match(s, SEGMENT_COUNT))
+    none = F.array().cast("array<string>")
+    known = F.filter("any_ids", lambda i: i.rlike(f"^{KNOWN_ID}$"))
+    looks = {
+        "ids": known,
+        "malformed": F.filter("any_ids", lambda i: ~i.rlike(f"^{KNOWN_ID}$")),
+        "said": F.when(F.contains(text, F.lit('"')), quotations(text)).otherwise(none), "marked": F.contains(text, F.lit('"')),
+        "figures": F.when(F.size(known) > 0, _figures(x("unnamed"))).otherwise(none),
+        "flagged": holds_any(text, ["low", "unverified", "indicative", "not established"]) & any_match(text, FLAGS),
+        "undated": F.contains(text, F.lit("VOTE-FY")) & undated,
+        "series": holds_any(text, ["question", "answer", "investor q&a", "reg fd", "regulation fd"]) & any_match(text, SUBJECT) & any_match(text, SERIES),
+        "gap_told": F.when(F.size("gap_years") > 0, told).otherwise(F.lit(False)),
+        "answers": F.size(F.filter(every, lambda i: i.startswith("QA-"))) / F.nullif(F.size(every), F.lit(0)),
+        "registered": F.regexp_like(text, F.col("register")),
+        "segment_counts": F.when(holds_any(text, ["segment"]), segment_counts).otherwise(none),
+    }
     letter = F.col("letter") if "letter" in index.columns else F.lit(False)
-    facts = index.dropDuplicates(keys).select(*keys, F.lit(True).alias("known"), (~F.col("confidence").eqNullSafe("high")).alias("low"), (F.col("quote_verified") == F.lit(False)).alias("unverified"), letter.alias("letter"), numbers(F.col("quote")).alias("quoted"), numbers(F.col("claim")).alias("claimed"), fact_text(F.col("quote")).alias("text"))
+    says = {
+        "low": ~F.col("confidence").eqNullSafe("high"), "unverified": F.col("quote_verified") == F.lit(False), "letter": letter,
+        "quoted": numbers(F.col("quote")), "claimed": numbers(F.col("claim")), "texts": fact_text(F.col("quote")),
+    }
+    gathered = {
+        "unknown": F.sort_array(F.collect_list(F.when(F.col("known").isNull(), F.col("id")))), "unverified": F.sort_array(F.collect_list(F.when(F.col("unverified"), F.col("id")))),
+        "low": F.coalesce(F.max("low"), F.lit(False)), "letter": F.coalesce(F.max("letter"), F.lit(False)),
+        "quoted": F.flatten(F.collect_list("quoted")), "claimed": F.flatten(F.collect_list("claimed")), "texts": F.array_join(F.collect_list("texts"), "\n"),
+    }
+    few = lambda named: [c.alias(name) for name, c in named.items() if wanted is None or name in {"ids", *wanted}]
+    stages = Stages(docs.sparkSession)
+    marked = pars.select("*", F.array_distinct(_ids(text, ANY_ID)).alias("any_ids"), _unnamed(text).alias("unnamed"))  # a known id is such an id, too
+    looked = marked.select("doc", *keys[:-1], F.col("par").cast("bigint").alias("par"), *few(looks))
+    looked = stages.keep(looked if where is None else looked.where(where))
+    facts = index.dropDuplicates(keys).select(*keys, F.lit(True).alias("known"), *few(says))
     cited = looked.select("doc", "par", *keys[:-1], F.explode("ids").alias("id")).join(facts, keys, "left")
-    of_facts = cited.groupBy("doc", "par").agg(
-        F.array_sort(F.collect_list(F.when(F.col("known").isNull(), F.col("id")))).alias("unknown"), F.array_sort(F.collect_list(F.when(F.col("unverified"), F.col("id")))).alias("unverified"),
-        F.coalesce(F.max("low"), F.lit(False)).alias("low"), F.coalesce(F.max("letter"), F.lit(False)).alias("letter"),
-        F.flatten(F.collect_list("quoted")).alias("quoted"), F.flatten(F.collect_list("claimed")).alias("claimed"), F.array_join(F.collect_list("text"), "\n").alias("texts"),
-    )
-    return stages.keep(looked.join(of_facts, ["doc", "par"], "left"))
+    return stages.keep(looked.join(cited.groupBy("doc", "par").agg(*few(gathered)), ["doc", "par"], "left"))
 
 
 def fact_text(quote: Column) -> Column:
@@ -227,7 +260,7 @@ def _registered(docs: DataFrame, register: str) -> DataFrame:
 
 def quote_report(docs: DataFrame, index: DataFrame) -> DataFrame:
     """`quote_statuses` of documents."""
-    return quote_statuses(examined(_registered(docs, ""), index), index)
+    return quote_statuses(examined(_registered(docs, ""), index, ["said", "texts"], F.size("said") > 0), index)
 
 
 def tiers(seen: DataFrame) -> DataFrame:
@@ -244,7 +277,7 @@ def violations(docs: DataFrame, index: DataFrame, headings: list[str], words: tu
     length, the pattern `register` has to be found before the first cited answer.
     """
     register = f"(?i){register}"
-    seen = examined(_registered(docs, register), index)
+    seen = examined(_registered(docs, register), index, RULED)
     x = F.col
     broken = lambda rule, detail: F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
     when = lambda cond, rule, detail: F.array(F.when(cond, broken(rule, detail)))
@@ -268,7 +301,7 @@ def violations(docs: DataFrame, index: DataFrame, headings: list[str], words: tu
         docs,
         when(x("stamped").isNull(), "prov_present", F.lit("no pack hash")),
         when(x("stamped") != x("current"), "prov_matches", x("stamped")),
-        when((first_answer > 0) & ((first_register == 0) | (first_register >= first_answer)), "reg_fd_established", F.lit(register)),
+        when(F.contains(body, F.lit("QA-FY")) & (first_answer > 0) & ((first_register == 0) | (first_register >= first_answer)), "reg_fd_established", F.lit(register)),
         *(when(~F.contains(F.lower(body), F.lit(h.lower())), "sections_present", F.lit(h)) for h in headings),
         when((n < words[0]) | (n > words[1]), "length", n),
     )

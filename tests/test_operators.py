@@ -201,6 +201,43 @@ def test_quotations_equal_brute_force(spark):
     assert all((source is not None) == (status == "elsewhere") or key[1] == "... [x] ..." for key, (status, source) in got.items())
 
 
+def test_reports_write_what_they_read_of_paragraphs(spark, monkeypatch):
+    index = spark.createDataFrame(INDEX, INDEX_KIND)
+    docs = spark.createDataFrame([(1, DOC, "x", "x", None)], DOCS_KIND)
+    written = []
+    keep = checks.Stages.keep
+    monkeypatch.setattr(checks.Stages, "keep", lambda self, df: written.append(set(df.columns)) or keep(self, df))
+    assert checks.quote_report(docs, index).count() == 1
+    assert written[:2] == [{"doc", "par", "ids", "said"}, {"doc", "par", "ids", "said", "texts"}]
+    written.clear()
+    checks.violations(docs, index, ["# Brief"], (10, 100), "Regulation FD")
+    assert "flagged" in written[0] and not written[0] & {"answers", "registered", "segment_counts"}
+
+
+def test_paragraphs_equal_their_patterns(spark):
+    """The patterns by themselves, in Python, on paragraphs of pieces that nearly fit."""
+    rng = random.Random(8)
+    pieces = ["EVT-FY2021-aaaaaaaa", "evt-FY2021-aaaaaaaa", "XX-FY2021-00000000", "SP-FY2021-0123456789abcdef", "x", "[", "]. ", " ", "; ", "Low-Confidence", "low", "UNVERIFIED", "Indicative", "not established", "VOTE-FY2020-aaaaaaaa", "voted 2021", "On 3 May 2021", "Question", "REG FD", "2019: 11, 2020: 12, 2021: 13", "Item 402", "RULE 144", "Section 302", "form 10-K", "8-K", "DEF 14A", "SC 13G", "1,234.50", "777", "3.0", "$888", " \u0663\u0664\u0665 ", "five Segments", " İ ", " K ", '"', '"so it said"']
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(400)]
+    texts = [t for t in texts if t.strip()]
+    docs = spark.createDataFrame([(k, t, "x", "x", None) for k, t in enumerate(texts)], DOCS_KIND).withColumn("register", F.lit("(?i)reg fd"))
+    got = {r.doc: r for r in checks.examined(docs, spark.createDataFrame(INDEX, INDEX_KIND)).collect()}
+    known = rf"\b(?:{'|'.join(checks.CODES)})-FY\d{{4}}-[0-9a-f]{{8}}(?:[0-9a-f]{{8}})?\b"
+    find = lambda pattern, t: re.search(pattern, t, re.ASCII) is not None
+    normal = lambda n: n.replace(",", "").removesuffix(".0")
+    for k, t in enumerate(texts):
+        r, parts = got[k], [s.strip(" ") for s in re.split(r"(?<=[.;:])\s+", t, flags=re.ASCII)]
+        ids = list(dict.fromkeys(re.findall(known, t, re.ASCII)))
+        assert r.ids == ids and r.malformed == [i for i in dict.fromkeys(re.findall(checks.ANY_ID, t, re.ASCII)) if i not in ids], t
+        assert (r.flagged, r.series, r.registered) == (find(checks.FLAGS, t), find(checks.SUBJECT, t) and find(checks.SERIES, t), find("(?i)reg fd", t)), t
+        assert r.undated == any("VOTE-FY" in s and not find(checks.DATED, s) for s in parts), t
+        assert r.segment_counts == [s for s in parts if find(checks.SEGMENT_COUNT, s)], t
+        assert r.said == [q for q in re.findall('"([^"]+)"', t) if len(q.strip(" ")) >= 4], t
+        prose = re.sub(checks.NO_FIGURE, " ", re.sub(known, "", t, flags=re.ASCII), flags=re.ASCII)
+        figures = [normal(n) for n in re.findall(r"(?<![\w.])(\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+\.\d+|\d{3,})(?!\w)", prose)]
+        assert r.figures == ([n for n in dict.fromkeys(figures) if not find(r"^(?:19|20)\d\d$", n)] if ids else []), t
+
+
 def test_reviews(spark):
     body = "In 2021 it had five segments and in 2023 two reportable segments [SEG-FY2021-aaaaaaaa].\n\nIt had 777 units [EVT-FY2021-eeeeeeee].\n\nHe answers [QA-FY2021-bbbbbbbb, QA-FY2021-bbbbbbbb, SP-FY2021-aaaaaaaa].\n\nUnder Regulation FD [QA-FY2021-bbbbbbbb]."
     docs, index = spark.createDataFrame([(1, body, "x", "x", None)], DOCS_KIND), spark.createDataFrame(INDEX, INDEX_KIND)
