@@ -128,7 +128,7 @@ def first_containing(quotes: DataFrame, sources: DataFrame, block_chars: int = B
     distinct = Stages(spark).keep(distinct)
     lengths = {r["n"]: r["rows"] for r in distinct.groupBy(F.length("quote").alias("n")).agg(F.count("*").alias("rows")).collect()}  # a row for each length
     log = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(BITS_EACH * sum(lengths.values())))))
-    words = distinct.mapInArrow(marked(log), "word bigint, bits bigint").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()  # 2 MB to 16 MB of bits
+    words = distinct.mapInArrow(marked(log), "word bigint, bits bigint").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()  # 16 MB of bits at most
     table = np.zeros(1 << log - 6, np.uint64)
     table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     found = read.mapInArrow(windows(spark.sparkContext.broadcast(table), log, sorted(lengths)), kind).groupBy("quote").agg(F.min("source_id").alias("source_id"))
@@ -191,14 +191,15 @@ def marked(log: int):  # noqa: ANN201  a function over Arrow batches of quotatio
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             texts = [t for t in batch.column(0).to_pylist() if t]
-            if not texts:
-                continue
-            sizes = np.array([len(t) for t in texts])
-            starts, levels = np.cumsum(sizes) - sizes, np.frexp(sizes)[1] - 1
-            own = Hashes("".join(texts))
-            bits = np.unique(np.concatenate([places(own.of(starts, sizes), 0, log), places(own.of(starts, 1 << levels), levels + 1, log)]))
-            word, first = np.unique(bits >> np.uint64(6), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.bitwise_or.reduceat(ONE << (bits & np.uint64(63)), first).view(np.int64))], ["word", "bits"])
+            groups = np.cumsum([len(t) for t in texts], dtype=np.int64) // SPAN_CHARS
+            for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(groups)) + 1) if texts else []:
+                group = [texts[k] for k in some]
+                sizes = np.array([len(t) for t in group])
+                starts, levels = np.cumsum(sizes) - sizes, np.frexp(sizes)[1] - 1
+                own = Hashes("".join(group))
+                bits = np.unique(np.concatenate([places(own.of(starts, sizes), 0, log), places(own.of(starts, 1 << levels), levels + 1, log)]))
+                word, first = np.unique(bits >> np.uint64(6), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.bitwise_or.reduceat(ONE << (bits & np.uint64(63)), first).view(np.int64))], ["word", "bits"])
 
     return run
 
